@@ -48,3 +48,7 @@ select count(*) as total_vuelos, sum(asientos_ofrecidos) as total_asientos_ofrec
   cast(round(sum(co2_emitted_ton), 2) as double) as co2_total_ton,
   count(delay_code) as vuelos_con_delay
 from g_fact_flight""", ["g_fact_flight"])
+
+from contrail.oracle import silver_sql  # noqa: E402
+
+silver_sql.register(oracle)

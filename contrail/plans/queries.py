@@ -84,3 +84,108 @@ def fact_flight_totals(L: Layers) -> DataFrame:
         money(F.sum("total_revenue_usd")).alias("revenue_total"),
         money(F.sum("co2_emitted_ton")).alias("co2_total_ton"),
         F.count("delay_code").alias("vuelos_con_delay"))
+
+
+# ---- silver pipelines (J*) -----------------------------------------------------
+from contrail.plans import silver as _s  # noqa: E402
+
+
+@query
+def clean_airlines(L: Layers) -> DataFrame:
+    return _s.clean_airlines(L.fx.flights)
+
+
+@query
+def clean_flights(L: Layers) -> DataFrame:
+    return _s.clean_flights(L.fx.flights, L.fx.airports, L.airlines)
+
+
+@query
+def clean_passengers(L: Layers) -> DataFrame:
+    return _s.clean_passengers(L.fx.reservations)
+
+
+@query
+def booking_resolve(L: Layers) -> DataFrame:
+    return _s.booking_resolve(L.fx.reservations, L.fx.passengers, L.fx.flights, L.fx.boarding)
+
+
+@query
+def baggage_latest(L: Layers) -> DataFrame:
+    return L.baggage
+
+
+@query
+def clean_cargo(L: Layers) -> DataFrame:
+    return _dbl(L.cargo)
+
+
+@query
+def cargo_enrich(L: Layers) -> DataFrame:
+    return _dbl(_s.cargo_enrich(L.cargo))
+
+
+@query
+def clean_crew(L: Layers) -> DataFrame:
+    return _dbl(L.crew)
+
+
+@query
+def synth_fleet(L: Layers) -> DataFrame:
+    ids = L.fx.t("orders").select((F.col("o_custkey") % 100).alias("aeronave_id")).distinct()
+    return _s.synth_fleet(ids)
+
+
+@query
+def inline_values_anti_insert(L: Layers) -> DataFrame:
+    return _s.inline_values_anti_insert(L.spark, L.fleet)
+
+
+@query
+def fallback_lookup(L: Layers) -> DataFrame:
+    return L.workshops.drop("iata_code")
+
+
+@query
+def engines_cross(L: Layers) -> DataFrame:
+    return L.engines
+
+
+@query
+def first_child_by_order(L: Layers) -> DataFrame:
+    return _s.first_child_by_order(L.engines)
+
+
+@query
+def clean_maintenance(L: Layers) -> DataFrame:
+    return _dbl(L.maintenance)
+
+
+@query
+def clean_fuel(L: Layers) -> DataFrame:
+    return _dbl(_s.clean_fuel(L.fx.fuel, L.fx.flights, L.fx.airports))
+
+
+@query
+def clean_positions(L: Layers) -> DataFrame:
+    return L.positions
+
+
+@query
+def clean_sensors(L: Layers) -> DataFrame:
+    return _dbl(L.sensors)
+
+
+@query
+def clean_waypoints(L: Layers) -> DataFrame:
+    out = _s.clean_waypoints(L.fx.navaids)
+    return _dbl(out.select(*[c for c in out.columns if c != "ubicacion"],
+                           F.col("ubicacion.lon").alias("pt_lon"), F.col("ubicacion.lat").alias("pt_lat"),
+                           F.col("ubicacion.z").alias("pt_z")))
+
+
+@query
+def airport_fk_enrich(L: Layers) -> DataFrame:
+    out = _s.airport_fk_enrich(L.fx.airports, L.fx.countries, L.fx.regions)
+    return out.select("aeropuerto_id", "ident", "iso_country", "iso_region", "country_id", "region_id",
+                      F.col("ubicacion.lon").alias("lon"), F.col("ubicacion.lat").alias("lat"))

@@ -172,9 +172,12 @@ def cargo_enrich(clean: DataFrame) -> DataFrame:
     need = F.col("shipper").isNull() | F.col("consignee").isNull() | F.col("temperatura_req").isNull()
     shipper = F.concat(F.lit("SHIPPER-"), F.lpad((F.floor(u(k, "ce_s") * 1000)).cast("int").cast("string"), 4, "0"))
     consignee = F.concat(F.lit("CONSIGNEE-"), F.lpad((F.floor(u(k, "ce_c") * 1000)).cast("int").cast("string"), 4, "0"))
-    return (clean.withColumn("shipper", F.when(need, shipper).otherwise(F.col("shipper")))
-                 .withColumn("consignee", F.when(need, consignee).otherwise(F.col("consignee")))
-                 .withColumn("temperatura_req", F.when(need, temp).otherwise(F.col("temperatura_req"))))
+    # one projection: every column sees the row as it was before the update
+    return clean.select(*[
+        F.when(need, shipper).otherwise(F.col(c)).alias(c) if c == "shipper" else
+        F.when(need, consignee).otherwise(F.col(c)).alias(c) if c == "consignee" else
+        F.when(need, temp).otherwise(F.col(c)).alias(c) if c == "temperatura_req" else F.col(c)
+        for c in clean.columns])
 
 
 # J12 --------------------------------------------------------------------------
@@ -231,7 +234,7 @@ def workshops(spark, airports: DataFrame) -> DataFrame:
     return j.select(
         (F.row_number().over(_w_name()) ).alias("taller_id"),
         "nombre", F.coalesce("aeropuerto_id", "pick_aeropuerto_id").alias("aeropuerto_id"),
-        "tipo", "capacidad", "certificaciones", F.lit(True).alias("activo"))
+        "tipo", "capacidad", "certificaciones", F.lit(True).alias("activo"), "iata_code")
 
 
 def _w_name():
