@@ -85,3 +85,12 @@ def flight_phase(alt_ft, speed_kts) -> Column:
 def money(c, scale: int = 2) -> Column:
     """Round to ``scale`` (half up) and return a double for reporting."""
     return F.round(col(c), scale).cast("double")
+
+
+def avg_dec(c, scale: int, out_scale: int) -> Column:
+    """AVG over exact decimals of ``scale`` digits, rounded half-up to ``out_scale``.
+
+    Averaging already-rounded doubles makes exact ties common; decimal
+    input keeps the rounding deterministic on every engine.
+    """
+    return F.round(F.avg(col(c).cast(f"decimal(18,{scale})")), out_scale).cast("double")

@@ -24,3 +24,18 @@ def _lit(v) -> str:
     if isinstance(v, str):
         return "'" + v.replace("'", "''") + "'"
     return repr(v)
+
+
+def AVG_DEC(col: str, scale: int, out_scale: int) -> str:
+    """Spark's AVG(decimal(18,scale)) then ROUND(out_scale), in exact integer arithmetic.
+
+    Spark returns the average at scale+4 (half up), then rounds half up to
+    out_scale; both steps are emulated with hugeint division.
+    """
+    s, k = scale, out_scale
+    n = f"count({col})"
+    a = f"cast(sum(cast({col} as decimal(18,{s}))) * {10 ** s} as hugeint) * 10000"
+    q1 = f"(sign({a}) * ((2 * abs({a}) + {n}) // (2 * {n})))"
+    d = 10 ** (s + 4 - k)
+    q2 = f"(sign({q1}) * ((2 * abs({q1}) + {d}) // (2 * {d})))"
+    return f"(case when {n} = 0 then null else cast({q2} as double) / {10 ** k} end)"

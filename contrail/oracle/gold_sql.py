@@ -49,8 +49,8 @@ select cast(strftime(fecha, '%Y%m%d') as integer) as tiempo_id, fecha,
   {MAP_CASE("strftime(fecha, '%m-%d')", codes.HOLIDAYS)} as festivo_nombre,
   weekofyear(fecha) as semana_anio,
   case when month(fecha) in (6, 7, 8, 12) then 'ALTA' when month(fecha) in (3, 4, 5, 9, 10, 11) then 'MEDIA' else 'BAJA' end as temporada
-from (select cast(unnest(generate_series(min(cast(salida_programada as date)), max(cast(salida_programada as date)), interval 1 day)) as date) as fecha
-      from f_flights)""", ["f_flights"])
+from (select cast(unnest(generate_series(min(cast(ts as date)), max(cast(ts as date)), interval 1 day)) as date) as fecha
+      from (select salida_programada as ts from f_flights union all select ts from events))""", ["f_flights"])
 
 _def("g_dim_airport", f"""
 select aeropuerto_id, icao, iata, nombre, ciudad, pais, region, zona_horaria, categoria, latitud, longitud from (

@@ -217,7 +217,7 @@ select p.posicion_id, p.vuelo_id, p.timestamp_utc, cast(p.longitud as double) as
   cast(p.heading as double) as heading,
   {PHASE} as fase_vuelo,
   p.aerovia_id as aerovia_cercana_id,
-  round({U('p.posicion_id', 'pos_dev')} * 5, 2) as desviacion_nm
+  cast(p.desviacion_nm as double) as desviacion_nm
 from f_positions p join f_flights v on v.vuelo_id = p.vuelo_id
 where p.latitud is not null and p.longitud is not null and p.timestamp_utc is not null
   and p.velocidad_nudos is not null and p.heading is not null""", ["f_positions", "f_flights"])

@@ -52,3 +52,7 @@ from g_fact_flight""", ["g_fact_flight"])
 from contrail.oracle import silver_sql  # noqa: E402
 
 silver_sql.register(oracle)
+
+from contrail.oracle import views_sql  # noqa: E402
+
+views_sql.register(oracle)

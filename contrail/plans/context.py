@@ -68,7 +68,9 @@ class Layers:
     # ---- gold dims -----------------------------------------------------------
     @cached_property
     def dim_calendar(self) -> DataFrame:
-        return gold.dim_calendar(self.fx.flights)
+        dates = (self.fx.flights.select(F.col("salida_programada").alias("ts"))
+                 .unionByName(self.fx.t("events").select("ts")))
+        return gold.dim_calendar(dates)
 
     @cached_property
     def dim_airport(self) -> DataFrame:

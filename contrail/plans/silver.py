@@ -329,7 +329,8 @@ def clean_positions(positions: DataFrame, flights: DataFrame) -> DataFrame:
         F.col("heading").cast("double").alias("heading"),
         flight_phase("altitud_pies", "velocidad_nudos").alias("fase_vuelo"),
         F.col("aerovia_id").alias("aerovia_cercana_id"),
-        F.round(u(k, "pos_dev") * 5, 2).alias("desviacion_nm"))
+        # measured deviation from the source (the reference drew a random 0-5 NM)
+        F.col("desviacion_nm").cast("double").alias("desviacion_nm"))
     return first_per_key(rows, ["posicion_id"], [F.col("vuelo_id")])
 
 
