@@ -56,3 +56,7 @@ silver_sql.register(oracle)
 from contrail.oracle import views_sql  # noqa: E402
 
 views_sql.register(oracle)
+
+from contrail.oracle import basics_sql  # noqa: E402
+
+basics_sql.register(oracle)
