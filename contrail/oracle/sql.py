@@ -60,3 +60,7 @@ views_sql.register(oracle)
 from contrail.oracle import basics_sql  # noqa: E402
 
 basics_sql.register(oracle)
+
+from contrail.oracle import rules_sql  # noqa: E402
+
+rules_sql.register(oracle)
