@@ -64,3 +64,7 @@ basics_sql.register(oracle)
 from contrail.oracle import rules_sql  # noqa: E402
 
 rules_sql.register(oracle)
+
+from contrail.oracle import geo_sql  # noqa: E402
+
+geo_sql.register(oracle)
