@@ -68,3 +68,7 @@ rules_sql.register(oracle)
 from contrail.oracle import geo_sql  # noqa: E402
 
 geo_sql.register(oracle)
+
+from contrail.oracle import synth_sql  # noqa: E402
+
+synth_sql.register(oracle)
