@@ -72,3 +72,8 @@ geo_sql.register(oracle)
 from contrail.oracle import synth_sql  # noqa: E402
 
 synth_sql.register(oracle)
+
+from contrail.oracle import sinks_sql  # noqa: E402
+
+sinks_sql.register(oracle)
+ORACLE["mv_refresh"] = ORACLE["route_occupancy"]

@@ -290,7 +290,11 @@ class Fixtures:
     # ---- event-derived streams --------------------------------------------
     @cached_property
     def positions(self) -> DataFrame:
-        e = self.t("events")
+        return self.positions_from(self.t("events"))
+
+    @staticmethod
+    def positions_from(e: DataFrame) -> DataFrame:
+        """Positions from an events frame (batch or streaming)."""
         k = F.col("event_id")
         return e.select(
             k.alias("posicion_id"),
@@ -307,7 +311,11 @@ class Fixtures:
 
     @cached_property
     def sensors(self) -> DataFrame:
-        e = self.t("events")
+        return self.sensors_from(self.t("events"))
+
+    @staticmethod
+    def sensors_from(e: DataFrame) -> DataFrame:
+        """Engine readings from an events frame (batch or streaming)."""
         k = F.col("event_id")
         eng = F.col("user_id") % 50
 
@@ -327,7 +335,11 @@ class Fixtures:
 
     @cached_property
     def baggage(self) -> DataFrame:
-        e = self.t("events")
+        return self.baggage_from(self.t("events"))
+
+    @staticmethod
+    def baggage_from(e: DataFrame) -> DataFrame:
+        """Bag events from an events frame (batch or streaming)."""
         k = F.col("event_id")
         et = F.col("event_type")
         ev = (F.when(et == "signup", "CHECKIN").when(et == "view", "LOAD").when(et == "click", "TRANSFER")
@@ -495,7 +507,11 @@ class Fixtures:
     # ---- rule inputs and snapshots ----------------------------------------
     @cached_property
     def rule_inputs(self) -> DataFrame:
-        li = self.t("lineitem")
+        return self.rule_inputs_from(self.t("lineitem"))
+
+    @staticmethod
+    def rule_inputs_from(li: DataFrame) -> DataFrame:
+        """KPI rule inputs from a lineitem frame (batch or streaming)."""
         r = F.col("l_orderkey") * 8 + F.col("l_linenumber")
         return li.select(
             r.alias("registro_id"),
