@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from contrail.functions.codes import EARTH_RADIUS_SPHERE_M
 from contrail.functions.geo import spheroid_distance_m
-from contrail.session import checkpoint_dir
+from contrail.session import checkpoint_dir, write_table
 
 DEG_M = math.pi * EARTH_RADIUS_SPHERE_M / 180.0
 
@@ -139,7 +139,7 @@ def nearest_join(points: DataFrame, pid: str, p_lat: str, p_lon: str, sites: Dat
             "_ok", F.col("_b").isNotNull() & (F.lit(cover_all)
                                               | (F.col("_b._d") <= _guaranteed_m("_plat", "_plon", "_pcy", "_pcx", r,
                                                                                   cell, n_lon, n_lat))))
-        scored = scored.checkpoint(eager=True)
+        scored = write_table(scored, "nearest_round")
         done.append(scored.where("_ok").select("_pid", "_b"))
         if cover_all:
             break

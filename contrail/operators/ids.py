@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.functions.det import u
-from contrail.session import checkpoint_dir
+from contrail.session import checkpoint_dir, write_table
 
 
 def dense_index(df: DataFrame, order: list, name: str = "idx", start: int = 1,
@@ -27,7 +27,7 @@ def dense_index(df: DataFrame, order: list, name: str = "idx", start: int = 1,
                  .sortWithinPartitions(*order)
                  .withColumn("_pid", F.spark_partition_id())
                  .withColumn("_mid", F.monotonically_increasing_id()))
-    ordered = ordered.checkpoint(eager=True)
+    ordered = write_table(ordered, "dense_index")
     counts = ordered.groupBy("_pid").agg(F.count("*").alias("_n"), F.min("_mid").alias("_m0"))
     # one row per partition: bounded by the partition count, safe to broadcast
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

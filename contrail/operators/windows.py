@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.session import checkpoint_dir
+from contrail.session import checkpoint_dir, write_table
 
 
 def lead_by_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
@@ -33,8 +33,9 @@ def lead_by_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     cols = [key, *order]
     tagged = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in cols])
-                .withColumn("_pid", F.spark_partition_id())
-                .checkpoint(eager=True))
+                .withColumn("_pid", F.spark_partition_id()))
+    # written out so every later use sees the same partition ids
+    tagged = write_table(tagged, "lead_by_key")
     w = Window.partitionBy("_pid", key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
     local = tagged.withColumn(out, F.lead(value).over(w))
     ordk = F.struct(*[F.col(c) for c in order])

@@ -1,9 +1,11 @@
 """Lazy wiring of the medallion layers over one scale-factor folder.
 
-``Layers`` builds every silver and gold DataFrame on first use and reuses
-the same logical plan object afterwards, so a query that needs, say, the
-route dimension twice gets one plan fragment (Spark's ReuseExchange then
-shares the shuffle).
+``Layers`` builds every silver and gold DataFrame on first use. Tables that
+many queries read (flights, bookings, the dimensions, the flight fact)
+go through ``keep``: written once per application to the shared
+checkpoint folder -- the medallion's silver/gold tables -- and read from
+there by every later query, instead of being re-derived in each branch of
+each plan.
 """
 
 from __future__ import annotations
@@ -14,15 +16,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.plans import gold, silver
-from contrail.session import configure
+from contrail.session import configure, write_table
 from contrail.sources.fixtures import Fixtures
 
 
+# Layers written once per (application, input folder): the silver and gold
+# tables of the medallion, as Parquet in the shared folder.
+_STORE: dict[tuple, DataFrame] = {}
+
+
 class Layers:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         configure(spark)
         self.spark = spark
-        self.fx = Fixtures(spark, sf_dir)
+        self.sf_dir = sf_dir
+        self.materialize = materialize
+        self.fx = Fixtures(spark, sf_dir, keep=self.keep if materialize else None)
+
+    def keep(self, name: str, build) -> DataFrame:
+        """Write ``df`` once to the shared checkpoint folder and reuse it.
+
+        A table read by many queries (flights, the flight fact, ...) is
+        computed once; later plans start from durable files, so a lost
+        executor recomputes from them instead of from the raw tables.
+        """
+        if not self.materialize:
+            return build()
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _STORE:
+            _STORE[key] = write_table(build(), name)
+        return _STORE[key]
 
     # ---- silver -----------------------------------------------------------
     @cached_property
@@ -35,23 +58,23 @@ class Layers:
 
     @cached_property
     def engines(self) -> DataFrame:
-        return silver.engines_cross(self.spark, self.fleet)
+        return self.keep("engines", lambda: silver.engines_cross(self.spark, self.fleet))
 
     @cached_property
     def workshops(self) -> DataFrame:
-        return silver.workshops(self.spark, self.fx.airports)
+        return self.keep("workshops", lambda: silver.workshops(self.spark, self.fx.airports))
 
     @cached_property
     def crew(self) -> DataFrame:
-        return silver.clean_crew(self.fx.crew, self.fx.flights)
+        return self.keep("crew", lambda: silver.clean_crew(self.fx.crew, self.fx.flights))
 
     @cached_property
     def maintenance(self) -> DataFrame:
-        return silver.clean_maintenance(self.fx.maintenance, self.fleet, self.engines, self.workshops)
+        return self.keep("maintenance", lambda: silver.clean_maintenance(self.fx.maintenance, self.fleet, self.engines, self.workshops))
 
     @cached_property
     def positions(self) -> DataFrame:
-        return silver.clean_positions(self.fx.positions, self.fx.flights)
+        return self.keep("positions", lambda: silver.clean_positions(self.fx.positions, self.fx.flights))
 
     @cached_property
     def sensors(self) -> DataFrame:
@@ -63,30 +86,30 @@ class Layers:
 
     @cached_property
     def cargo(self) -> DataFrame:
-        return silver.clean_cargo(self.fx.cargo, self.fx.flights)
+        return self.keep("cargo", lambda: silver.clean_cargo(self.fx.cargo, self.fx.flights))
 
     # ---- gold dims -----------------------------------------------------------
     @cached_property
     def dim_calendar(self) -> DataFrame:
         dates = (self.fx.flights.select(F.col("salida_programada").alias("ts"))
                  .unionByName(self.fx.t("events").select("ts")))
-        return gold.dim_calendar(dates)
+        return self.keep("dim_calendar", lambda: gold.dim_calendar(dates))
 
     @cached_property
     def dim_airport(self) -> DataFrame:
-        return gold.dim_airport(self.fx.airports, self.fx.flights)
+        return self.keep("dim_airport", lambda: gold.dim_airport(self.fx.airports, self.fx.flights))
 
     @cached_property
     def dim_route(self) -> DataFrame:
-        return gold.dim_route(self.fx.flights, self.dim_airport)
+        return self.keep("dim_route", lambda: gold.dim_route(self.fx.flights, self.dim_airport))
 
     @cached_property
     def dim_aircraft(self) -> DataFrame:
-        return gold.dim_aircraft(self.fleet)
+        return self.keep("dim_aircraft", lambda: gold.dim_aircraft(self.fleet))
 
     @cached_property
     def dim_segment(self) -> DataFrame:
-        return gold.dim_passenger_segment(self.fx.passengers)
+        return self.keep("dim_segment", lambda: gold.dim_passenger_segment(self.fx.passengers))
 
     @cached_property
     def dim_crew_role(self) -> DataFrame:
@@ -100,18 +123,18 @@ class Layers:
         cols = ["vuelo_id", "aeropuerto_id", "litros", "densidad_kgl", "masa_kg", "precio_litro_usd",
                 "costo_total_usd", "timestamp_carga"]
         bf = gold.fuel_backfill(self.fx.flights, f).select(*cols)
-        return (f.select(F.col("fuel_id"), *cols)
-                 .unionByName(bf.withColumn("fuel_id", -F.col("vuelo_id") - 1)))
+        return self.keep("fuel_all", lambda: f.select(F.col("fuel_id"), *cols)
+                         .unionByName(bf.withColumn("fuel_id", -F.col("vuelo_id") - 1)))
 
     @cached_property
     def fact_flight_raw(self) -> DataFrame:
-        return gold.fact_flight(self.fx.flights, self.fleet, self.dim_airport, self.dim_route,
-                                self.dim_aircraft, self.dim_calendar, self.fx.bookings,
-                                self.fx.cargo, self.fuel_all)
+        return self.keep("fact_flight_raw", lambda: gold.fact_flight(
+            self.fx.flights, self.fleet, self.dim_airport, self.dim_route, self.dim_aircraft, self.dim_calendar,
+            self.fx.bookings, self.fx.cargo, self.fuel_all))
 
     @cached_property
     def fact_flight(self) -> DataFrame:
-        return gold.fact_flight_enrich(self.fact_flight_raw)
+        return self.keep("fact_flight", lambda: gold.fact_flight_enrich(self.fact_flight_raw))
 
     @cached_property
     def fact_passenger(self) -> DataFrame:

@@ -18,6 +18,8 @@ _REQUIRED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # keyed dedup aggregates structs (sort-based); generate code for it
+    "spark.sql.codegen.aggregate.sortAggregate.enabled": "true",
 }
 
 
@@ -69,3 +71,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """Path under the shared checkpoint folder for a named output."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def write_table(df, name: str):
+    """Cut lineage by writing ``df`` as Parquet under the shared folder and reading it back.
+
+    Columnar and durable: later plans prune columns, push filters, and a
+    lost executor re-reads files instead of recomputing the lineage.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

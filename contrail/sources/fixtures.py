@@ -42,12 +42,31 @@ def dec(c: Column, p: int, s: int) -> Column:
     return c.cast(f"decimal({p},{s})")
 
 
+class materialized(cached_property):
+    """A fixture the pipelines read many times: handed to the owner's
+    ``keep`` hook (which may write it once to the shared folder)."""
+
+    def __set_name__(self, owner, name):
+        super().__set_name__(owner, name)
+        self._name = name
+
+    def __get__(self, instance, owner=None):
+        if instance is None:
+            return self
+        if self._name not in instance.__dict__:
+            keep = getattr(instance, "keep", None)
+            instance.__dict__[self._name] = (keep("fx_" + self._name, lambda: self.func(instance)) if keep
+                                             else self.func(instance))
+        return instance.__dict__[self._name]
+
+
 class Fixtures:
     """Lazy DataFrames over one scale-factor folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, keep=None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.keep = keep
 
     def t(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
@@ -92,7 +111,7 @@ class Fixtures:
             F.lit(None).cast("string").alias("wikipedia_link"),
             F.lit(None).cast("string").alias("keywords"))
 
-    @cached_property
+    @materialized
     def airports(self) -> DataFrame:
         s = self.t("supplier")
         k = F.col("s_suppkey")
@@ -119,7 +138,7 @@ class Fixtures:
                  ))
 
     # ---- fleet -----------------------------------------------------------
-    @cached_property
+    @materialized
     def aircraft(self) -> DataFrame:
         """One aircraft per distinct fleet slot used by the flights."""
         ids = self.t("orders").select((F.col("o_custkey") % 100).alias("aeronave_id")).distinct()
@@ -136,7 +155,7 @@ class Fixtures:
         )
 
     # ---- flights ----------------------------------------------------------
-    @cached_property
+    @materialized
     def flights(self) -> DataFrame:
         o = self.t("orders")
         k = F.col("o_orderkey")
@@ -185,7 +204,7 @@ class Fixtures:
          .withColumn("llegada_real", F.col("llegada_real").cast("timestamp_ntz"))
 
     # ---- passengers and bookings ----------------------------------------
-    @cached_property
+    @materialized
     def passengers(self) -> DataFrame:
         c = self.t("customer")
         k = F.col("c_custkey")
@@ -203,7 +222,7 @@ class Fixtures:
                      F.date_sub(F.lit("2000-01-01").cast("date"), F.floor(u(k, "dob") * 15000).cast("int")).alias("fecha_nacimiento"),
                  ))
 
-    @cached_property
+    @materialized
     def bookings(self) -> DataFrame:
         li = self.t("lineitem")
         pv = F.col("l_orderkey") * 8 + F.col("l_linenumber")
@@ -225,7 +244,7 @@ class Fixtures:
         )
 
     # ---- cargo, fuel, crew ------------------------------------------------
-    @cached_property
+    @materialized
     def cargo(self) -> DataFrame:
         li, p = self.t("lineitem"), self.t("part")
         awb = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
@@ -250,7 +269,7 @@ class Fixtures:
                       F.col("l_shipdate").alias("fecha_carga"),
                   ))
 
-    @cached_property
+    @materialized
     def fuel(self) -> DataFrame:
         f = self.flights
         k = F.col("vuelo_id")
