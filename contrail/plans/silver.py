@@ -105,10 +105,17 @@ def booking_resolve(reservations, passengers, flights, boarding) -> DataFrame:
         F.concat(F.get_json_object("pasajero_json", "$.first_name"), F.lit(" "),
                  F.get_json_object("pasajero_json", "$.last_name")).alias("pname"),
         F.get_json_object("pasajero_json", "$.nationality").alias("pnat")).where(F.col("fn").isNotNull())
-    p = passengers.select("pasajero_id", F.col("nombre").alias("pname"), F.col("nacionalidad").alias("pnat"))
-    v = flights.select("vuelo_id", F.col("numero_vuelo").alias("fn"))
-    b = boarding.select(F.col("pnr"), F.col("boarding_id"), F.col("asiento").alias("b_asiento"),
-                        F.col("timestamp_utc").alias("b_ts"))
+    # DISTINCT ON (reserva_id) ORDER BY pasajero_id, boarding ts DESC NULLS LAST,
+    # vuelo_id: the three lookups are independent, so each side is first
+    # reduced to the one candidate that order would keep. Every join is
+    # then N:1 -- a flight number shared by many flights, or a PNR boarded
+    # many times, never multiplies the reservation rows.
+    p = (passengers.groupBy(F.col("nombre").alias("pname"), F.col("nacionalidad").alias("pnat"))
+         .agg(F.min("pasajero_id").alias("pasajero_id")))
+    v = flights.groupBy(F.col("numero_vuelo").alias("fn")).agg(F.min("vuelo_id").alias("vuelo_id"))
+    b = first_per_key(boarding.where(F.col("pnr").isNotNull())
+                      .select("pnr", "boarding_id", F.col("asiento").alias("b_asiento"), F.col("timestamp_utc").alias("b_ts")),
+                      ["pnr"], [*desc("b_ts", nulls_last=True, kind="ts"), F.col("boarding_id")])
     j = r.join(p, ["pname", "pnat"]).join(v, "fn").join(b, "pnr", "left")
     est = F.upper(F.col("estado"))
     rows = j.select(
@@ -245,14 +252,14 @@ def _w_name():
 
 # J14 --------------------------------------------------------------------------
 def engines_cross(spark, fleet: DataFrame) -> DataFrame:
-    pos = spark.createDataFrame([(1,), (2,)], "posicion int")
     t = F.col("tipo")
     k = F.concat_ws("|", F.col("aeronave_id").cast("string"), F.col("posicion").cast("string"))
     modelo = (F.when(t.like("%A320%") | t.like("%A330%"), pick(["CFM56-5B", "V2500", "PW1100"], k, "eng_m"))
                .when(t.like("%B737%"), F.lit("CFM56-7B"))
                .when(t.like("%B787%"), pick(["TRENT-1000", "GENX-1B"], k, "eng_m"))
                .otherwise(F.lit("CFM56-7B")))
-    return fleet.crossJoin(F.broadcast(pos)).select(
+    # aircraft x (VALUES (1), (2)): two positions per row, as a narrow explode
+    return fleet.withColumn("posicion", F.explode(F.array(F.lit(1), F.lit(2)))).select(
         (F.col("aeronave_id") * 2 + F.col("posicion") - 1).alias("motor_id"),
         "aeronave_id", "posicion", modelo.alias("modelo"),
         F.concat(F.lit("SN-"), F.col("matricula"), F.lit("-"), F.col("posicion").cast("string")).alias("serial_number"),
