@@ -103,7 +103,7 @@ from f_positions""", ["f_positions"])
     oracle("geo_points", """
 select aeropuerto_id,
   case when v then cast(longitude_deg as double) end as st_x, case when v then cast(latitude_deg as double) end as st_y,
-  case when v then elevation_ft * 0.3048 end as st_z
+  case when v then cast(elevation_ft * 0.3048 as double) end as st_z
 from (select *, latitude_deg between -90 and 90 and longitude_deg between -180 and 180 as v from f_airports)""",
            ["f_airports"])
     oracle("wkt_linestring_parse", """

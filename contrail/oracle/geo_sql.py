@@ -98,7 +98,7 @@ join f_airports o on o.aeropuerto_id = v.origen_id join f_airports t on t.aeropu
     xt3 = CROSS_TRACK("p.latitud", "p.longitud", "w.lat1", "w.lon1", "w.lat2", "w.lon2")
     oracle("in_airway_3d", f"""
 select punto_id, aerovia_id, designador, xt <= 9260.0 and altitud_pies between nivel_min * 100 and nivel_max * 100 as dentro_aerovia,
-  round(xt / 1852.0, 2) as distancia_nm, nivel_min, nivel_max, altitud_pies * 0.3048 as altitud_m
+  round(xt / 1852.0, 2) as distancia_nm, nivel_min, nivel_max, cast(altitud_pies * 0.3048 as double) as altitud_m
 from (select p.punto_id, p.aerovia_id, w.codigo as designador, p.altitud_pies, w.nivel_min, w.nivel_max, {xt3} as xt
       from f_airway_points p join f_airways w on w.aerovia_id = p.aerovia_id)""", ["f_airway_points", "f_airways"])
     oracle("kpi_functions", """

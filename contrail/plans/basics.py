@@ -236,7 +236,8 @@ def geo_points(L: Layers) -> DataFrame:
     a = L.fx.airports
     lat, lon = F.col("latitude_deg").cast("double"), F.col("longitude_deg").cast("double")
     pt = F.when(valid_coordinates(lat, lon), F.struct(lon.alias("x"), lat.alias("y"),
-                                                      (F.col("elevation_ft") * 0.3048).alias("z")))
+                                                      (F.col("elevation_ft") * F.lit(0.3048).cast("decimal(5,4)"))
+                                                      .cast("double").alias("z")))
     return a.select("aeropuerto_id", pt.alias("p")).select(
         "aeropuerto_id", F.col("p.x").alias("st_x"), F.col("p.y").alias("st_y"), F.col("p.z").alias("st_z"))
 

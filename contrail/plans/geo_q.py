@@ -106,7 +106,7 @@ def in_airway_3d(L: Layers) -> DataFrame:
         F.col("nivel_min") * 100, F.col("nivel_max") * 100)
     return j.select("punto_id", "aerovia_id", F.col("codigo").alias("designador"), inside.alias("dentro_aerovia"),
                     F.round(F.col("_xt") / M_PER_NM, 2).alias("distancia_nm"), "nivel_min", "nivel_max",
-                    (F.col("altitud_pies") * F.lit(FT_TO_M)).alias("altitud_m"))
+                    (F.col("altitud_pies") * F.lit(FT_TO_M).cast("decimal(5,4)")).cast("double").alias("altitud_m"))
 
 
 @query
