@@ -288,7 +288,7 @@ class Fixtures:
                      add_minutes(F.col("salida_programada"), F.lit(-45)).alias("timestamp_carga"),
                  ))
 
-    @cached_property
+    @materialized
     def crew(self) -> DataFrame:
         li = self.t("lineitem")
         r = F.col("l_orderkey") * 8 + F.col("l_linenumber")
@@ -307,7 +307,7 @@ class Fixtures:
         )
 
     # ---- event-derived streams --------------------------------------------
-    @cached_property
+    @materialized
     def positions(self) -> DataFrame:
         return self.positions_from(self.t("events"))
 
@@ -328,7 +328,7 @@ class Fixtures:
             (F.col("user_id") % 75).alias("aerovia_id"),
         )
 
-    @cached_property
+    @materialized
     def sensors(self) -> DataFrame:
         return self.sensors_from(self.t("events"))
 
@@ -352,7 +352,7 @@ class Fixtures:
             F.col("ts").alias("timestamp_utc"),
         )
 
-    @cached_property
+    @materialized
     def baggage(self) -> DataFrame:
         return self.baggage_from(self.t("events"))
 
@@ -372,7 +372,7 @@ class Fixtures:
             F.col("ts").alias("timestamp_utc"),
         )
 
-    @cached_property
+    @materialized
     def maintenance(self) -> DataFrame:
         e = self.t("events")
         k = F.col("event_id")
@@ -397,7 +397,7 @@ class Fixtures:
         )
 
     # ---- reservations / boarding (bronze-shaped, JSON columns) ------------
-    @cached_property
+    @materialized
     def reservations(self) -> DataFrame:
         c = self.t("customer")
         k = F.col("c_custkey")
@@ -432,7 +432,7 @@ class Fixtures:
                                  F.floor(u(k, "rts") * 43200)).alias("timestamp_utc"),
                  ))
 
-    @cached_property
+    @materialized
     def boarding(self) -> DataFrame:
         c = self.t("customer")
         k = F.col("c_custkey")
@@ -454,7 +454,7 @@ class Fixtures:
         )
 
     # ---- navigation -------------------------------------------------------
-    @cached_property
+    @materialized
     def navaids(self) -> DataFrame:
         p = self.t("part")
         k = F.col("p_partkey")
@@ -474,7 +474,7 @@ class Fixtures:
             F.concat(F.lit("CH"), F.col("p_size").cast("string"), F.lit("XXXXXXXXXX")).alias("dme_channel"),
         )
 
-    @cached_property
+    @materialized
     def airways(self) -> DataFrame:
         p = self.t("part")
         k = F.col("p_partkey")
@@ -490,7 +490,7 @@ class Fixtures:
             (F.floor(u(k, "flmax") * 200) + 250).cast("int").alias("nivel_max"),
         )
 
-    @cached_property
+    @materialized
     def notams(self) -> DataFrame:
         p = self.t("part")
         k = F.col("p_partkey")
@@ -524,7 +524,7 @@ class Fixtures:
             "altitud_pies")
 
     # ---- rule inputs and snapshots ----------------------------------------
-    @cached_property
+    @materialized
     def rule_inputs(self) -> DataFrame:
         return self.rule_inputs_from(self.t("lineitem"))
 
