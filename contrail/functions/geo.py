@@ -10,13 +10,12 @@ Spark 4.1 has no distance functions, so these are closed-form formulas
   to 10,000 km and degrades only near antipodes (< 1 km).
 * ``cross_track_m``      distance from a point to a great-circle segment,
   clamped to the segment ends.
-* geocell helpers for distance-within and nearest-neighbour joins.
+
+The geocell joins built on these live in ``contrail.operators.geojoin``.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -84,46 +83,3 @@ def _bearing(lat1, lon1, lat2, lon2) -> Column:
     dl = F.radians(_d(lon2)) - F.radians(_d(lon1))
     return F.atan2(F.sin(dl) * F.cos(p2), F.cos(p1) * F.sin(p2) - F.sin(p1) * F.cos(p2) * F.cos(dl))
 
-
-# ---- geocells -----------------------------------------------------------
-
-def cell_size_for_radius_m(max_radius_m: float) -> float:
-    """Cell edge (degrees of latitude) that is at least the search radius."""
-    deg = max_radius_m / (math.pi * EARTH_RADIUS_SPHERE_M / 180.0)
-    return max(deg, 0.05)
-
-
-def point_cell(lat, lon, cell_deg: float) -> tuple[Column, Column]:
-    return (F.floor(_d(lat) / cell_deg).cast("int"),
-            F.floor(_d(lon) / cell_deg).cast("int"))
-
-
-def cover_cells(lat, lon, radius_m, cell_deg: float) -> Column:
-    """Array of (cy, cx) cells that a circle of ``radius_m`` can touch.
-
-    Latitude span is radius / (deg length); longitude span widens by
-    1 / cos(lat) of the most poleward edge, and covers every longitude
-    when the circle reaches a pole. Longitudes wrap at +-180.
-    """
-    deg_len = math.pi * EARTH_RADIUS_SPHERE_M / 180.0
-    dlat = _d(radius_m) / deg_len
-    la = _d(lat)
-    lat_lo, lat_hi = la - dlat, la + dlat
-    edge = F.greatest(F.abs(lat_lo), F.abs(lat_hi))
-    n_lon = int(math.ceil(360.0 / cell_deg))
-    polar = edge >= 89.9
-    dlon = F.when(polar, F.lit(180.0)).otherwise(dlat / F.cos(F.radians(edge)))
-    dlon = F.least(dlon, F.lit(180.0))
-    cy0 = F.floor(F.greatest(lat_lo, F.lit(-90.0)) / cell_deg).cast("int")
-    cy1 = F.floor(F.least(lat_hi, F.lit(90.0)) / cell_deg).cast("int")
-    cx0 = F.floor((_d(lon) - dlon) / cell_deg).cast("int")
-    cx1 = F.floor((_d(lon) + dlon) / cell_deg).cast("int")
-    # never more than one full turn of longitude cells
-    cx1 = F.least(cx1, cx0 + F.lit(n_lon - 1))
-    half = n_lon // 2
-    ys = F.sequence(cy0, cy1)
-    xs = F.sequence(cx0, cx1)
-    # wrap x into [-half, half) so it matches point_cell of a wrapped lon
-    wrapped = F.transform(xs, lambda x: F.pmod(x + F.lit(half), F.lit(n_lon)) - F.lit(half))
-    return F.flatten(F.transform(ys, lambda y: F.transform(
-        F.array_distinct(wrapped), lambda x: F.struct(y.alias("cy"), x.alias("cx")))))

@@ -17,11 +17,6 @@ def _c(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)
 
 
-def _num(c: Column) -> Column:
-    """Numeric image of a value for negation (timestamps/dates as micros/days)."""
-    return c
-
-
 def asc(c, nulls_last: bool = False) -> list[Column]:
     c = _c(c)
     flag = c.isNull() if nulls_last else c.isNotNull()
