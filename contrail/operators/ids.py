@@ -45,7 +45,7 @@ def keyed_pick_join(df: DataFrame, key: Column, salt: str, candidates: DataFrame
     dense index 0..n-1, each row computes ``floor(u * n)`` and equi-joins.
     """
     idx = dense_index(candidates.select(*cand_cols), cand_order, "_ci", start=0)
-    n = idx.agg(F.count("*").alias("_cn"))
-    tagged = df.crossJoin(F.broadcast(n)).withColumn("_ci", F.floor(u(key, salt) * F.col("_cn")).cast("long"))
+    n = idx.count()  # one scalar; the indexed candidates are already written out
+    tagged = df.withColumn("_ci", F.floor(u(key, salt) * F.lit(n)).cast("long"))
     picked = idx.select("_ci", *[F.col(c).alias(prefix + c) for c in cand_cols])
-    return tagged.join(picked, "_ci", "left").drop("_ci", "_cn")
+    return tagged.join(picked, "_ci", "left").drop("_ci")

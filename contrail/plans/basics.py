@@ -394,9 +394,8 @@ def row_multiply(L: Layers) -> DataFrame:
 def lateral_pick_other(L: Layers) -> DataFrame:
     """Per origin airport, one other airport chosen by a keyed draw (never itself)."""
     ap = dense_index(L.fx.airports.select("aeropuerto_id"), ["aeropuerto_id"], "ix", start=0)
-    n = ap.agg(F.count("*").alias("n"))
-    o = ap.crossJoin(F.broadcast(n)).withColumn(
-        "j", F.floor(u(F.col("aeropuerto_id"), "other") * (F.col("n") - 1)).cast("long"))
+    n = ap.count()  # one scalar; the index is already written out
+    o = ap.withColumn("j", F.floor(u(F.col("aeropuerto_id"), "other") * F.lit(n - 1)).cast("long"))
     o = o.withColumn("j", F.when(F.col("j") >= F.col("ix"), F.col("j") + 1).otherwise(F.col("j")))
     d = ap.select(F.col("ix").alias("j"), F.col("aeropuerto_id").alias("destino_id"))
     return o.join(d, "j").select(F.col("aeropuerto_id").alias("origen_id"), "destino_id")
