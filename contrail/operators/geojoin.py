@@ -113,7 +113,7 @@ def nearest_join(points: DataFrame, pid: str, p_lat: str, p_lon: str, sites: Dat
     scy, scx = cell_of("_slat", "_slon", cell, n_lon, n_lat)
     s = (sites.where(F.col(s_lat).isNotNull() & F.col(s_lon).isNotNull())
          .select(F.col(sid).alias("_sid"), F.col(s_lat).cast("double").alias("_slat"),
-                 F.col(s_lon).cast("double").alias("_slon"), *site_cols)
+                 F.col(s_lon).cast("double").alias("_slon"))
          .withColumn("_cy", scy).withColumn("_cx", scx))
     pcy, pcx = cell_of("_plat", "_plon", cell, n_lon, n_lat)
     todo = points.select(F.col(pid).alias("_pid"), F.col(p_lat).cast("double").alias("_plat"),
@@ -134,7 +134,8 @@ def nearest_join(points: DataFrame, pid: str, p_lat: str, p_lon: str, sites: Dat
                 .select("*", F.col("_c.cy").alias("_cy"), F.col("_c.cx").alias("_cx")).drop("_c")
                 .join(s, ["_cy", "_cx"]))
         cand = cand.withColumn("_d", spheroid_distance_m("_plat", "_plon", "_slat", "_slon"))
-        best = cand.groupBy("_pid").agg(F.min(F.struct("_d", "_sid", *site_cols)).alias("_b"))
+        # (distance, site id): ties go to the smaller id, on every run
+        best = cand.groupBy("_pid").agg(F.min(F.struct("_d", "_sid")).alias("_b"))
         scored = todo.join(best, "_pid", "left").withColumn(
             "_ok", F.col("_b").isNotNull() & (F.lit(cover_all)
                                               | (F.col("_b._d") <= _guaranteed_m("_plat", "_plon", "_pcy", "_pcx", r,
@@ -150,5 +151,8 @@ def nearest_join(points: DataFrame, pid: str, p_lat: str, p_lon: str, sites: Dat
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    return out.select(F.col("_pid").alias(pid), F.col("_b._sid").alias(sid), F.col("_b._d").alias("dist_m"),
-                      *[F.col(f"_b.{c}").alias(c) for c in site_cols])
+    res = out.select(F.col("_pid").alias(pid), F.col("_b._sid").alias(sid), F.col("_b._d").alias("dist_m"))
+    if site_cols:
+        # site attributes join once, on the winner only (N:1 on the site id)
+        res = res.join(sites.select(sid, *site_cols), sid, "left")
+    return res
