@@ -8,9 +8,11 @@ its own output (exactly-once with the streaming checkpoint). Runs use
 
 * ST1 latest position per flight -- stateful ``max_by`` in update mode;
   each batch appends the changed keys, readers keep the newest batch.
-* ST2 baggage state -- latest event per tag with an event-time watermark;
-  rows older than the watermark are dropped by Spark and never revive
-  an old state.
+* ST2 baggage state -- latest event per tag by (event time, id): a row that
+  arrives late, older than the state already kept, never replaces it.
+  (Spark's watermark does not filter rows of a non-windowed aggregation;
+  it bounds state for the windowed ST3, where late rows are dropped and
+  counted in ``LAST_METRICS``.)
 * ST3 engine telemetry -- hourly tumbling windows, append mode: a window
   is emitted once the watermark passes its end.
 * ST4 rule quarantine -- the §2.13 rule set applied to each micro-batch.
@@ -33,7 +35,7 @@ from contrail.sources.schemas import DRIVER_SCHEMAS, struct
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """File stream over one driver table (directory source, file glob)."""
     return (spark.readStream.schema(struct(DRIVER_SCHEMAS[name]))
-            .option("pathGlobFilter", f"{name}.parquet").option("maxFilesPerTrigger", 1)
+            .option("pathGlobFilter", f"{name}*.parquet").option("maxFilesPerTrigger", 1)
             .parquet(sf_dir.rstrip("/") + "/"))
 
 
@@ -43,9 +45,19 @@ def _run(stream: DataFrame, mode: str, handler, name: str) -> str:
     q = (stream.writeStream.outputMode(mode).foreachBatch(lambda df, bid: handler(df, bid, base + "/out"))
          .option("checkpointLocation", base + "/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
+    dropped = 0
+    for p in q.recentProgress:
+        for op in (p.get("stateOperators") or []) if isinstance(p, dict) else (p.stateOperators or []):
+            n = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
+            dropped += n or 0
+    LAST_METRICS[name] = {"rows_dropped_by_watermark": dropped, "batches": len(q.recentProgress)}
     return base + "/out"
 
 
+# per stream name: late rows dropped and batches run in the last availableNow run
+LAST_METRICS: dict[str, dict] = {}
+
+
 def _append_batch(df: DataFrame, bid: int, path: str) -> None:
     # idempotent per batch: a retried batch rewrites only its own partition
     df.withColumn("batch_id", F.lit(bid)).write.mode("overwrite") \
