@@ -126,11 +126,16 @@ class Layers:
         return self.keep("fuel_all", lambda: f.select(F.col("fuel_id"), *cols)
                          .unionByName(bf.withColumn("fuel_id", -F.col("vuelo_id") - 1)))
 
+    @cached_property
+    def flight_routes(self) -> DataFrame:
+        return self.keep("flight_routes", lambda: gold.flight_routes(
+            self.fx.flights, self.dim_airport, self.dim_route, self.dim_calendar))
+
     @cached_property
     def fact_flight_raw(self) -> DataFrame:
         return self.keep("fact_flight_raw", lambda: gold.fact_flight(
             self.fx.flights, self.fleet, self.dim_airport, self.dim_route, self.dim_aircraft, self.dim_calendar,
-            self.fx.bookings, self.fx.cargo, self.fuel_all))
+            self.fx.bookings, self.fx.cargo, self.fuel_all, routes=self.flight_routes))
 
     @cached_property
     def fact_flight(self) -> DataFrame:
@@ -143,12 +148,13 @@ class Layers:
 
     @cached_property
     def fact_cargo(self) -> DataFrame:
-        return gold.fact_cargo(self.fx.cargo, self.fx.flights, self.dim_airport, self.dim_route, self.dim_calendar)
+        return gold.fact_cargo(self.fx.cargo, self.fx.flights, self.dim_airport, self.dim_route, self.dim_calendar,
+                               routes=self.flight_routes)
 
     @cached_property
     def fact_fuel(self) -> DataFrame:
         return gold.fact_fuel(self.fuel_all, self.fx.flights, self.dim_airport, self.dim_aircraft,
-                              self.dim_route, self.dim_calendar, self.fact_flight)
+                              self.dim_route, self.dim_calendar, self.fact_flight, routes=self.flight_routes)
 
     @cached_property
     def fact_maintenance(self) -> DataFrame:

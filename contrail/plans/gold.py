@@ -206,9 +206,22 @@ def route_lookup(flights: DataFrame, dim_ap: DataFrame, dim_rt: DataFrame) -> Da
                    .join(dim_rt, ["origen_icao", "destino_icao"]))
 
 
+def flight_routes(flights: DataFrame, dim_ap: DataFrame, dim_rt: DataFrame, dim_cal: DataFrame) -> DataFrame:
+    """Each scheduled flight with its route and calendar day.
+
+    Shared by the flight, cargo and fuel facts: written once, it turns each
+    fact into one N:1 join on ``vuelo_id`` instead of four lookups apiece.
+    """
+    f = flights.where(F.col("salida_programada").isNotNull())
+    return (route_lookup(f, dim_ap, dim_rt).withColumn("tiempo_id", date_key("salida_programada"))
+            .join(dim_cal.select("tiempo_id"), "tiempo_id"))
+
+
 def fact_flight(flights, aircraft, dim_ap, dim_rt, dim_ac, dim_cal, bookings, cargo, fuel,
-                year: int | None = None) -> DataFrame:
-    f = flights.where(F.col("salida_programada").isNotNull() & F.col("llegada_programada").isNotNull())
+                year: int | None = None, routes: DataFrame | None = None) -> DataFrame:
+    if routes is None:
+        routes = flight_routes(flights, dim_ap, dim_rt, dim_cal)
+    f = routes.where(F.col("llegada_programada").isNotNull())
     if year is not None:
         f = f.where(F.year("salida_programada") == year)
     pv = bookings.groupBy("vuelo_id").agg(
@@ -217,11 +230,8 @@ def fact_flight(flights, aircraft, dim_ap, dim_rt, dim_ac, dim_cal, bookings, ca
         F.sum("tarifa_usd").alias("pv_revenue"))
     cg = cargo.groupBy("vuelo_id").agg(F.sum(F.col("peso_kg") * F.lit(2.5).cast("decimal(2,1)")).alias("cg_revenue"))
     cb = fuel.groupBy("vuelo_id").agg(F.sum("masa_kg").alias("cb_kg"), F.sum("costo_total_usd").alias("cb_cost"))
-    j = (route_lookup(f, dim_ap, dim_rt)
-         .join(aircraft.select("aeronave_id", "configuracion_asientos"), "aeronave_id")
+    j = (f.join(aircraft.select("aeronave_id", "configuracion_asientos"), "aeronave_id")
          .join(dim_ac.select("aeronave_id"), "aeronave_id")
-         .withColumn("tiempo_id", date_key("salida_programada"))
-         .join(dim_cal.select("tiempo_id"), "tiempo_id")
          .join(pv, "vuelo_id", "left").join(cg, "vuelo_id", "left").join(cb, "vuelo_id", "left"))
     k = F.col("vuelo_id")
     delay_raw = F.coalesce(minutes_between("salida_real", "salida_programada"), F.lit(0.0))
@@ -339,11 +349,11 @@ def fact_passenger_yield_fill(fp: DataFrame) -> DataFrame:
 
 
 # ---- K13 cargo fact -----------------------------------------------------------
-def fact_cargo(cargo: DataFrame, flights: DataFrame, dim_ap, dim_rt, dim_cal) -> DataFrame:
-    f = flights.where(F.col("salida_programada").isNotNull()).select(
-        "vuelo_id", "origen_id", "destino_id", "salida_programada")
-    j = (route_lookup(f, dim_ap, dim_rt).withColumn("tiempo_id", date_key("salida_programada"))
-         .join(dim_cal.select("tiempo_id"), "tiempo_id")
+def fact_cargo(cargo: DataFrame, flights: DataFrame, dim_ap, dim_rt, dim_cal,
+               routes: DataFrame | None = None) -> DataFrame:
+    if routes is None:
+        routes = flight_routes(flights, dim_ap, dim_rt, dim_cal)
+    j = (routes.select("vuelo_id", "tiempo_id", "ruta_id", "distancia_km")
          .join(cargo.where(F.col("peso_kg") > 0), "vuelo_id"))
     t = F.col("tipo_carga")
     row = F.concat_ws("|", "awb", "vuelo_id")
@@ -383,13 +393,12 @@ def fact_cargo(cargo: DataFrame, flights: DataFrame, dim_ap, dim_rt, dim_cal) ->
 
 
 # ---- K14 fuel fact ------------------------------------------------------------
-def fact_fuel(fuel: DataFrame, flights: DataFrame, dim_ap, dim_ac, dim_rt, dim_cal, fact_fl) -> DataFrame:
-    f = flights.where(F.col("salida_programada").isNotNull()).select(
-        "vuelo_id", "origen_id", "destino_id", "aeronave_id", "salida_programada")
-    j = (route_lookup(f, dim_ap, dim_rt)
+def fact_fuel(fuel: DataFrame, flights: DataFrame, dim_ap, dim_ac, dim_rt, dim_cal, fact_fl,
+              routes: DataFrame | None = None) -> DataFrame:
+    if routes is None:
+        routes = flight_routes(flights, dim_ap, dim_rt, dim_cal)
+    j = (routes.select("vuelo_id", "origen_id", "aeronave_id", "tiempo_id", "ruta_id", "distancia_km")
          .join(dim_ac.select("aeronave_id"), "aeronave_id")
-         .withColumn("tiempo_id", date_key("salida_programada"))
-         .join(dim_cal.select("tiempo_id"), "tiempo_id")
          .join(fuel.where((F.col("masa_kg") > 0) & (F.col("costo_total_usd") > 0))
                    .select("fuel_id", "vuelo_id", "masa_kg", "costo_total_usd"), "vuelo_id"))
     # C20: multi-key left join (date, aircraft, route); pre-aggregated so it cannot fan out
