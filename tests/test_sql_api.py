@@ -42,3 +42,12 @@ def test_single_point_functions_run(api):
     flight = api.table("combustible_carga").select("vuelo_id").first().vuelo_id
     eff = api.sql(f"SELECT * FROM fn_eficiencia_combustible({flight})").collect()
     assert len(eff) == 1 and eff[0].eficiencia_kg_km > 0
+
+
+def test_named_views_are_queryable(api):
+    from contrail.plans.sql_api import MATERIALIZED_VIEWS, VIEWS, register_views
+    register_views(api, SF_SMALL)
+    n = api.sql("SELECT sum(vuelos_totales) AS n FROM vw_puntualidad_vuelos").first().n
+    assert n == E.queries()["fact_flight"](api, SF_SMALL).count()
+    for v in list(VIEWS) + list(MATERIALIZED_VIEWS):
+        assert api.table(v).columns
