@@ -6,15 +6,13 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
+import tools.oracle_check as oc
 from tools.oracle_check import compare
 
-KEYS = [
-    "otp_by_month", "fact_flight", "fact_flight_enrich", "dim_airport", "dim_route", "booking_resolve",
-    "baggage_latest", "clean_cargo", "clean_maintenance", "flight_operations_view", "route_occupancy",
-    "otp_by_airport", "safety_summary", "passenger_connections", "crew_rollup", "rule_maintenance_state",
-    "audit_snapshot_hash", "geo_within_join", "nearest_airport", "route_deviation", "kpi_functions",
-    "synth_positions", "insert_ignore", "stream_latest_position", "stream_engine_health",
-]
+oc.EXACT = True  # floats compared bit for bit
+
+# every registered key, on the smallest scale factor
+KEYS = sorted(E.queries())
 
 
 @pytest.fixture(scope="module")
