@@ -80,7 +80,9 @@ def write_table(df, name: str):
     lost executor re-reads files instead of recomputing the lineage.
     """
     import uuid
+
+    from contrail.sources.tables import spread
     spark = df.sparkSession
     path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spread(spark.read.parquet(path))
