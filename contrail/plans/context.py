@@ -1,8 +1,9 @@
 """Lazy wiring of the medallion layers over one scale-factor folder.
 
-``Layers`` builds every silver and gold DataFrame on first use. Tables that
-many queries read (flights, bookings, the dimensions, the flight fact)
-go through ``keep``: written once per application to the shared
+``Layers`` builds every silver and gold DataFrame on first use. The
+silver tables many queries read (flights, bookings, positions, ...), the
+dimensions and every gold fact go through ``keep``: written once per
+application to the shared
 checkpoint folder -- the medallion's silver/gold tables -- and read from
 there by every later query, instead of being re-derived in each branch of
 each plan.
@@ -141,25 +142,33 @@ class Layers:
     def fact_flight(self) -> DataFrame:
         return self.keep("fact_flight", lambda: gold.fact_flight_enrich(self.fact_flight_raw))
 
+    @cached_property
+    def fact_passenger_raw(self) -> DataFrame:
+        return self.keep("fact_passenger_raw", lambda: gold.fact_passenger(
+            self.fx.bookings, self.fact_flight, self.dim_segment))
+
     @cached_property
     def fact_passenger(self) -> DataFrame:
-        return gold.fact_passenger_yield_fill(
-            gold.fact_passenger(self.fx.bookings, self.fact_flight, self.dim_segment))
+        return self.keep("fact_passenger", lambda: gold.fact_passenger_yield_fill(self.fact_passenger_raw))
 
     @cached_property
     def fact_cargo(self) -> DataFrame:
-        return gold.fact_cargo(self.fx.cargo, self.fx.flights, self.dim_airport, self.dim_route, self.dim_calendar,
-                               routes=self.flight_routes)
+        return self.keep("fact_cargo", lambda: gold.fact_cargo(
+            self.fx.cargo, self.fx.flights, self.dim_airport, self.dim_route, self.dim_calendar,
+            routes=self.flight_routes))
 
     @cached_property
     def fact_fuel(self) -> DataFrame:
-        return gold.fact_fuel(self.fuel_all, self.fx.flights, self.dim_airport, self.dim_aircraft,
-                              self.dim_route, self.dim_calendar, self.fact_flight, routes=self.flight_routes)
+        return self.keep("fact_fuel", lambda: gold.fact_fuel(
+            self.fuel_all, self.fx.flights, self.dim_airport, self.dim_aircraft, self.dim_route, self.dim_calendar,
+            self.fact_flight, routes=self.flight_routes))
 
     @cached_property
     def fact_maintenance(self) -> DataFrame:
-        return gold.fact_maintenance(self.maintenance, self.dim_aircraft, self.dim_calendar)
+        return self.keep("fact_maintenance", lambda: gold.fact_maintenance(
+            self.maintenance, self.dim_aircraft, self.dim_calendar))
 
     @cached_property
     def fact_crew(self) -> DataFrame:
-        return gold.fact_crew(self.crew, self.fx.flights, self.dim_crew_role, self.dim_calendar)
+        return self.keep("fact_crew", lambda: gold.fact_crew(
+            self.crew, self.fx.flights, self.dim_crew_role, self.dim_calendar))

@@ -50,8 +50,7 @@ def fuel_backfill(L: Layers) -> DataFrame:
 
 @query
 def fact_passenger(L: Layers) -> DataFrame:
-    from contrail.plans.gold import fact_passenger as fp
-    return _dbl(fp(L.fx.bookings, L.fact_flight, L.dim_segment))
+    return _dbl(L.fact_passenger_raw)
 
 
 @query
