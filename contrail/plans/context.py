@@ -11,6 +11,8 @@ each plan.
 
 from __future__ import annotations
 
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +26,24 @@ from contrail.sources.fixtures import Fixtures
 # Layers written once per (application, input folder): the silver and gold
 # tables of the medallion, as Parquet in the shared folder.
 _STORE: dict[tuple, DataFrame] = {}
+_GUARD = threading.Lock()
+_KEY_LOCKS: dict[tuple, threading.Lock] = {}
+
+# Build order for ``Layers.build``: tables in one stage depend only on
+# earlier stages, so each stage's jobs can run concurrently.
+BUILD_STAGES = [
+    ["fx.flights", "fx.airports", "fx.aircraft", "fx.bookings", "fx.cargo", "fx.passengers", "fx.positions",
+     "fx.sensors", "fx.maintenance", "fx.crew", "fx.notams", "fx.airways", "fx.navaids", "fx.reservations",
+     "fx.boarding", "fx.baggage", "fx.rule_inputs"],
+    ["fx.fuel", "dim_calendar", "dim_airport", "dim_aircraft", "dim_segment", "engines", "workshops", "crew",
+     "positions", "cargo"],
+    ["dim_route", "maintenance", "fuel_all"],
+    ["flight_routes", "fact_crew"],
+    ["fact_flight_raw", "fact_cargo", "fact_maintenance"],
+    ["fact_flight"],
+    ["fact_passenger_raw", "fact_fuel"],
+    ["fact_passenger"],
+]
 
 
 class Layers:
@@ -44,10 +64,24 @@ class Layers:
         if not self.materialize:
             return build()
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        if key not in _STORE:
-            _STORE[key] = write_table(build(), name)
+        with _GUARD:
+            lock = _KEY_LOCKS.setdefault(key, threading.Lock())
+        with lock:  # one writer per table even when stages run in threads
+            if key not in _STORE:
+                _STORE[key] = write_table(build(), name)
         return _STORE[key]
 
+    def build(self, threads: int = 8) -> None:
+        """Write every shared table, stage by stage; jobs within a stage run concurrently."""
+        def touch(path: str) -> None:
+            obj = self
+            for part in path.split("."):
+                obj = getattr(obj, part)
+
+        for stage in BUILD_STAGES:
+            with ThreadPoolExecutor(max_workers=threads) as ex:
+                list(ex.map(touch, stage))
+
     # ---- silver -----------------------------------------------------------
     @cached_property
     def airlines(self) -> DataFrame:
