@@ -336,12 +336,16 @@ def flights_by_year(L: Layers) -> DataFrame:
 
 @query
 def fuel_coverage(L: Layers) -> DataFrame:
-    f, cb = L.fx.flights, L.fx.fuel
-    a = f.agg(F.count("*").alias("total_vuelos"))
-    b = cb.agg(F.count("*").alias("registros_fuel"), F.count_distinct("vuelo_id").alias("vuelos_distintos_con_fuel"))
-    c = f.join(cb.select("vuelo_id"), "vuelo_id", "left_anti").agg(F.count_distinct("vuelo_id").alias("vuelos_sin_fuel"))
-    # one-row aggregates: the cross product is a single row by construction
-    return a.crossJoin(b).crossJoin(c)
+    """Four scalar subqueries answered by one full outer join of flights
+    with fuel rows counted per flight (no cross product)."""
+    f = L.fx.flights.groupBy("vuelo_id").agg(F.count("*").alias("n_vuelos"))
+    cb = L.fx.fuel.groupBy(F.col("vuelo_id").alias("fuel_vuelo")).agg(F.count("*").alias("n_fuel"))
+    j = f.join(cb, f.vuelo_id == cb.fuel_vuelo, "full_outer")
+    return j.agg(
+        F.coalesce(F.sum("n_vuelos"), F.lit(0)).alias("total_vuelos"),
+        F.coalesce(F.sum("n_fuel"), F.lit(0)).alias("registros_fuel"),
+        F.count("fuel_vuelo").alias("vuelos_distintos_con_fuel"),
+        F.count(F.when(F.col("fuel_vuelo").isNull(), F.col("vuelo_id"))).alias("vuelos_sin_fuel"))
 
 
 @query
