@@ -145,7 +145,7 @@ select cast(l.l_orderkey as varchar) || '-' || cast(l.l_linenumber as varchar) a
   cast(l.l_quantity * 20 as decimal(10,2)) as peso_kg,
   cast(l.l_quantity / 2 as decimal(10,2)) as volumen_m3,
   case when {U(_k, 'decl')} < 0.2 then null else
-    json_object('commodity', p.p_name, 'customs_value_usd', cast(l.l_extendedprice as decimal(12,2)),
+    json_object('commodity', p.p_name, 'customs_value_usd', cast(cast(l.l_extendedprice as decimal(12,2)) as double),
                 'dangerous_goods', p.p_type = 'MEDIUM',
                 'temperature_required', {PICK(['AMBIENT', '2-8C', '-18C'], 'l.l_orderkey', 'tmp')},
                 'pieces', l.l_linenumber)::varchar end as declaracion_json,

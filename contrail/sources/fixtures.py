@@ -251,7 +251,7 @@ class Fixtures:
         pt = F.col("p_type")
         decl = F.to_json(F.struct(
             F.col("p_name").alias("commodity"),
-            dec(F.col("l_extendedprice"), 12, 2).alias("customs_value_usd"),
+            dec(F.col("l_extendedprice"), 12, 2).cast("double").alias("customs_value_usd"),
             (pt == "MEDIUM").alias("dangerous_goods"),
             pick(["AMBIENT", "2-8C", "-18C"], F.col("l_orderkey"), "tmp").alias("temperature_required"),
             F.col("l_linenumber").alias("pieces")))
@@ -409,7 +409,7 @@ class Fixtures:
             F.split_part(F.col("c_name"), F.lit("#"), F.lit(2)).alias("last_name"),
             F.when(u(k, "dtn") < 0.1, F.lit(None)).otherwise(F.lit("PASSPORT")).alias("document_type"),
             F.when(u(k, "natn") < 0.05, F.lit(None)).otherwise(F.col("iso_country")).alias("nationality"),
-            (u(k, "ff") < 0.2).alias("frequent_flyer")))
+            (u(k, "ff") < 0.2).alias("frequent_flyer")), {"ignoreNullFields": "false"})
         vuelos = F.to_json(F.struct(
             F.concat(code, F.lpad((ok % 10000).cast("string"), 4, "0")).alias("flight_number"),
             F.lpad((ok % 97).cast("string"), 4, "0").alias("origin"),
