@@ -66,3 +66,12 @@ def read_months(spark: SparkSession, path: str, first: int, last: int, part_col:
 def refresh_mv(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def truncate_reload(df: DataFrame, path: str) -> DataFrame:
+    """TRUNCATE ... RESTART IDENTITY + INSERT (A11): overwrite the whole table, read it back.
+
+    Rerunning it replaces the content instead of appending to it.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

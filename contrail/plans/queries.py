@@ -45,7 +45,14 @@ def dim_route(L: Layers) -> DataFrame:
 
 @query
 def dim_aircraft(L: Layers) -> DataFrame:
-    return L.dim_aircraft
+    """K3 through A11: truncate-and-reload twice into one table (the rerun replaces, never appends)."""
+    import uuid
+
+    from contrail.operators.sinks import truncate_reload
+    from contrail.session import scratch_path
+    path = scratch_path(L.spark, f"warehouse/dim_aeronave-{uuid.uuid4().hex}")
+    truncate_reload(L.dim_aircraft, path)
+    return truncate_reload(L.dim_aircraft, path)
 
 
 @query
