@@ -13,6 +13,7 @@ sink is idempotent under a rerun or a retried task:
                            carries, so facts never double (T12).
 * ``refresh_mv``        -- CREATE/REFRESH MATERIALIZED VIEW (A15): compute,
                            overwrite, read back.
+* ``truncate_reload``   -- TRUNCATE ... RESTART IDENTITY then INSERT (A11).
 """
 
 from __future__ import annotations

@@ -39,9 +39,12 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             .parquet(sf_dir.rstrip("/") + "/"))
 
 
-def _run(stream: DataFrame, mode: str, handler, name: str) -> str:
+def _run(stream: DataFrame, mode: str, handler, name: str, base: str | None = None) -> str:
+    """Run to completion (availableNow). ``base`` names a stable folder so a
+    restarted job resumes from its checkpoint; by default each run gets a
+    fresh folder under the shared checkpoint directory."""
     spark = stream.sparkSession
-    base = scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex}")
+    base = base or scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex}")
     q = (stream.writeStream.outputMode(mode).foreachBatch(lambda df, bid: handler(df, bid, base + "/out"))
          .option("checkpointLocation", base + "/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
@@ -75,31 +78,33 @@ def latest_from_changelog(spark: SparkSession, path: str, key: str, schema_hint:
 
 
 # ---- ST1 -----------------------------------------------------------------------
-def latest_position_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def latest_position_stream(spark: SparkSession, sf_dir: str, base: str | None = None) -> DataFrame:
     ev = stream_table(spark, sf_dir, "events")
     pos = Fixtures.positions_from(ev)
     agg = pos.groupBy("vuelo_id").agg(
         F.max_by(F.struct("posicion_id", "timestamp_utc", "latitud", "longitud", "altitud_pies", "velocidad_nudos"),
                  F.struct("timestamp_utc", "posicion_id")).alias("p"))
     flat = agg.select("vuelo_id", "p.*")
-    out = _run(flat, "update", _append_batch, "latest_position")
+    out = _run(flat, "update", _append_batch, "latest_position", base)
     return latest_from_changelog(spark, out, "vuelo_id", flat.sparkSession.createDataFrame([], flat.schema))
 
 
 # ---- ST2 -----------------------------------------------------------------------
-def baggage_state_stream(spark: SparkSession, sf_dir: str, delay: str = "30 minutes") -> DataFrame:
+def baggage_state_stream(spark: SparkSession, sf_dir: str, delay: str = "30 minutes",
+                         base: str | None = None) -> DataFrame:
     ev = stream_table(spark, sf_dir, "events")
     bag = Fixtures.baggage_from(ev).withColumn("ts", F.col("timestamp_utc").cast("timestamp"))
     agg = (bag.withWatermark("ts", delay).groupBy("tag_id")
            .agg(F.max_by(F.struct("baggage_id", "evento", "timestamp_utc"), F.struct("ts", "baggage_id")).alias("b"),
                 F.count("*").alias("eventos")))
     flat = agg.select("tag_id", "b.*", "eventos")
-    out = _run(flat, "update", _append_batch, "baggage_state")
+    out = _run(flat, "update", _append_batch, "baggage_state", base)
     return latest_from_changelog(spark, out, "tag_id", spark.createDataFrame([], flat.schema))
 
 
 # ---- ST3 -----------------------------------------------------------------------
-def engine_health_stream(spark: SparkSession, sf_dir: str, delay: str = "10 minutes") -> DataFrame:
+def engine_health_stream(spark: SparkSession, sf_dir: str, delay: str = "10 minutes",
+                         base: str | None = None) -> DataFrame:
     ev = stream_table(spark, sf_dir, "events")
     s = Fixtures.sensors_from(ev).withColumn("ts", F.col("timestamp_utc").cast("timestamp"))
     agg = (s.withWatermark("ts", delay).groupBy(F.window("ts", "1 hour"), "engine_id")
@@ -111,7 +116,7 @@ def engine_health_stream(spark: SparkSession, sf_dir: str, delay: str = "10 minu
                       # egt/vib are AVG over decimals: exact, rounded half up
                       F.when((F.col("vib") > 5) | (F.col("egt") > 900), "REQUIERE_INSPECCION")
                        .otherwise("OPERACION_NORMAL").alias("estado_predictivo"))
-    out = _run(flat, "append", _append_batch, "engine_health")
+    out = _run(flat, "append", _append_batch, "engine_health", base)
     try:
         return spark.read.parquet(out).drop("batch_id")
     except Exception:  # noqa: BLE001
@@ -119,7 +124,7 @@ def engine_health_stream(spark: SparkSession, sf_dir: str, delay: str = "10 minu
 
 
 # ---- ST4 -----------------------------------------------------------------------
-def rule_quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rule_quarantine_stream(spark: SparkSession, sf_dir: str, base: str | None = None) -> DataFrame:
     li = stream_table(spark, sf_dir, "lineitem")
     r = Fixtures.rule_inputs_from(li).select("registro_id", "load_factor_pct")
     rules = [Rule("M9", (F.col("load_factor_pct") < 0) | (F.col("load_factor_pct") > 100),
@@ -131,5 +136,5 @@ def rule_quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                .unionByName(rej.drop("mensaje").withColumn("resultado", F.lit("REJECTED"))))
         _append_batch(out, bid, path)
 
-    out = _run(r, "append", handle, "rule_quarantine")
+    out = _run(r, "append", handle, "rule_quarantine", base)
     return spark.read.parquet(out).drop("batch_id")
