@@ -39,3 +39,19 @@ def AVG_DEC(col: str, scale: int, out_scale: int) -> str:
     d = 10 ** (s + 4 - k)
     q2 = f"(sign({q1}) * ((2 * abs({q1}) + {d}) // (2 * {d})))"
     return f"(case when {n} = 0 then null else cast({q2} as double) / {10 ** k} end)"
+
+
+def DIV_DEC(a: str, b: str, sa: int, sb: int, mid: int, out: int) -> str:
+    """Spark's decimal a / b then ROUND(out), exactly.
+
+    Spark divides decimals half-up at the result type's scale ``mid`` (e.g.
+    6 for decimal(38,6)), then ROUND rounds half-up again; DuckDB would
+    divide in double. Both steps are redone in hugeint arithmetic.
+    """
+    ai = f"cast(({a}) * {10 ** sa} as hugeint)"
+    bi = f"cast(({b}) * {10 ** sb} as hugeint)"
+    num = f"({ai} * {10 ** (sb - sa + mid)})"
+    q1 = f"(sign({num}) * sign({bi}) * ((2 * abs({num}) + abs({bi})) // (2 * abs({bi}))))"
+    d = 10 ** (mid - out)
+    q2 = f"(sign({q1}) * ((2 * abs({q1}) + {d}) // (2 * {d})))"
+    return f"(case when {bi} = 0 then null else cast({q2} as double) / {10 ** out} end)"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from contrail.functions import codes
 from contrail.oracle.ctes import _def
-from contrail.oracle.det_sql import AVG_DEC, U
+from contrail.oracle.det_sql import AVG_DEC, DIV_DEC, U
 from contrail.oracle.gold_sql import MAP_CASE, _q
 
 _BIZ = ", ".join(_q(c) for c in codes.BUSINESS_CATEGORIES)
@@ -334,18 +334,17 @@ join g_dim_route dr on dr.ruta_id = hv.ruta_id join g_dim_airport da on da.icao
 group by da.aeropuerto_id, da.iata, da.icao, da.nombre, da.ciudad, da.pais, t.anio, t.mes
 order by t.anio desc, t.mes desc, otp_pct desc nulls last, da.aeropuerto_id""",
            ["g_fact_flight", "g_dim_calendar", "g_dim_route", "g_dim_airport"])
-    oracle("route_occupancy", """
+    oracle("route_occupancy", f"""
 select dr.ruta_id, dr.origen_icao, dr.destino_icao, dr.tipo_ruta, dr.mercado, t.anio, t.mes,
   count(hv.vuelo_id) as vuelos_operados, sum(hv.asientos_ofrecidos) as asientos_ofrecidos,
   sum(hv.asientos_vendidos) as asientos_vendidos, sum(hv.pax_transportados) as pasajeros_transportados,
   cast(round(sum(cast(hv.distance_flown_km as decimal(14,2))), 2) as double) as distancia_total_km,
   cast(round(sum(hv.asientos_ofrecidos * cast(hv.distance_flown_km as decimal(14,2))), 2) as double) as ask_total,
   cast(round(sum(hv.pax_transportados * cast(hv.distance_flown_km as decimal(14,2))), 2) as double) as rpk_total,
-  cast(round(sum(hv.pax_transportados * cast(hv.distance_flown_km as decimal(14,2))) * 100
-       / nullif(sum(hv.asientos_ofrecidos * cast(hv.distance_flown_km as decimal(14,2))), 0), 2) as double) as load_factor_pct,
+  {DIV_DEC('sum(hv.pax_transportados * cast(hv.distance_flown_km as decimal(14,2))) * 100', 'sum(hv.asientos_ofrecidos * cast(hv.distance_flown_km as decimal(14,2)))', 2, 2, 6, 2)} as load_factor_pct,
   cast(round(sum(hv.passenger_revenue_usd), 2) as double) as passenger_revenue_usd,
   cast(round(sum(hv.total_revenue_usd), 2) as double) as total_revenue_usd,
-  cast(round(sum(hv.passenger_revenue_usd) / nullif(sum(hv.pax_transportados * cast(hv.distance_flown_km as decimal(14,2))), 0), 4) as double) as yield_usd_rpk
+  {DIV_DEC('sum(hv.passenger_revenue_usd)', 'sum(hv.pax_transportados * cast(hv.distance_flown_km as decimal(14,2)))', 2, 2, 10, 4)} as yield_usd_rpk
 from g_fact_flight hv join g_dim_route dr on dr.ruta_id = hv.ruta_id join g_dim_calendar t on t.tiempo_id = hv.tiempo_id
 group by dr.ruta_id, dr.origen_icao, dr.destino_icao, dr.tipo_ruta, dr.mercado, t.anio, t.mes
 order by t.anio desc, t.mes desc, load_factor_pct desc nulls last, dr.ruta_id""", ["g_fact_flight", "g_dim_route", "g_dim_calendar"])
