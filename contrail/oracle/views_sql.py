@@ -30,7 +30,7 @@ _def("g_fact_passenger", f"""
 select pv.pv_id, pv.vuelo_id, hv.tiempo_id, hv.ruta_id, pv.pasajero_id, 1 as pax_count,
   round(hv.distance_flown_km, 2) as revenue_pax_km,
   round(cast(pv.tarifa_usd as double) / (case when hv.distance_flown_km <> 0 then hv.distance_flown_km end), 4) as yield_usd_rpk,
-  cast(least(round(cast(hv.pax_transportados as decimal(20,4)) * 100 / nullif(hv.asientos_ofrecidos, 0), 2), 100) as double) as load_factor_pct,
+  least({DIV_DEC('hv.pax_transportados * 100', 'hv.asientos_ofrecidos', 0, 0, 18, 2)}, 100.0) as load_factor_pct,
   coalesce(pv.equipaje_piezas, cast(floor({U(_k, 'bc')} * 2) + 1 as integer)) as baggage_count,
   cast(coalesce(pv.peso_equipaje_kg, cast(10 + {U(_k, 'bw')} * 20 as decimal(8,2))) as double) as baggage_weight_kg,
   case when {U(_k, 'lost')} < 0.005 then 1 else 0 end as baggage_lost_count,
@@ -86,7 +86,7 @@ select cb.fuel_id, cb.vuelo_id, cast(strftime(v.salida_programada, '%Y%m%d') as
   v.origen_id as aeropuerto_id, v.aeronave_id, v.ruta_id,
   cast(round(cb.masa_kg, 2) as double) as fuel_uplift_kg,
   cast(round(cast(cb.masa_kg * (0.92 + {U(_k, 'cons')} * 0.06) as decimal(18,4)), 2) as double) as fuel_consumed_kg,
-  cast(round(cb.costo_total_usd / nullif(cb.masa_kg, 0), 4) as double) as fuel_price_avg_usd_kg,
+  {DIV_DEC('cb.costo_total_usd', 'cb.masa_kg', 2, 3, 18, 4)} as fuel_price_avg_usd_kg,
   cast(round(cb.costo_total_usd, 2) as double) as fuel_cost_total_usd,
   least(round(cast(cb.masa_kg as double) / (case when v.distancia_km <> 0 then v.distancia_km end), 4), 99.9999) as efficiency_kg_km,
   round(-5 + {U(_k, 'var')} * 10, 2) as efficiency_variation_pct,
@@ -136,7 +136,7 @@ select tiempo_id, rol_id, rol, crew_count,
   round(cast(duty as double) * ({_pd}), 2) as per_diem_cost_usd,
   least(round(cast(duty as double) * (0.05 + {U(_key, 'tr')} * 0.05), 2), 9999.99) as training_hours,
   fatigue_events,
-  cast(least(round(cast(ok as decimal(20,4)) * 100 / crew_count, 2), 100) as double) as crew_pairing_efficiency_pct
+  least({DIV_DEC('ok * 100', 'crew_count', 0, 0, 15, 2)}, 100.0) as crew_pairing_efficiency_pct
 from (
   select cast(strftime(v.salida_programada, '%Y%m%d') as integer) as tiempo_id, r.rol_id, tv.rol,
     cast(count(*) as integer) as crew_count, sum(tv.horas_vuelo_duty) as duty, sum(tv.descanso_horas) as rest,
