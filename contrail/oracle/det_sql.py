@@ -55,3 +55,20 @@ def DIV_DEC(a: str, b: str, sa: int, sb: int, mid: int, out: int) -> str:
     d = 10 ** (mid - out)
     q2 = f"(sign({q1}) * ((2 * abs({q1}) + {d}) // (2 * {d})))"
     return f"(case when {bi} = 0 then null else cast({q2} as double) / {10 ** out} end)"
+
+
+def _half_up(num: str, den: str) -> str:
+    return f"(sign({num}) * sign({den}) * ((2 * abs({num}) + abs({den})) // (2 * abs({den}))))"
+
+
+def PCT_DEC(num: str, den: str) -> str:
+    """Spark's ROUND(CAST(num AS DECIMAL(20,6)) / den * 100, 2) for integer num, den.
+
+    The quotient is decimal(38,24) (half up), times 100 is decimal(38,20)
+    (half up), then ROUND 2 (half up) -- redone in hugeint arithmetic.
+    """
+    n, d = f"cast({num} as hugeint)", f"cast({den} as hugeint)"
+    q1 = _half_up(f"({n} * {10 ** 24})", d)
+    q2 = _half_up(f"({q1} * 100)", str(10 ** 4))
+    q3 = _half_up(q2, str(10 ** 18))
+    return f"(case when {d} = 0 then null else cast({q3} as double) / 100 end)"

@@ -8,6 +8,7 @@ mirrored.
 from __future__ import annotations
 
 from contrail.functions.codes import EARTH_RADIUS_SPHERE_M, WGS84_A, WGS84_F
+from contrail.oracle.det_sql import DIV_DEC
 
 _F1 = repr(1 - WGS84_F)
 _F2 = repr(WGS84_F / 2)
@@ -101,16 +102,13 @@ select punto_id, aerovia_id, designador, xt <= 9260.0 and altitud_pies between n
   round(xt / 1852.0, 2) as distancia_nm, nivel_min, nivel_max, cast(altitud_pies * 0.3048 as double) as altitud_m
 from (select p.punto_id, p.aerovia_id, w.codigo as designador, p.altitud_pies, w.nivel_min, w.nivel_max, {xt3} as xt
       from f_airway_points p join f_airways w on w.aerovia_id = p.aerovia_id)""", ["f_airway_points", "f_airways"])
-    oracle("kpi_functions", """
+    oracle("kpi_functions", f"""
 select vuelo_id,
   cast(round(cast(pax_transportados as decimal(18,0)) * km, 2) as double) as rpk,
   cast(round(cast(asientos_ofrecidos as decimal(18,0)) * km, 2) as double) as ask,
-  cast(case when asientos_ofrecidos = 0 then 0
-            else least(round(cast(pax_transportados as decimal(18,0)) * 100 / cast(asientos_ofrecidos as decimal(18,0)), 2), 100) end
-       as double) as load_factor_pct,
-  case when round(cast(pax_transportados as decimal(18,0)) * km, 2) = 0 then null
-       else cast(round(cast(passenger_revenue_usd as decimal(18,2)) / round(cast(pax_transportados as decimal(18,0)) * km, 2), 4) as double)
-  end as yield_usd_rpk,
+  case when asientos_ofrecidos = 0 then 0.0
+       else least({DIV_DEC('pax_transportados * 100', 'asientos_ofrecidos', 0, 0, 16, 2)}, 100.0) end as load_factor_pct,
+  {DIV_DEC('cast(passenger_revenue_usd as decimal(18,2))', 'round(cast(pax_transportados as decimal(18,0)) * km, 2)', 2, 2, 20, 4)} as yield_usd_rpk,
   cast(round(cast(coalesce(cargo_kg, 0) as decimal(18,2)) * 0.001 * km, 2) as double) as ctk
 from (select hv.*, cast(hv.distance_flown_km as decimal(12,2)) as km, cg.cargo_kg
       from g_fact_flight hv left join (select vuelo_id, sum(peso_kg) as cargo_kg from f_cargo group by vuelo_id) cg

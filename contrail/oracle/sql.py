@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from contrail.oracle import gold_sql  # noqa: F401  (registers gold CTEs)
 from contrail.oracle.ctes import with_ctes
+from contrail.oracle.det_sql import PCT_DEC
 
 ORACLE: dict[str, str] = {}
 
@@ -33,15 +34,15 @@ oracle("fact_flight_enrich", """
 select vuelo_id, asientos_ofrecidos, asientos_vendidos, pax_transportados, pax_no_show,
   cast(passenger_revenue_usd as double) as passenger_revenue_usd, cast(total_revenue_usd as double) as total_revenue_usd
 from g_fact_flight""", ["g_fact_flight"])
-oracle("otp_by_month", """
+oracle("otp_by_month", f"""
 select t.anio, t.mes, count(*) as vuelos_totales,
   sum(case when hv.delay_min <= 15 then 1 else 0 end) as vuelos_puntuales,
-  cast(round(cast(sum(case when hv.delay_min <= 15 then 1 else 0 end) as decimal(20,6)) / count(*) * 100, 2) as double) as otp_pct
+  {PCT_DEC('sum(case when hv.delay_min <= 15 then 1 else 0 end)', 'count(*)')} as otp_pct
 from g_fact_flight hv join g_dim_calendar t on hv.tiempo_id = t.tiempo_id
 group by t.anio, t.mes""", ["g_fact_flight", "g_dim_calendar"])
-oracle("fact_flight_totals", """
+oracle("fact_flight_totals", f"""
 select count(*) as total_vuelos, sum(asientos_ofrecidos) as total_asientos_ofrecidos, sum(pax_transportados) as total_pax,
-  cast(round(cast(sum(pax_transportados) as decimal(20,6)) / nullif(sum(asientos_ofrecidos), 0) * 100, 2) as double) as load_factor_global,
+  {PCT_DEC('sum(pax_transportados)', 'sum(asientos_ofrecidos)')} as load_factor_global,
   cast(round(sum(passenger_revenue_usd), 2) as double) as revenue_pax_total,
   cast(round(sum(cargo_revenue_usd), 2) as double) as revenue_cargo_total,
   cast(round(sum(total_revenue_usd), 2) as double) as revenue_total,

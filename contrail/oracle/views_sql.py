@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from contrail.functions import codes
 from contrail.oracle.ctes import _def
-from contrail.oracle.det_sql import AVG_DEC, DIV_DEC, U
+from contrail.oracle.det_sql import AVG_DEC, DIV_DEC, PCT_DEC, U
 from contrail.oracle.gold_sql import MAP_CASE, _q
 
 _BIZ = ", ".join(_q(c) for c in codes.BUSINESS_CATEGORIES)
@@ -325,7 +325,7 @@ select da.aeropuerto_id, da.iata, da.icao, da.nombre as aeropuerto_nombre, da.ci
   count(hv.vuelo_id) as vuelos_totales,
   count(*) filter (where hv.delay_min <= 15) as vuelos_puntuales,
   count(*) filter (where hv.delay_min > 15) as vuelos_demorados,
-  cast(round(cast(count(*) filter (where hv.delay_min <= 15) as decimal(20,6)) / nullif(count(hv.vuelo_id), 0) * 100, 2) as double) as otp_pct,
+  {PCT_DEC('count(*) filter (where hv.delay_min <= 15)', 'count(hv.vuelo_id)')} as otp_pct,
   {AVG_DEC('hv.delay_min', 0, 2)} as delay_promedio_min,
   cast(round(sum(hv.total_revenue_usd), 2) as double) as revenue_total_usd,
   cast(round(sum(hv.co2_emitted_ton), 2) as double) as co2_emitido_ton
