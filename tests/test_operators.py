@@ -156,3 +156,18 @@ def test_spread_splits_only_under_split_inputs(spark):
     assert spread(one).rdd.getNumPartitions() == n
     many = spark.range(0, 1000, numPartitions=n * 2)
     assert spread(many) is many   # already split: no exchange added
+
+
+def test_staged_build_writes_each_table_once(spark):
+    from tests.conftest import SF_SMALL
+    from contrail.plans import context
+    from contrail.plans.context import BUILD_STAGES, Layers
+    L = Layers(spark, SF_SMALL)
+    L.build(threads=4)
+    app = spark.sparkContext.applicationId
+    mine = {k[2]: v for k, v in context._STORE.items() if k[0] == app and k[1] == SF_SMALL}
+    names = {p.split(".")[-1] for stage in BUILD_STAGES for p in stage}
+    assert {n.replace("fx_", "") for n in mine} >= names
+    again = Layers(spark, SF_SMALL)
+    again.build(threads=4)   # a second build reuses every written table
+    assert again.fact_flight is mine["fact_flight"]
