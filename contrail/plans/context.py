@@ -55,7 +55,10 @@ class Layers:
         self.fx = Fixtures(spark, sf_dir, keep=self.keep if materialize else None)
 
     def keep(self, name: str, build) -> DataFrame:
-        """Write ``df`` once to the shared checkpoint folder and reuse it.
+        """Write the table ``build()`` returns once to the shared checkpoint folder and reuse it.
+
+        ``build`` is only called when the table is not written yet, so a
+        query that finds its inputs written never re-plans them.
 
         A table read by many queries (flights, the flight fact, ...) is
         computed once; later plans start from durable files, so a lost
