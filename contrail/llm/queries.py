@@ -7,10 +7,15 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import op4_bloom, op9_bpe
+from contrail.llm import op1_elias_fano, op4_bloom, op9_bpe
 from contrail.llm.common import documents
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = op1_elias_fano.held_out(F.col("doc_id"))
+    return op1_elias_fano.score(documents(spark, sf_dir), held).withColumn("held_out", held)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_bloom.exact_dedup(documents(spark, sf_dir))
 
@@ -33,5 +38,5 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op9_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_lm_score, op4_exact_dedup, op9_byte_bpe)}
 ORACLE = {"op4_exact_dedup": op4_bloom.SQL}
