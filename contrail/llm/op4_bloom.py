@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import hot_join, key_filter
+from contrail.llm.common import hot_join, keep, key_filter
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -40,7 +40,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     tested = hashed.mapInArrow(test, f"doc_id {hashed.schema['doc_id'].dataType.simpleString()}, text_sha256 string, maybe boolean")
     single = tested.where("not maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
                                               F.lit(True).alias("kept"), "text_sha256")
-    maybe = tested.where("maybe").select("doc_id", "text_sha256")
+    maybe = keep(tested.where("maybe").select("doc_id", "text_sha256"), "repeated")
     groups = maybe.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     grouped = hot_join(maybe, groups, "text_sha256", "group_size", n).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
