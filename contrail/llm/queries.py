@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import op1_elias_fano, op4_bloom, op9_bpe
+from contrail.llm import op1_elias_fano, op4_bloom, op5_templates, op9_bpe
 from contrail.llm.common import documents
 
 
@@ -20,6 +20,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_bloom.exact_dedup(documents(spark, sf_dir))
 
 
+def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_templates.drop_recurring_lines(documents(spark, sf_dir))
+
+
 @lru_cache(maxsize=2)
 def vocabulary(path: str | None = None) -> op9_bpe.Vocabulary:
     import public_tokenizers
@@ -38,5 +42,5 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_score, op4_exact_dedup, op9_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_lm_score, op4_exact_dedup, op5_line_templates, op9_byte_bpe)}
 ORACLE = {"op4_exact_dedup": op4_bloom.SQL}
