@@ -7,7 +7,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import op1_elias_fano, op4_bloom, op5_templates, op9_bpe
+from contrail.llm import op1_elias_fano, op4_bloom, op5_templates, op8_toxicity as toxicity, op9_bpe
+from contrail.llm import op6_quality as quality
 from contrail.llm.common import documents
 
 
@@ -24,6 +25,22 @@ def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_templates.drop_recurring_lines(documents(spark, sf_dir))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held = quality.held_out(F.col("doc_id"))
+    return _decided(quality.score(docs, quality.train(docs, labels, "quality", ~held)), held)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held = toxicity.held_out(F.col("doc_id"))
+    return _decided(toxicity.score(docs.select("doc_id", "text"), toxicity.train(docs, labels, ~held)), held)
+
+
+def _decided(scored: DataFrame, held) -> DataFrame:
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @lru_cache(maxsize=2)
 def vocabulary(path: str | None = None) -> op9_bpe.Vocabulary:
     import public_tokenizers
@@ -42,5 +59,5 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_score, op4_exact_dedup, op5_line_templates, op9_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_lm_score, op4_exact_dedup, op5_line_templates, op6_quality, op8_toxicity, op9_byte_bpe)}
 ORACLE = {"op4_exact_dedup": op4_bloom.SQL}
