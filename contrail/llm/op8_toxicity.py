@@ -36,7 +36,7 @@ ONE_EDIT, TWO_EDITS, STEM_EDIT = 5, 9, 7
 ALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 QUOTES = "\"“”„«»‘’"
 REPORTING = ("said", "says", "called", "quoted", "quote", "wrote", "sagte", "schrieb", "dit", "écrit", "dijo", "escribió")
-FEATURES = ("exact", "near", "quoted", "crowded", "density", "distinct")
+FEATURES = ("any", "exact", "near", "quoted", "crowded", "density", "distinct")
 
 _EDGE = np.zeros(256, dtype=bool)
 _EDGE[[i for i in range(33, 127) if not chr(i).isalnum() and chr(i) not in "@$"]] = True
@@ -235,12 +235,12 @@ def features(column: pa.Array, automaton: Automaton) -> np.ndarray:
     plain = ~quoted
     per = lambda w: np.bincount(row, w, n)
     exact, near = per(plain & (edits == 0)), per(plain & (edits > 0))
-    out[:, 0], out[:, 1] = np.minimum(np.log1p(exact) + (exact > 0), 4), np.minimum(np.log1p(near), 3)
-    out[:, 2] = np.log1p(per(quoted))
-    out[:, 3] = np.log1p(per(plain & crowded & (edits == 0)))
-    out[:, 4] = np.minimum((exact + near) / np.maximum(total, 1) * 20, 2)
-    kinds = np.unique(np.stack([row[plain & (edits == 0)], term[plain & (edits == 0)]]), axis=1)[0] if (plain & (edits == 0)).any() else np.zeros(0, np.int64)
-    out[:, 5] = np.log1p(np.bincount(kinds, minlength=n))
+    sure = plain & (edits == 0)
+    _, kinds = np.unique(np.stack([row[sure], term[sure]]), axis=1, return_index=True)
+    out[:, 0], out[:, 1], out[:, 2], out[:, 3] = exact > 0, np.minimum(np.log1p(exact), 4), np.minimum(np.log1p(near), 3), np.log1p(per(quoted))
+    out[:, 4] = np.log1p(per(sure & crowded))
+    out[:, 5] = np.minimum((exact + near) / np.maximum(total, 1) * 20, 2)
+    out[:, 6] = np.log1p(np.bincount(row[sure][kinds], minlength=n))
     return out
 
 
@@ -301,19 +301,31 @@ def lexicon(counts: DataFrame, toxic: int, others: int) -> list[str]:
     return sorted(t for _, t in sorted(out, reverse=True)[:TERMS])
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, float]:
-    """Newton steps on the penalised log likelihood; the bias is not penalised."""
-    a = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(a.shape[1])
-    w[-1] = np.log((y.sum() + 1) / (len(y) - y.sum() + 1))
-    penalty = np.diag([ridge] * x.shape[1] + [1e-6])
-    for _ in range(50 if len(y) else 0):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve(a.T @ (a * np.maximum(p * (1 - p), 1e-9)[:, None]) + penalty, a.T @ (p - y) + penalty @ w)
-        w = w - step
-        if np.abs(step).max() < 1e-8:
-            break
-    return w[:-1], float(w[-1])
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> tuple[np.ndarray, float]:
+    """Newton steps on the penalised log likelihood; the bias is not penalised.
+
+    A hit outside quotations never speaks against toxicity: features whose weight would be below
+    zero (but for ``quoted``) are left out and the rest fitted again.
+    """
+    use = np.ones(x.shape[1], dtype=bool)
+    free = FEATURES.index("quoted")
+    while True:
+        a = np.column_stack([x[:, use], np.ones(len(x))])
+        w = np.zeros(a.shape[1])
+        w[-1] = np.log((y.sum() + 1) / (len(y) - y.sum() + 1))
+        penalty = np.diag([ridge] * int(use.sum()) + [1e-6])
+        for _ in range(50 if len(y) else 0):
+            p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+            step = np.linalg.solve(a.T @ (a * np.maximum(p * (1 - p), 1e-6)[:, None]) + penalty, a.T @ (p - y) + penalty @ w)
+            w = w - np.clip(step, -5, 5)
+            if np.abs(step).max() < 1e-8:
+                break
+        out = np.zeros(x.shape[1])
+        out[use] = w[:-1]
+        below = (out < 0) & (np.arange(x.shape[1]) != free)
+        if not below.any():
+            return out, float(w[-1])
+        use &= ~below
 
 
 def train(docs: DataFrame, labels: DataFrame, use: Column, label_col: str = "toxic", sample: int = SAMPLE) -> Model:
