@@ -44,7 +44,7 @@ HOT = 256
 #: Weight of shorter contexts: B1 is MU1 / Z, B2 a plain factor.
 MU1, B2 = 100.0, 0.02
 #: Text bytes a shard, which bounds a task's arrays.
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 12 << 20
 BUCKET_DOCS = 200_000
 END = np.uint64(0xE5D0E5D0E5D0E5D1)
 _NO_ID = -(1 << 63)
@@ -248,7 +248,7 @@ def _messages(frequent, shards: int):
         f = frequent.value
         hot = f.hot()
         for batch in batches:
-            for block in W.blocks(batch):
+            for block in W.blocks(batch, size=6 << 20):
                 words = W.split(block.column("text"))
                 n_rows = len(block)
                 rows = np.concatenate([words.row, np.arange(n_rows)])
@@ -293,16 +293,19 @@ def shard_scores(parts: list[list[np.ndarray]], f: Frequent, mu1: float, b2: flo
     b1 = mu1 / z
     words, word = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
     at = np.cumsum([0] + [len(p[0]) for p in parts])
-    w = np.concatenate([np.repeat(word[a : a + len(p[0])], p[1]) for a, p in zip(at, parts)])
+    w = np.concatenate([np.repeat(word[a : a + len(p[0])].astype(np.int32), p[1]) for a, p in zip(at, parts)])
     v = np.concatenate([p[2] for p in parts])
     u = np.concatenate([p[3] for p in parts])
     ids, doc = np.unique(np.concatenate([p[5] for p in parts]).view(np.int64), return_inverse=True)
     at = np.cumsum([0] + [len(p[5]) for p in parts])
     held = np.concatenate([p[6][p[4]] for p in parts]).astype(bool)
-    d = np.concatenate([doc[a : a + len(p[5])][p[4]] for a, p in zip(at, parts)])
+    d = np.concatenate([doc[a : a + len(p[5])].astype(np.int32)[p[4]] for a, p in zip(at, parts)])
 
+    parts.clear()
     key = w.astype(np.int64) << 32 | v.astype(np.int64) << 16 | u
+    del u, v
     key, back = np.unique(key, return_inverse=True)
+    back = back.astype(np.int32)
     n3 = np.bincount(back[~held], minlength=len(key)).astype(np.int64)  # training count of each trigram met
     cls = f.classes(words)
     is_end = words == END
