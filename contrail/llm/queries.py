@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import op1_elias_fano, op4_bloom, op5_templates, op8_toxicity as toxicity, op9_bpe
+from contrail.llm import op1_elias_fano, op4_bloom, op5_templates, op7_skip_join, op8_toxicity as toxicity, op9_bpe
 from contrail.llm import op6_quality as quality
 from contrail.llm.common import documents
 
@@ -31,6 +31,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decided(quality.score(docs, quality.train(docs, labels, "quality", ~held)), held)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_skip_join.classes(documents(spark, sf_dir))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     held = toxicity.held_out(F.col("doc_id"))
@@ -59,5 +63,5 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_score, op4_exact_dedup, op5_line_templates, op6_quality, op8_toxicity, op9_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_lm_score, op4_exact_dedup, op5_line_templates, op6_quality, op7_jaccard_join, op8_toxicity, op9_byte_bpe)}
 ORACLE = {"op4_exact_dedup": op4_bloom.SQL}
