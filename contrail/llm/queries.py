@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import op1_elias_fano, op4_bloom, op5_templates, op7_skip_join, op8_toxicity as toxicity, op9_bpe
+from contrail.llm import op1_elias_fano, op2_mix, op10_cover_tree, op4_bloom, op5_templates, op7_skip_join, op8_toxicity as toxicity, op9_bpe
 from contrail.llm import op6_quality as quality
 from contrail.llm.common import documents
 
@@ -17,6 +17,12 @@ def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_elias_fano.score(documents(spark, sf_dir), held).withColumn("held_out", held)
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = op2_mix.mix(documents(spark, sf_dir).select("doc_id", "text", "lang", "source"))
+    return mixed.select("doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"),
+                        F.col("_weight").alias("weight"), F.col("_prob").alias("prob"), F.col("_kept").alias("kept"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_bloom.exact_dedup(documents(spark, sf_dir))
 
@@ -35,6 +41,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_skip_join.classes(documents(spark, sf_dir))
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_cover_tree.near_dedup(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     held = toxicity.held_out(F.col("doc_id"))
@@ -63,5 +73,5 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_score, op4_exact_dedup, op5_line_templates, op6_quality, op7_jaccard_join, op8_toxicity, op9_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_lm_score, op2_mix_sources, op4_exact_dedup, op5_line_templates, op6_quality, op7_jaccard_join, op8_toxicity, op9_byte_bpe, op10_embedding_dedup)}
 ORACLE = {"op4_exact_dedup": op4_bloom.SQL}
