@@ -3,8 +3,8 @@
 Texts become sets of word shingles. Sets that are equal are one from the start. Two kinds of
 skipping keep the join of the others from looking at most pairs:
 
-- Answers derived from a similar set: sets that agree on one of a few pairs of minimum hashes
-  are compared with the first such set. Whoever passes is linked to it, takes over its class, and
+- Answers derived from a similar set: a set is compared with the first of all sets that agree with
+  it on one of a few pairs of minimum hashes. If it passes it is linked to it, takes over its class, and
   is never probed against the class's other members: their links say nothing new about classes.
 - Index skipping: shingles are put in one order for all, frequent ones last (a bounded sketch of
   counts over all texts gives the order; any order gives the same result). Two similar sets share
@@ -41,16 +41,18 @@ BLOCK = 64
 SALT = 256
 _NO_ID = (1 << 63) - 1
 _K = np.uint64(0x9E3779B97F4A7C15)
+_SEGMENT = 1 << 14
+_SIGNED = ["id", "n", "set_key", "low", "segment", "part", "counts"]
+_SIGNED_SCHEMA = "id long, n long, set_key binary, low array<long>, segment int, part int, counts binary"
 
 
 def _sets(column: pa.Array, n: int, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (row, shingle) pairs in order of row."""
+    """Distinct (row, shingle) pairs, by row."""
     row, h = W.shingles(W.split(column), n, words)
-    order = np.lexsort((h, row))
-    row, h = row[order], h[order]
-    new = np.diff(row, prepend=-1).astype(bool)
-    new[1:] |= h[1:] != h[:-1]
-    return row[new], h[new]
+    _, first = np.unique(mix64(h + row.astype(np.uint64) * _K), return_index=True)
+    use = np.zeros(len(h), dtype=bool)
+    use[first] = True
+    return row[use], h[use]
 
 
 def _needed(n: np.ndarray, percent: int) -> np.ndarray:
@@ -59,13 +61,21 @@ def _needed(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _signatures(words: int, hashes: int):
-    """Per document: size, a 192-bit key of the set (null if empty), pairs of minimum hashes."""
+    """Per document: size, a 192-bit key of the set (null if empty), pairs of minimum hashes; per task: the sketch's counts.
+
+    Rows of the sketch have a segment, rows of documents have none.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        size = 1 << SKETCH_BITS
+        counts = np.zeros(size, np.int64)
         for batch in batches:
             for block in W.blocks(batch):
                 k = len(block)
                 row, h = _sets(block.column("text"), k, words)
+                counts += np.bincount((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
                 n = np.bincount(row, minlength=k)
                 first = np.concatenate([[0], np.cumsum(n)[:-1]])
                 full = n > 0
@@ -81,35 +91,22 @@ def _signatures(words: int, hashes: int):
                 pairs = np.stack([mix64(low[2 * i] * np.uint64(3) + low[2 * i + 1] + np.uint64(i)) for i in range(hashes)]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [block.column("id"), pa.array(n.astype(np.int64)), pa.array([x.tobytes() if f else None for x, f in zip(key, full)], pa.binary()),
-                     pa.array([x if f else [] for x, f in zip(pairs.T.tolist(), full)], pa.list_(pa.int64()))], names=["id", "n", "set_key", "low"])
-
-    return run
-
-
-# -- order of the shingles ------------------------------------------------------------------
-
-_SEGMENT = 1 << 14
-
-
-def _sketch(words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        size = 1 << SKETCH_BITS
-        counts = np.zeros(size, np.int64)
-        for batch in batches:
-            for block in W.blocks(batch):
-                _, h = _sets(block.column("text"), len(block), words)
-                counts += np.bincount((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
+                     pa.array([x if f else [] for x, f in zip(pairs.T.tolist(), full)], pa.list_(pa.int64())),
+                     pa.nulls(k, pa.int32()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=_SIGNED)
         part = TaskContext.get().partitionId() % 32
         if counts.any():
             rows = [pa.compress(counts[a : a + _SEGMENT].astype(np.uint32).tobytes(), codec="zstd", asbytes=True) for a in range(0, size, _SEGMENT)]
             k = len(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), pa.array([part] * k, pa.int32()), pa.array(rows, pa.binary())], names=["segment", "part", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.list_(pa.int64())),
+                                              pa.array(range(k), pa.int32()), pa.array([part] * k, pa.int32()), pa.array(rows, pa.binary())], names=_SIGNED)
 
     return run
 
 
+# -- order of the shingles ------------------------------------------------------------------
+
+
+
 def _added(pdf: pd.DataFrame) -> pd.DataFrame:
     total = sum(np.frombuffer(pa.decompress(x, _SEGMENT * 4, codec="zstd", asbytes=True), np.uint32).astype(np.int64) for x in pdf["counts"])
     out = pdf.iloc[:1].copy()
@@ -117,10 +114,10 @@ def _added(pdf: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def shingle_ranks(rows: DataFrame, words: int) -> np.ndarray:
+def shingle_ranks(parts: DataFrame) -> np.ndarray:
     """For each sketch cell, 0 for rare shingles or else the bit length of the count beyond the noise."""
     schema = "segment int, part int, counts binary"
-    merged = (rows.select("text").mapInArrow(_sketch(words), schema).groupBy("segment", "part").applyInPandas(_added, schema)
+    merged = (parts.select("segment", "part", "counts").groupBy("segment", "part").applyInPandas(_added, schema)
               .groupBy("segment").applyInPandas(_added, schema))
     counts = np.zeros(1 << SKETCH_BITS, np.int64)
     for r in merged.toLocalIterator():  # 2^SKETCH_BITS counters in all
@@ -153,7 +150,8 @@ def _prefixes(words: int, percent: int, shards: int, ranks, wanted):
                 row, h = _sets(block.column("text"), k, words)
                 n = np.bincount(row, minlength=k)
                 rank = ranks.value[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                order = np.lexsort((mix64(h), rank, row))
+                order = np.argsort((rank.astype(np.uint64) << np.uint64(56)) | (mix64(h) >> np.uint64(8)))
+                order = order[np.argsort(row[order].astype(np.uint16) if k < 65536 else row[order], kind="stable")]
                 row, h = row[order], h[order]
                 place = np.arange(len(row)) - np.concatenate([[0], np.cumsum(n)[:-1]])[row] if len(row) else row
                 use = place <= (n - _needed(n, percent))[row]
@@ -288,7 +286,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("id"), text.alias("text"), F.xxhash64(text).alias("set_hash"))
-    signed = keep(rows.select("id", "text").mapInArrow(_signatures(words, MIN_HASHES), "id long, n long, set_key binary, low array<long>"), "signatures")
+    both = keep(rows.select("id", "text").mapInArrow(_signatures(words, MIN_HASHES), _SIGNED_SCHEMA), "signatures")
+    signed = both.where("segment is null").select("id", "n", "set_key", "low")
     total = signed.count()
 
     # equal sets
@@ -302,7 +301,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     # sets that take over the class of a similar one
     low = reps.select("id", F.posexplode("low").alias("k", "v")).select("id", F.xxhash64("k", "v").alias("v"))
     firsts = low.groupBy("v").agg(F.min("id").alias("a"), F.count("*").alias("size")).where("size > 1")
-    stars = (hot_join(low, firsts, "v", "size", total * MIN_HASHES).where("a <> id").select("a", F.col("id").alias("b")).distinct())
+    stars = hot_join(low, firsts, "v", "size", total * MIN_HASHES).groupBy(F.col("id").alias("b")).agg(F.min("a").alias("a")).where("a < b").select("a", "b")
     links = similar_pairs(stars, rows, words, percent, "stars")
     edges = keep(equal.unionByName(links), "class-links")
     known = components(edges, "classes")
@@ -311,7 +310,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     wanted = spark.sparkContext.broadcast(key_filter(reps, "id", total))
     size = docs.agg(F.sum(F.octet_length(text_col)).alias("b")).first().b or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    ranks = spark.sparkContext.broadcast(shingle_ranks(rows, words))
+    ranks = spark.sparkContext.broadcast(shingle_ranks(both.where("segment is not null")))
     entries = (rows.select("id", "text").mapInArrow(_prefixes(words, percent, shards, ranks, wanted), "shard int, h binary, id binary, n binary, place binary")
                .groupBy("shard").applyInPandas(_shared, "h long, id long, n int, place int"))
     entries = keep(entries, "index")

@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import op1_elias_fano, op2_mix, op10_cover_tree, op4_bloom, op5_templates, op7_skip_join, op8_toxicity as toxicity, op9_bpe
+from contrail.llm import op1_elias_fano, op2_mix, op3_pii, op10_cover_tree, op4_bloom, op5_templates, op7_skip_join, op8_toxicity as toxicity, op9_bpe
 from contrail.llm import op6_quality as quality
 from contrail.llm.common import documents
 
@@ -23,6 +23,11 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("_weight").alias("weight"), F.col("_prob").alias("prob"), F.col("_kept").alias("kept"))
 
 
+def op3_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return op3_pii.digest(op3_pii.find(docs, op3_pii.train(docs)))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_bloom.exact_dedup(documents(spark, sf_dir))
 
@@ -73,5 +78,5 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_score, op2_mix_sources, op4_exact_dedup, op5_line_templates, op6_quality, op7_jaccard_join, op8_toxicity, op9_byte_bpe, op10_embedding_dedup)}
+QUERIES = {f.__name__: f for f in (op1_lm_score, op2_mix_sources, op3_pii_spans, op4_exact_dedup, op5_line_templates, op6_quality, op7_jaccard_join, op8_toxicity, op9_byte_bpe, op10_embedding_dedup)}
 ORACLE = {"op4_exact_dedup": op4_bloom.SQL}
