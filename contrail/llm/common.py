@@ -131,21 +131,27 @@ def key_filter(df: DataFrame, column: str, n_keys: int, repeated: bool = False)
     return KeyFilter(bitmap, bits)
 
 
-def may_hold(df: DataFrame, column: str, keys: KeyFilter) -> DataFrame:
-    """Rows of ``df`` whose long ``column`` may be in the filter."""
-    shared = df.sparkSession.sparkContext.broadcast(keys)
+def without_ids(docs: DataFrame, id_col: str, gone: DataFrame, name: str) -> DataFrame:
+    """``docs`` without the rows whose long id is in ``gone`` (one column of that name); null ids stay.
 
-    def run(batches):
-        for batch in batches:
-            col = batch.column(column)
-            known = np.asarray(col.is_valid())
-            got = np.zeros(len(col), dtype=bool)
-            if known.any():
-                got[known] = shared.value.hit(col.drop_null().to_numpy(zero_copy_only=False))
-            if got.any():
-                yield batch.filter(pa.array(got))
-
-    return df.mapInArrow(run, df.schema)
+    Only rows that a bounded filter of the ids may hold shuffle; all others pass straight through.
+    """
+    gone = keep(gone.where(F.col(id_col).isNotNull()).distinct(), name)
+    shared = docs.sparkSession.sparkContext.broadcast(key_filter(gone, id_col, gone.count()))
+
+    def part(maybe: bool):
+        def run(batches):
+            for batch in batches:
+                col = batch.column(id_col)
+                hit = np.zeros(len(col), dtype=bool)
+                known = np.asarray(col.is_valid())
+                if known.any():
+                    hit[known] = shared.value.hit(col.drop_null().to_numpy(zero_copy_only=False))
+                yield batch.filter(pa.array(hit == maybe))
+
+        return docs.mapInArrow(run, docs.schema)
+
+    return part(False).unionByName(part(True).join(gone, id_col, "left_anti").select(*docs.columns))
 
 
 # -- hot keys -------------------------------------------------------------------------------

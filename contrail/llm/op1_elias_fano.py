@@ -368,7 +368,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     size = docs.agg(F.sum(F.octet_length(text_col)).alias("b"), F.count("*").alias("n")).first()
     shards = max(1, -(-(size.b or 0) // SHARD_BYTES))
     totals = keep(rows.mapInArrow(_training_words(shards), "shard int, counts binary")
-                  .groupBy("shard").applyInPandas(_word_totals, "word long, n long, distinct long"), "lm-words")
+                  .repartition(shards, "shard").groupBy("shard").applyInPandas(_word_totals, "word long, n long, distinct long"), "lm-words")
     s = totals.where("word is null").agg(F.sum("n").alias("n"), F.sum("distinct").alias("v")).first()
     n, v = s.n or 0, s.v or 0
     often = totals.where(F.col("word").isNotNull() & (F.col("n") * CLASSES >= n)).sort(F.desc("n"), "word").toPandas()  # at most CLASSES rows
@@ -398,8 +398,8 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
                              "n_tokens": add(1, np.uint32).astype(np.int64), "n_known": add(2, np.uint32).astype(np.int64),
                              "base": add(3, np.float64), "score": add(4, np.float32)})
 
-    sums = (rows.mapInArrow(_messages(frequent, shards), "shard int, tokens binary").groupBy("shard").applyInPandas(shard, "bucket int, sums binary")
-            .groupBy("bucket").applyInPandas(bucket, "doc_id long, n_tokens long, n_known long, base double, score double"))
+    sums = (rows.mapInArrow(_messages(frequent, shards), "shard int, tokens binary").repartition(shards, "shard").groupBy("shard").applyInPandas(shard, "bucket int, sums binary")
+            .repartition(buckets, "bucket").groupBy("bucket").applyInPandas(bucket, "doc_id long, n_tokens long, n_known long, base double, score double"))
     z = math.log10(n + 0.1 * (v + 1))
     return sums.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
                        (F.col("base") - F.col("n_tokens") * F.lit(z)).alias("base_score"), F.col("score"))
