@@ -13,7 +13,8 @@ skipping keep the join of the others from looking at most pairs:
   block from the first position too deep to leave enough shingles behind it. A list whose sets are
   all of one class is skipped whole.
 
-What is left is compared exactly, on the texts. Links found this way join the classes; a last
+Pairs that are left exchange parity bit maps, whose distance is never above that of the sets and
+rules out nearly all dissimilar ones; the rest is compared exactly, on the texts. Links found this way join the classes; a last
 pass takes connected components. No step needs a group of copies in one place: equal sets meet
 in grouped minima, comparisons with a popular set are salted.
 """
@@ -42,8 +43,35 @@ SALT = 256
 _NO_ID = (1 << 63) - 1
 _K = np.uint64(0x9E3779B97F4A7C15)
 _SEGMENT = 1 << 14
-_SIGNED = ["id", "n", "set_key", "low", "segment", "part", "counts"]
-_SIGNED_SCHEMA = "id long, n long, set_key binary, low array<long>, segment int, part int, counts binary"
+_SIGNED = ["id", "n", "set_key", "low", "parity", "segment", "part", "counts"]
+_SIGNED_SCHEMA = "id long, n long, set_key binary, low array<long>, parity binary, segment int, part int, counts binary"
+
+
+def _seed(i: int) -> np.uint64:
+    return np.uint64(i * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+
+
+def parities(row: np.ndarray, h: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """For each row a bit map of at least 2 n bits: whether an odd number of its shingles falls on the bit.
+
+    Two maps differ in no more bits than the sets in shingles; a map of half the size is the
+    exclusive or of its halves.
+    """
+    size = np.int64(1) << np.ceil(np.log2(np.maximum(2 * n, 64))).astype(np.int64)
+    begin = np.concatenate([[0], np.cumsum(size)])
+    at = begin[row] + (mix64(h + _seed(99)) & (size[row] - 1).astype(np.uint64)).astype(np.int64)
+    bits = np.packbits((np.bincount(at, minlength=int(begin[-1])) & 1).astype(bool), bitorder="little")
+    return [bits[a // 8 : z // 8].tobytes() for a, z in zip(begin[:-1].tolist(), begin[1:].tolist())]
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """Bits in which two parity maps differ, at the size of the smaller."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) != len(y):
+        if len(x) < len(y):
+            x, y = y, x
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def _sets(column: pa.Array, n: int, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,20 +112,20 @@ def _signatures(words: int, hashes: int):
                 if full.any():
                     at = first[full]
                     for i in range(2):
-                        sums[i][full] = np.add.reduceat(mix64(h + np.uint64(i + 1) * _K), at)
+                        sums[i][full] = np.add.reduceat(mix64(h + _seed(i + 1)), at)
                     for i in range(2 * hashes):
-                        low[i, full] = np.minimum.reduceat(mix64(h ^ (np.uint64(i + 11) * _K)), at)
+                        low[i, full] = np.minimum.reduceat(mix64(h ^ _seed(i + 11)), at)
                 key = np.column_stack([n.astype(np.uint64), *sums]) if k else np.zeros((0, 3), np.uint64)
                 pairs = np.stack([mix64(low[2 * i] * np.uint64(3) + low[2 * i + 1] + np.uint64(i)) for i in range(hashes)]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [block.column("id"), pa.array(n.astype(np.int64)), pa.array([x.tobytes() if f else None for x, f in zip(key, full)], pa.binary()),
                      pa.array([x if f else [] for x, f in zip(pairs.T.tolist(), full)], pa.list_(pa.int64())),
-                     pa.nulls(k, pa.int32()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=_SIGNED)
+                     pa.array(parities(row, h, n), pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=_SIGNED)
         part = TaskContext.get().partitionId() % 32
         if counts.any():
             rows = [pa.compress(counts[a : a + _SEGMENT].astype(np.uint32).tobytes(), codec="zstd", asbytes=True) for a in range(0, size, _SEGMENT)]
             k = len(rows)
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.list_(pa.int64())),
+            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.binary()),
                                               pa.array(range(k), pa.int32()), pa.array([part] * k, pa.int32()), pa.array(rows, pa.binary())], names=_SIGNED)
 
     return run
@@ -226,17 +254,32 @@ def candidates(h, ids, n, place, cls, percent: int) -> tuple[np.ndarray, np.ndar
 # -- comparison -----------------------------------------------------------------------------
 
 
-def _with_text(pairs: DataFrame, texts: DataFrame, side: str) -> DataFrame:
-    """``pairs`` with the text of one side; a document in many pairs is sent to several places."""
+def _with(pairs: DataFrame, values: DataFrame, side: str) -> DataFrame:
+    """``pairs`` with the values (id, others) of one side as others_side; a document in many pairs is sent to several places."""
+    others = [c for c in values.columns if c != "id"]
     many = keep(pairs.groupBy(side).agg(F.count("*").alias("times")), "pair-counts")
     total = many.agg(F.sum("times")).first()[0] or 0
     spread = hot_join(pairs, many, side, "times", total)
     copies = F.ceil(F.col("times") / SALT).cast("int")
     spread = spread.withColumn("salt", F.pmod(F.xxhash64("a", "b"), copies).cast("int")).drop("times")
-    sent = (texts.join(many.withColumnRenamed(side, "id"), "id").select(F.col("id").alias(side), F.explode(F.sequence(F.lit(0), copies - 1)).alias("salt"), F.col("text").alias(f"text_{side}")))
+    sent = values.join(many.withColumnRenamed(side, "id"), "id").select(
+        F.col("id").alias(side), F.explode(F.sequence(F.lit(0), copies - 1)).alias("salt"), *[F.col(c).alias(f"{c}_{side}") for c in others])
     return spread.join(sent, [side, "salt"]).drop("salt")
 
 
+def _close(percent: int):
+    """Pairs whose parity maps do not rule out that the sets are similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = (batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()) * (100 - percent)
+            far = np.array([differing(x.as_py(), y.as_py()) for x, y in zip(batch.column("parity_a"), batch.column("parity_b"))], np.int64)
+            ok = pa.array(far * (100 + percent) <= both)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(ok) for c in ("a", "b")], names=["a", "b"])
+
+    return run
+
+
 def _similar(words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,14 +296,18 @@ def _similar(words: int, percent: int):
     return run
 
 
-def similar_pairs(pairs: DataFrame, rows: DataFrame, words: int, percent: int, name: str) -> DataFrame:
-    """Those pairs (a, b) of distinct ids whose sets are similar; only their documents' texts shuffle."""
+def similar_pairs(pairs: DataFrame, rows: DataFrame, maps: DataFrame, words: int, percent: int, name: str) -> DataFrame:
+    """Those pairs (a, b) of distinct ids whose sets are similar.
+
+    Parity maps (id, n, parity) rule out nearly all others; only the rest's texts shuffle.
+    """
     pairs = keep(pairs, f"{name}-pairs")
+    pairs = keep(_with(_with(pairs, maps, "a"), maps, "b").mapInArrow(_close(percent), "a long, b long").distinct(), f"{name}-close")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     ids = keep(ids, f"{name}-ids")
     near = key_filter(ids, "id", ids.count())
     texts = _held(rows, near).join(ids, "id", "left_semi").dropDuplicates(["id", "set_hash"]).select("id", "text")
-    both = _with_text(_with_text(pairs, texts, "a"), texts, "b")
+    both = _with(_with(pairs, texts, "a"), texts, "b")
     return keep(both.mapInArrow(_similar(words, percent), "a long, b long").distinct(), f"{name}-links")
 
 
@@ -287,7 +334,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("id"), text.alias("text"), F.xxhash64(text).alias("set_hash"))
     both = keep(rows.select("id", "text").mapInArrow(_signatures(words, MIN_HASHES), _SIGNED_SCHEMA), "signatures")
-    signed = both.where("segment is null").select("id", "n", "set_key", "low")
+    signed = both.where("segment is null").select("id", "n", "set_key", "low", "parity")
+    maps = both.where("set_key is not null").select("id", "n", "parity")
     total = signed.count()
 
     # equal sets
@@ -295,14 +343,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     groups = keep(groups, "equal-sets")
     equal = hot_join(signed.where("set_key is not null").select("id", "set_key"), groups.where("size > 1"), "set_key", "size", total)
     equal = equal.where("rep is not null").select(F.col("rep").alias("a"), F.col("id").alias("b")).where("a <> b").distinct()
-    reps = keep(hot_join(signed.where("set_key is not null"), groups, "set_key", "size", total).where("id = rep")
+    reps = keep(hot_join(signed.where("set_key is not null").drop("parity"), groups, "set_key", "size", total).where("id = rep")
                 .dropDuplicates(["set_key"]).select("id", "n", "low"), "sets")
 
     # sets that take over the class of a similar one
     low = reps.select("id", F.posexplode("low").alias("k", "v")).select("id", F.xxhash64("k", "v").alias("v"))
     firsts = low.groupBy("v").agg(F.min("id").alias("a"), F.count("*").alias("size")).where("size > 1")
     stars = hot_join(low, firsts, "v", "size", total * MIN_HASHES).groupBy(F.col("id").alias("b")).agg(F.min("a").alias("a")).where("a < b").select("a", "b")
-    links = similar_pairs(stars, rows, words, percent, "stars")
+    links = similar_pairs(stars, rows, maps, words, percent, "stars")
     edges = keep(equal.unionByName(links), "class-links")
     known = components(edges, "classes")
 
@@ -323,7 +371,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
         return pd.DataFrame({"a": a, "b": b})
 
     pairs = classed.groupBy("bucket").applyInPandas(probe, "a long, b long").distinct()
-    more = similar_pairs(pairs, rows, words, percent, "probes")
+    more = similar_pairs(pairs, rows, maps, words, percent, "probes")
     found = keep(components(edges.unionByName(more), "joined"), "components")
     out = signed.select("id", "n").join(found.where("id <> component").select("id", "component"), "id", "left")
     none = lambda c: F.when(c != _NO_ID, c)

@@ -88,5 +88,15 @@ def test_candidates_lose_no_similar_pair_and_skip_classes():
     assert not len(J.candidates(*cols[:4], np.zeros(len(rows)), J.PERCENT)[0])
 
 
+def test_parity_maps_differ_no_more_than_the_sets():
+    rng = np.random.default_rng(7)
+    sets = [rng.integers(0, 1 << 60, n).astype(np.uint64) for n in (3, 40, 200, 700)] + [np.zeros(0, np.uint64)]
+    sets += [np.concatenate([s[: len(s) - 2], rng.integers(0, 1 << 60, 5).astype(np.uint64)]) for s in sets]
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    maps = J.parities(row, np.concatenate(sets), np.array([len(s) for s in sets]))
+    for i, j in combinations(range(len(sets)), 2):
+        assert J.differing(maps[i], maps[j]) <= len(set(sets[i].tolist()) ^ set(sets[j].tolist()))
+
+
 def test_empty_table(spark):
     assert run(no_docs(spark)) == []
