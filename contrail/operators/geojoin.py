@@ -102,13 +102,19 @@ def _guaranteed_m(lat, lon, cy, cx, r: int, cell: float, n_lon: int, n_lat: int)
 
 def nearest_join(points: DataFrame, pid: str, p_lat: str, p_lon: str, sites: DataFrame, sid: str,
                  s_lat: str, s_lon: str, site_cols: list[str] | None = None, sites_per_cell: float = 4.0) -> DataFrame:
-    """Nearest site (spheroid distance, ties by site id) for every point; adds ``dist_m``."""
+    """Nearest site (spheroid distance, ties by site id) for every point; adds ``dist_m``.
+
+    A point without coordinates, and every point when no site has any, is kept with a null site.
+    """
     spark = points.sparkSession
     checkpoint_dir(spark)
     site_cols = site_cols or []
     n_sites = sites.where(F.col(s_lat).isNotNull() & F.col(s_lon).isNotNull()).count()
+    no_site = [F.lit(None).cast(sites.schema[sid].dataType).alias(sid), F.lit(None).cast("double").alias("dist_m"),
+               *[F.lit(None).cast(sites.schema[c].dataType).alias(c) for c in site_cols]]
     if n_sites == 0:
-        return points.select(pid).withColumn(sid, F.lit(None)).withColumn("dist_m", F.lit(None).cast("double"))
+        return points.select(pid, *no_site)
+    lost = points.where(F.col(p_lat).isNull() | F.col(p_lon).isNull()).select(pid, *no_site)
     cell, n_lon, n_lat = grid(min(max(math.sqrt(41253.0 * sites_per_cell / n_sites), 0.05), 60.0))
     scy, scx = cell_of("_slat", "_slon", cell, n_lon, n_lat)
     s = (sites.where(F.col(s_lat).isNotNull() & F.col(s_lon).isNotNull())
@@ -157,4 +163,4 @@ def nearest_join(points: DataFrame, pid: str, p_lat: str, p_lon: str, sites: Dat
     if site_cols:
         # site attributes join once, on the winner only (N:1 on the site id)
         res = res.join(sites.select(sid, *site_cols), sid, "left")
-    return res
+    return res.select(lost.columns).unionByName(lost)

@@ -49,14 +49,9 @@ def month_key(col: str = "tiempo_id"):
 
 
 def write_partitioned(df: DataFrame, path: str, part_col: str = "yyyymm") -> None:
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        # one writer task per month partition present in this batch
-        df.repartition(part_col).write.mode("overwrite").partitionBy(part_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    # rebalanced by month: a large month is split over several writers, small ones stay whole
+    (df.hint("rebalance", part_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(part_col).parquet(path))
 
 
 def read_months(spark: SparkSession, path: str, first: int, last: int, part_col: str = "yyyymm") -> DataFrame:

@@ -38,10 +38,10 @@ _def("s_airline_dim", "select * from (values " + ", ".join(
      + ") t(aerolinea_id, codigo_icao, codigo_iata, nombre, pais_codigo)")
 
 _def("s_clean_flights", """
-select v.vuelo_id, v.numero_vuelo, al.nombre as aerolinea, o.ident as origen_ident, d.ident as destino_ident,
+select v.vuelo_id, v.numero_vuelo, coalesce(al.nombre, 'Unknown Airline') as aerolinea, o.ident as origen_ident, d.ident as destino_ident,
   v.salida_programada, v.llegada_programada, v.estado
 from f_flights v
-join s_airline_dim al on al.codigo_icao = left(upper(trim(v.numero_vuelo)), 3)
+left join s_airline_dim al on al.codigo_icao = left(upper(trim(v.numero_vuelo)), 3)
 join f_airports o on o.aeropuerto_id = v.origen_id
 join f_airports d on d.aeropuerto_id = v.destino_id
 where v.numero_vuelo is not null and trim(v.numero_vuelo) <> '' and v.origen_id is not null and v.destino_id is not null""",

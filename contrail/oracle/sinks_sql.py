@@ -28,8 +28,7 @@ select time_bucket(interval 1 hour, timestamp_utc) as ventana_inicio,
   {AVG_DEC('egt_c', 2, 4)} as temperatura_promedio, {AVG_DEC('vibration', 3, 4)} as vibracion_promedio,
   case when avg(vibration) > 5 or avg(egt_c) > 900 then 'REQUIERE_INSPECCION' else 'OPERACION_NORMAL' end as estado_predictivo
 from f_sensors
-group by 1, 2, 3
-having time_bucket(interval 1 hour, timestamp_utc) + interval 1 hour <= (select max(timestamp_utc) from f_sensors) - interval 10 minute""",
+group by 1, 2, 3""",
            ["f_sensors"])
     oracle("stream_rule_quarantine", """
 select registro_id, cast(load_factor_pct as double) as load_factor_pct,

@@ -22,6 +22,9 @@ from contrail.plans import gold, silver
 from contrail.session import configure, write_table
 from contrail.sources.fixtures import Fixtures
 
+#: K10 cut-off for the driver's bookings: they average 4 a flight, where the default of 50 suits full flights.
+BOOKINGS_ENRICH_BELOW = 3
+
 
 # Layers written once per (application, input folder): the silver and gold
 # tables of the medallion, as Parquet in the shared folder.
@@ -177,7 +180,8 @@ class Layers:
 
     @cached_property
     def fact_flight(self) -> DataFrame:
-        return self.keep("fact_flight", lambda: gold.fact_flight_enrich(self.fact_flight_raw))
+        return self.keep("fact_flight", lambda: gold.fact_flight_enrich(
+            self.fact_flight_raw, below=BOOKINGS_ENRICH_BELOW))
 
     @cached_property
     def fact_passenger_raw(self) -> DataFrame:

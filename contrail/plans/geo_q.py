@@ -116,12 +116,16 @@ def kpi_functions(L: Layers) -> DataFrame:
     hv = L.fact_flight.select("vuelo_id", "pax_transportados", "asientos_ofrecidos", "distance_flown_km",
                               "passenger_revenue_usd")
     kg = L.fx.cargo.groupBy("vuelo_id").agg(F.sum("peso_kg").alias("cargo_kg"))
-    j = hv.join(kg, "vuelo_id", "left").where(F.col("distance_flown_km") > 0)
-    out = j.selectExpr(
+    # the functions raise on a distance that is not positive: such rows are returned as quarantined
+    j = hv.join(kg, "vuelo_id", "left")
+    good = F.coalesce(F.col("distance_flown_km") > 0, F.lit(False))
+    bad = j.where(~good).selectExpr("vuelo_id", *[f"cast(null as double) as {c}" for c in ("rpk", "ask", "load_factor_pct", "yield_usd_rpk", "ctk")],
+                                    "true as en_cuarentena")
+    out = j.where(good).selectExpr(
         "vuelo_id",
         "fn_calcular_rpk(pax_transportados, distance_flown_km) as rpk",
         "fn_calcular_ask(asientos_ofrecidos, distance_flown_km) as ask",
         "fn_calcular_load_factor(pax_transportados, asientos_ofrecidos) as load_factor_pct",
         "fn_calcular_yield(passenger_revenue_usd, fn_calcular_rpk(pax_transportados, distance_flown_km)) as yield_usd_rpk",
-        "fn_calcular_ctk(coalesce(cargo_kg, 0), distance_flown_km) as ctk")
-    return _dbl(out)
+        "fn_calcular_ctk(coalesce(cargo_kg, 0), distance_flown_km) as ctk", "false as en_cuarentena")
+    return _dbl(out).unionByName(bad)

@@ -26,7 +26,7 @@ from contrail.operators.dedup import asc, desc, first_per_key
 from contrail.operators.ids import dense_index
 
 AS_OF = "2026-01-01"          # replaces CURRENT_DATE (trap T11)
-ENRICH_BELOW_BOARDED = 3       # K10 cut-off (reference: 50; bookings here average 4)
+ENRICH_BELOW_BOARDED = 50      # K10 cut-off
 
 
 # ---- K1 calendar ------------------------------------------------------------

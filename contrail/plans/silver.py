@@ -73,10 +73,12 @@ def airline_dim(spark) -> DataFrame:
 def clean_flights(flights: DataFrame, airports: DataFrame, airlines: DataFrame) -> DataFrame:
     f = flights.where(not_blank("numero_vuelo") & F.col("origen_id").isNotNull() & F.col("destino_id").isNotNull())
     f = f.withColumn("icao_cs", F.substring(F.upper(F.trim("numero_vuelo")), 1, 3))
-    al = F.broadcast(airlines.select(F.col("codigo_icao").alias("icao_cs"), F.col("nombre").alias("aerolinea")))
+    # J1 names every airline that flies: one outside the known list is kept as unknown
+    al = F.broadcast(airlines.select(F.col("codigo_icao").alias("icao_cs"), F.col("nombre").alias("_nombre")))
     o = airports.select(F.col("aeropuerto_id").alias("origen_id"), F.col("ident").alias("origen_ident"))
     d = airports.select(F.col("aeropuerto_id").alias("destino_id"), F.col("ident").alias("destino_ident"))
-    return (f.join(al, "icao_cs").join(o, "origen_id").join(d, "destino_id")
+    f = f.join(al, "icao_cs", "left").withColumn("aerolinea", F.coalesce("_nombre", F.lit(codes.UNKNOWN_AIRLINE[0])))
+    return (f.join(o, "origen_id").join(d, "destino_id")
              .select("vuelo_id", "numero_vuelo", "aerolinea", "origen_ident", "destino_ident",
                      "salida_programada", "llegada_programada", "estado"))
 

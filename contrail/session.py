@@ -60,6 +60,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="contrail-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,14 +68,17 @@ def _append_batch(df: DataFrame, bid: int, path: str) -> None:
       .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
 
 
-def latest_from_changelog(spark: SparkSession, path: str, key: str, schema_hint: DataFrame) -> DataFrame:
+def latest_from_changelog(spark: SparkSession, path: str, key: str | list[str], schema_hint: DataFrame) -> DataFrame:
+    keys = [key] if isinstance(key, str) else key
     try:
         log = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001  (no batch produced output)
-        return schema_hint.limit(0)
-    cols = [c for c in log.columns if c not in (key, "batch_id")]
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return schema_hint.limit(0)  # no batch produced output
+    cols = [c for c in log.columns if c not in (*keys, "batch_id")]
     # newest batch wins (the changelog is append-only)
-    return first_per_key(log, [key], [-F.col("batch_id")], cols)
+    return first_per_key(log, keys, [-F.col("batch_id")], cols)
 
 
 # ---- ST1 -----------------------------------------------------------------------
@@ -116,11 +120,9 @@ def engine_health_stream(spark: SparkSession, sf_dir: str, delay: str = "10 minu
                       # egt/vib are AVG over decimals: exact, rounded half up
                       F.when((F.col("vib") > 5) | (F.col("egt") > 900), "REQUIERE_INSPECCION")
                        .otherwise("OPERACION_NORMAL").alias("estado_predictivo"))
-    out = _run(flat, "append", _append_batch, "engine_health", base)
-    try:
-        return spark.read.parquet(out).drop("batch_id")
-    except Exception:  # noqa: BLE001
-        return spark.createDataFrame([], flat.schema)
+    # update mode: windows still open when the source ends are emitted too, the newest state counts
+    out = _run(flat, "update", _append_batch, "engine_health", base)
+    return latest_from_changelog(spark, out, ["ventana_inicio", "engine_id"], spark.createDataFrame([], flat.schema))
 
 
 # ---- ST4 -----------------------------------------------------------------------

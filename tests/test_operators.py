@@ -126,6 +126,35 @@ def test_nearest_join_equals_brute_force(spark):
     assert got == want
 
 
+def test_nearest_join_keeps_points_without_a_site(spark):
+    p = spark.createDataFrame([(1, 10.0, 20.0), (2, None, 20.0), (3, 5.0, None)], "pid int, plat double, plon double")
+    s = spark.createDataFrame([(7, 10.0, 21.0, "x")], "sid int, slat double, slon double, nombre string")
+    for sites, near in ((s, (7, "x")), (s.where("sid < 0"), (None, None))):
+        got = nearest_join(p, "pid", "plat", "plon", sites, "sid", "slat", "slon", site_cols=["nombre"])
+        assert set(got.columns) == {"pid", "sid", "nombre", "dist_m"}
+        assert {r.pid: (r.sid, r.nombre) for r in got.collect()} == {1: near, 2: (None, None), 3: (None, None)}
+
+
+def test_flights_of_unknown_airlines_stay(spark):
+    from contrail.plans.silver import airline_dim, clean_flights
+    f = spark.createDataFrame([(1, "DLH0001", 1, 2), (2, "AVA0001", 1, 2)], "vuelo_id int, numero_vuelo string, origen_id int, destino_id int")
+    f = f.select("*", *[F.lit(None).cast("string").alias(c) for c in ("salida_programada", "llegada_programada", "estado")])
+    a = spark.createDataFrame([(1, "AAAA"), (2, "BBBB")], "aeropuerto_id int, ident string")
+    got = {r.numero_vuelo: r.aerolinea for r in clean_flights(f, a, airline_dim(spark)).collect()}
+    assert got["DLH0001"] == "Unknown Airline" and got["AVA0001"] not in (None, "Unknown Airline")
+
+
+def test_missing_changelog_is_empty_but_other_failures_raise(spark, tmp_path):
+    import pytest
+    from contrail.streaming.stream import latest_from_changelog
+    hint = spark.createDataFrame([], "k int, v int")
+    assert latest_from_changelog(spark, str(tmp_path / "none"), "k", hint).count() == 0
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_text("not a parquet file")
+    with pytest.raises(Exception):
+        latest_from_changelog(spark, str(tmp_path / "broken"), "k", hint).count()
+
+
 def test_partitioned_overwrite_is_idempotent(spark):
     path = scratch_path(spark, f"t/part-{uuid.uuid4().hex}")
     df = spark.range(0, 1000).select(F.col("id"), (F.lit(202401) + F.col("id") % 3).alias("yyyymm"))
