@@ -156,6 +156,9 @@ _k = "vuelo_id"
 _lit = f"(cast({U(_k, 'lit')} * 85000 + 3000 as decimal(12,2)) * (case when {U(_k, 'litx')} < 0.02 then 4 else 1 end))"
 _den = f"cast({U(_k, 'den')} * 0.06 + 0.78 as decimal(6,3))"
 _pre = f"cast({U(_k, 'pre')} * 0.2 + 0.75 as decimal(8,4))"
+_def("s_fuel_landed", """
+select * from f_fuel where not coalesce(litros > 250000 or masa_kg > litros * 1.2, false)""", ["f_fuel"])
+
 _def("f_fuel", f"""
 select vuelo_id as fuel_id, vuelo_id, origen_id as aeropuerto_id,
   cast({_lit} as decimal(12,2)) as litros,

@@ -93,9 +93,9 @@ where dist <= radio_nm * 1852.0""", ["f_notams", "f_airports", "f_positions"])
 select v.vuelo_id, cast(c.litros as double) as litros_combustible, cast(c.masa_kg as double) as masa_combustible_kg,
   round({df} / 1000, 2) as distancia_km,
   round(cast(c.masa_kg as double) / (case when {df} / 1000 <> 0 then {df} / 1000 end), 4) as eficiencia_kg_km
-from f_flights v join f_fuel c on c.vuelo_id = v.vuelo_id
+from f_flights v join s_fuel_landed c on c.vuelo_id = v.vuelo_id
 join f_airports o on o.aeropuerto_id = v.origen_id join f_airports t on t.aeropuerto_id = v.destino_id""",
-           ["f_flights", "f_fuel", "f_airports"])
+           ["f_flights", "s_fuel_landed", "f_airports"])
     xt3 = CROSS_TRACK("p.latitud", "p.longitud", "w.lat1", "w.lon1", "w.lat2", "w.lon2")
     oracle("in_airway_3d", f"""
 select punto_id, aerovia_id, designador, xt <= 9260.0 and altitud_pies between nivel_min * 100 and nivel_max * 100 as dentro_aerovia,

@@ -108,14 +108,14 @@ select v.vuelo_id, v.origen_id as aeropuerto_id, {_lit} as litros, {_den} as den
   v.salida_programada - interval 45 minute as timestamp_carga
 from f_flights v
 where v.salida_programada is not null
-  and not exists (select 1 from f_fuel cb where cb.vuelo_id = v.vuelo_id)""", ["f_flights", "f_fuel"])
+  and not exists (select 1 from s_fuel_landed cb where cb.vuelo_id = v.vuelo_id)""", ["f_flights", "s_fuel_landed"])
 
 _def("g_fuel_all", """
 select fuel_id, vuelo_id, aeropuerto_id, litros, densidad_kgl, cast(masa_kg as decimal(14,3)) as masa_kg,
-  precio_litro_usd, costo_total_usd, timestamp_carga from f_fuel
+  precio_litro_usd, costo_total_usd, timestamp_carga from s_fuel_landed
 union all
 select -vuelo_id - 1, vuelo_id, aeropuerto_id, litros, densidad_kgl, cast(masa_kg as decimal(14,3)),
-  precio_litro_usd, costo_total_usd, timestamp_carga from g_fuel_backfill""", ["f_fuel", "g_fuel_backfill"])
+  precio_litro_usd, costo_total_usd, timestamp_carga from g_fuel_backfill""", ["s_fuel_landed", "g_fuel_backfill"])
 
 _def("g_route_lookup", """
 select v.*, dr.ruta_id, dr.distancia_nm, dr.distancia_km, dr.tipo_ruta, dr.mercado, dr.origen_icao, dr.destino_icao

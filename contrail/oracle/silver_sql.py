@@ -132,7 +132,8 @@ select c.roster_id, c.vuelo_id, c.crew_id, {MAP_CASE('upper(c.rol)', CREW_ROLES,
   cast(c.descanso_minimo as decimal(4,2)) as descanso_minimo_requerido,
   c.descanso_horas >= c.descanso_minimo as descanso_minimo_cumple
 from f_crew c join f_flights v on v.vuelo_id = c.vuelo_id
-where c.vuelo_id is not null and c.report_time is not null and c.duty_hours is not null and c.duty_hours > 0""",
+where c.vuelo_id is not null and c.report_time is not null and c.duty_hours is not null and c.duty_hours > 0
+  and not coalesce(c.duty_hours > 12 or c.descanso_horas < c.descanso_minimo, false)""",
      ["f_crew", "f_flights"])
 
 _k = "aeronave_id"
@@ -200,9 +201,9 @@ select f.fuel_id, f.vuelo_id, f.aeropuerto_id, cast(f.litros as decimal(10,2)) a
   cast(f.densidad_kgl as decimal(5,3)) as densidad_kgl, cast(f.litros * f.densidad_kgl as decimal(10,2)) as masa_kg,
   cast(case when f.litros > 0 then round(f.costo_total_usd / f.litros, 4) else 0 end as decimal(10,4)) as precio_usd_litro,
   cast(f.costo_total_usd as decimal(12,2)) as costo_total_usd, f.timestamp_carga
-from f_fuel f join f_flights v on v.vuelo_id = f.vuelo_id join f_airports a on a.aeropuerto_id = f.aeropuerto_id
+from s_fuel_landed f join f_flights v on v.vuelo_id = f.vuelo_id join f_airports a on a.aeropuerto_id = f.aeropuerto_id
 where f.litros > 0 and f.densidad_kgl > 0 and f.costo_total_usd >= 0 and f.timestamp_carga is not null""",
-     ["f_fuel", "f_flights", "f_airports"])
+     ["s_fuel_landed", "f_flights", "f_airports"])
 
 _alt = "coalesce(cast(p.altitud_pies as double), 0.0)"
 _v = "cast(p.velocidad_nudos as double)"

@@ -157,10 +157,14 @@ class Layers:
         return gold.dim_crew_role(self.spark)
 
     # ---- gold facts ----------------------------------------------------------
+    @cached_property
+    def fuel_landed(self) -> DataFrame:
+        return silver.landing_fuel(self.fx.fuel)
+
     @cached_property
     def fuel_all(self) -> DataFrame:
-        """Silver fuel plus the K7 backfill for flights without fuel."""
-        f = self.fx.fuel
+        """Landed silver fuel plus the K7 backfill for flights without fuel."""
+        f = self.fuel_landed
         cols = ["vuelo_id", "aeropuerto_id", "litros", "densidad_kgl", "masa_kg", "precio_litro_usd",
                 "costo_total_usd", "timestamp_carga"]
         bf = gold.fuel_backfill(self.fx.flights, f).select(*cols)

@@ -82,7 +82,7 @@ def geo_within_join(L: Layers) -> DataFrame:
 def fuel_efficiency_per_flight(L: Layers) -> DataFrame:
     """U6 for every flight with fuel: 4-way join + spheroid distance + zero-safe division."""
     f = L.fx.flights.select("vuelo_id", "origen_id", "destino_id")
-    c = L.fx.fuel.select("vuelo_id", "litros", "masa_kg")
+    c = L.fuel_landed.select("vuelo_id", "litros", "masa_kg")
     ap = L.fx.airports
     o = ap.select(F.col("aeropuerto_id").alias("origen_id"), F.col("latitude_deg").alias("la1"),
                   F.col("longitude_deg").alias("lo1"))

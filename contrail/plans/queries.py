@@ -170,7 +170,7 @@ def clean_maintenance(L: Layers) -> DataFrame:
 
 @query
 def clean_fuel(L: Layers) -> DataFrame:
-    return _dbl(_s.clean_fuel(L.fx.fuel, L.fx.flights, L.fx.airports))
+    return _dbl(_s.clean_fuel(L.fuel_landed, L.fx.flights, L.fx.airports))
 
 
 @query

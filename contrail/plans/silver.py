@@ -190,9 +190,17 @@ def cargo_enrich(clean: DataFrame) -> DataFrame:
 
 
 # J12 --------------------------------------------------------------------------
+def landing_fuel(fuel: DataFrame) -> DataFrame:
+    """Loads that rule M6 lets land; the others are in the report of ``rule_fuel``."""
+    bad = (F.col("litros") > 250000) | (F.col("masa_kg") > F.col("litros") * F.lit(1.2).cast("decimal(2,1)"))
+    return fuel.where(~F.coalesce(bad, F.lit(False)))
+
+
 def clean_crew(crew: DataFrame, flights: DataFrame) -> DataFrame:
+    """Duties that rule M5 lets land; the others are in the report of ``rule_crew_fatigue``."""
+    tired = (F.col("duty_hours") > 12) | (F.col("descanso_horas") < F.col("descanso_minimo").cast("decimal(4,2)"))
     c = crew.where(F.col("vuelo_id").isNotNull() & F.col("report_time").isNotNull()
-                   & F.col("duty_hours").isNotNull() & (F.col("duty_hours") > 0))
+                   & F.col("duty_hours").isNotNull() & (F.col("duty_hours") > 0) & ~F.coalesce(tired, F.lit(False)))
     j = c.join(flights.select("vuelo_id"), "vuelo_id")
     rows = j.select(
         "roster_id", "vuelo_id", "crew_id",

@@ -45,7 +45,7 @@ def dim_crew_role(L: Layers) -> DataFrame:
 @query
 def fuel_backfill(L: Layers) -> DataFrame:
     from contrail.plans.gold import fuel_backfill as fb
-    return _dbl(fb(L.fx.flights, L.fx.fuel))
+    return _dbl(fb(L.fx.flights, L.fuel_landed))
 
 
 @query
