@@ -46,13 +46,13 @@ def template_keys(column: pa.Array, min_tokens: int = MIN_TOKENS) -> tuple[np.nd
     line = breaks[words.start - lo]  # counted through the block; rows part lines too
     first = np.flatnonzero(np.diff(line, prepend=-1).astype(bool) | np.diff(words.row, prepend=-1).astype(bool))
     n = np.diff(first, append=len(h))
+    place = np.arange(len(h)) - np.repeat(first, n)
     use = n >= min_tokens
     first, n = first[use], n[use]
     row, number = words.row[first], line[first] - breaks[at[words.row[first]] - lo]
     leaf = mix64(n.astype(np.uint64) + np.uint64(1))
     for k in range(LEADING):
         leaf = mix64(leaf * np.uint64(3) + np.where(n > k, h[np.minimum(first + k, len(h) - 1)], np.uint64(0)))
-    place = np.arange(len(h)) - np.repeat(np.concatenate([[0], first, [len(h)]])[:-1], np.diff(np.concatenate([[0], first, [len(h)]]))) if len(first) else np.zeros(len(h), np.int64)
     total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(h + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))])
     begin = np.minimum(first + LEADING, first + n)
     rest = total[first + n] - total[begin]
