@@ -36,8 +36,15 @@ def test_fuel_rules_fire_both_ways(q):
     assert _values(q("rule_fuel"), "regla") >= {None, "M6_LITROS", "M6_MASA"}
 
 
-def test_crew_compliance_both_ways(q):
-    assert _values(q("crew_duty_hours"), "cumple_regulacion") == {True, False}
+def test_crew_rules_fire_both_ways_and_gate_the_load(q):
+    assert _values(q("rule_crew_fatigue"), "regla") >= {None, "M5_DUTY", "M5_REST"}
+    # what rule M5 rejects never lands, so every crew that is on duty complies
+    assert _values(q("crew_duty_hours"), "cumple_regulacion") == {True}
+
+
+def test_rejected_fuel_never_reaches_gold(q):
+    rejected = {r.fuel_id for r in q("rule_fuel").where("regla is not null").collect()}
+    assert rejected and not rejected & {r.fuel_id for r in q("fact_fuel").collect()}
 
 
 def test_delay_bands(q):
