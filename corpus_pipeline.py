@@ -14,6 +14,8 @@ from contrail.llm.common import documents, keep, without_ids
 from contrail.llm.queries import vocabulary
 
 TOXIC = 0.7
+#: Word shingles of near duplicates; op7's own contract (4 words, 85 %) binds only the query.
+SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +34,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar texts the document with the smallest id stays."""
-    found = op7_skip_join.classes(docs)
+    found = op7_skip_join.classes(docs, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
     gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
     return without_ids(docs, "doc_id", gone, "near-duplicates")
 

@@ -57,3 +57,28 @@ def test_without_ids(spark):
     got = without_ids(docs, "doc_id", spark.createDataFrame([(5,), (6,), (77,), (None,)], "doc_id long"), "t")
     assert got.columns == docs.columns and rows(got) == [x for x in rows(docs) if x[0] not in (5, 6)]
     assert without_ids(docs, "doc_id", docs.where(F.lit(False)).select("doc_id"), "t").count() == docs.count()
+
+
+def near_brute(rows, words, percent):
+    """Ids that stay: the smallest of each group linked by ``percent`` of shared shingles of ``words`` words."""
+    sets = [test_op7.shingles(t, words) for _, t in rows]
+    group = {i: i for i, _ in rows}
+    for a, (i, _) in enumerate(rows):
+        for b, (j, _) in enumerate(rows[:a]):
+            if sets[a] & sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                low, high = sorted((group[i], group[j]))
+                group = {k: low if g == high else g for k, g in group.items()}
+    return {i for i, g in group.items() if i == g}
+
+
+def test_near_duplicates_at_five_words_and_four_fifths(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    extra = []
+    for g in range(6):
+        text = [f"w{g}x{k}" for k in range(46 + 4 * g)]
+        other = [*text[:20], "changed", *text[21:]]
+        extra += [(10_000 + 2 * g, " ".join(text)), (10_001 + 2 * g, " ".join(other))]
+    docs = keep(docs.unionByName(spark.createDataFrame(extra, docs.schema)), "t")
+    stay = near_brute(rows(docs), 5, 80)
+    assert {i for i, _ in rows(P.near_duplicates(spark, docs, SF))} == stay
+    assert stay < near_brute(rows(docs), 4, 85)  # pairs between the two limits
