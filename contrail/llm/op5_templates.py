@@ -1,11 +1,13 @@
 """Line dedup by log templates: lines whose template recurs across documents are dropped.
 
 A line's path in the fixed-depth tree is its token count and its first two tokens; tokens that
-hold a digit are variable fields from the start. A leaf holds the templates of the rest: as it
+hold a digit are variable fields from the start, in lines that are constant enough: half of all
+tokens and one of the first two, or three quarters of all. Other lines (rows of numbers) have one
+template, all their tokens as they stand. A leaf holds the templates of the rest: as it
 stands and, for lines of GENERAL tokens or more, with one of four equal parts of the rest taken
-as a variable field. Two lines of a leaf that differ within one part only thus share a template,
-whatever the order they come in, and no leaf ever has to be gathered in one place: templates are
-64-bit keys that are counted. A template found in MIN_DOCS documents or more recurs; it stays in
+as a variable field, if the line is still constant enough without it. Two lines of a leaf that
+differ within one part only thus share a template, whatever the order they come in, and no leaf
+ever has to be gathered in one place: templates are 64-bit keys that are counted. A template found in MIN_DOCS documents or more recurs; it stays in
 the document with the smallest id and its lines are dropped elsewhere.
 
 Pass 1 counts keys (partial counts in each task first). Pass 2 tests each document's keys
@@ -27,10 +29,16 @@ from contrail.llm.common import hot_join, keep, key_filter, mix64
 
 MIN_DOCS, MIN_TOKENS, LEADING, GENERAL, PARTS = 3, 3, 2, 8, 4
 _FIELD = np.uint64(0x5A17F1E1D0000001)
+_AS_IS = np.uint64(0x5A17F1E1D0000002)
 _NO_ID = (1 << 63) - 1
 _FLUSH = 2_000_000
 
 
+def _constant(constant: np.ndarray, leading: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether a template of ``n`` tokens has enough constant ones, ``leading`` of them on its path."""
+    return np.where(leading > 0, 2 * constant >= n, 4 * constant >= 3 * n)
+
+
 def template_keys(column: pa.Array, min_tokens: int = MIN_TOKENS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, line number and key of every template of every line of ``min_tokens`` tokens or more."""
     words = W.split(column)
@@ -42,29 +50,35 @@ def template_keys(column: pa.Array, min_tokens: int = MIN_TOKENS) -> tuple[np.nd
     b = data[lo:hi]
     breaks = np.concatenate([[0], np.cumsum(b == 10)])
     digits = np.concatenate([[0], np.cumsum((b >= 48) & (b <= 57))])
-    h = np.where(digits[words.end - lo] > digits[words.start - lo], _FIELD, words.hash)
+    field = digits[words.end - lo] > digits[words.start - lo]
     line = breaks[words.start - lo]  # counted through the block; rows part lines too
     first = np.flatnonzero(np.diff(line, prepend=-1).astype(bool) | np.diff(words.row, prepend=-1).astype(bool))
-    n = np.diff(first, append=len(h))
-    place = np.arange(len(h)) - np.repeat(first, n)
+    n = np.diff(first, append=len(field))
+    place = np.arange(len(field)) - np.repeat(first, n)
+    fields = np.concatenate([[0], np.cumsum(field)])
+    paths = first + np.minimum(n, LEADING)
+    constant, leading = n - (fields[first + n] - fields[first]), paths - first - (fields[paths] - fields[first])
+    masked = _constant(constant, leading, n)
+    h = np.where(field & np.repeat(masked, n), _FIELD, words.hash)
     use = n >= min_tokens
-    first, n = first[use], n[use]
+    first, n, constant, leading, masked = first[use], n[use], constant[use], leading[use], masked[use]
     row, number = words.row[first], line[first] - breaks[at[words.row[first]] - lo]
-    leaf = mix64(n.astype(np.uint64) + np.uint64(1))
+    leaf = mix64(n.astype(np.uint64) + np.where(masked, np.uint64(1), _AS_IS))
     for k in range(LEADING):
         leaf = mix64(leaf * np.uint64(3) + np.where(n > k, h[np.minimum(first + k, len(h) - 1)], np.uint64(0)))
     total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(h + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))])
     begin = np.minimum(first + LEADING, first + n)
     rest = total[first + n] - total[begin]
     rows, numbers, keys = [row], [number], [mix64(leaf ^ rest)]
-    wide = n >= GENERAL
     m = n - LEADING
     for j in range(PARTS):
-        a, z = (begin + j * m // PARTS)[wide], (begin + (j + 1) * m // PARTS)[wide]
-        field = mix64(np.full(1, j + 1, np.uint64))
+        a, z = begin + j * m // PARTS, begin + (j + 1) * m // PARTS
+        wide = (n >= GENERAL) & masked & _constant(constant - (z - a - (fields[z] - fields[a])), leading, n)
+        a, z = a[wide], z[wide]
+        part = mix64(np.full(1, j + 1, np.uint64))
         rows.append(row[wide])
         numbers.append(number[wide])
-        keys.append(mix64(leaf[wide] ^ (rest[wide] - (total[z] - total[a]) + field)))
+        keys.append(mix64(leaf[wide] ^ (rest[wide] - (total[z] - total[a]) + part)))
     return np.concatenate(rows), np.concatenate(numbers), np.concatenate(keys)
 
 

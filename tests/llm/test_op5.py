@@ -65,3 +65,12 @@ def test_variable_fields_and_odd_rows(spark):
     assert by[60][1] == 0 and all(by[60 + i] == ("", 1) for i in (1, 2, 3))
     assert drop_recurring_lines(docs).columns == [*docs.columns, "n_dropped"]
     assert drop_recurring_lines(no_docs(spark)).count() == 0
+
+
+def test_rows_of_numbers_recur_only_as_they_stand(spark):
+    rows = ["{}.5 2{} 17", "2024-01-0{} 12:0{}:00 21.{}", "{} x{} 4 total", "station {}7 4 5{} 9"]
+    extra = [(80 + i, "\n".join(r.format(i, i, i) for r in rows) + "\n1 2 3\n2024-01-0%d 12:00:0%d server started and is ready again" % (i, i), "en", "s", 1, 0, "", 0) for i in range(1, 5)]
+    by = {i: (t, n) for i, t, n in run(odd_docs(spark, extra))}
+    assert by[81][1] == 0
+    # unlike rows stay; the same row of numbers and the template of the log line go
+    assert all(by[80 + i] == ("\n".join(r.format(i, i, i) for r in rows), 2) for i in (2, 3, 4))
