@@ -25,13 +25,14 @@ from contrail.llm import words as W
 from contrail.llm.common import fold, mix64
 from contrail.llm.op6_quality import train_ids
 
-#: Most labelled rows to learn from, most terms of the lexicon, words on each side of a hit.
-SAMPLE, TERMS, WINDOW = 20_000, 400, 6
+#: Most labelled rows to learn from, words on each side of a hit.
+SAMPLE, WINDOW = 20_000, 6
 #: A term has at least this lift, log-likelihood ratio (G) and these letters; a stem gives way to a
 #: longer one that has SAME of its texts.
 LIFT, LEAST_G, SHORTEST, LONGEST, SAME = 15.0, 25.0, 3, 16, 0.9
-CANDIDATES = 20_000
 ONE_EDIT, TWO_EDITS, STEM_EDIT = 5, 9, 7
+#: Distance of the fullwidth forms, which are read as their ASCII characters.
+FULLWIDTH = 0xFEE0
 #: Look-alikes that are read as letters, marks that quote, words that report speech.
 ALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 QUOTES = "\"“”„«»‘’"
@@ -68,15 +69,15 @@ class Automaton:
         letters = sorted({c for t in terms for c in t.removesuffix("*")})
         self.code = {c: i + 1 for i, c in enumerate(letters)}
         self.letters = [None, *letters]
-        self.table_size = 0x3000
-        self.classes = np.zeros(self.table_size, np.int32)
-        for c, i in self.code.items():
-            for x in {c, c.upper()}:
-                if len(x) == 1 and ord(x) < self.table_size:
-                    self.classes[ord(x)] = i
+        classes = {ord(c.upper()): i for c, i in self.code.items() if len(c.upper()) == 1} | {ord(c): i for c, i in self.code.items()}
         for c, as_ in ALIKE.items():
             if c not in self.code and as_ in self.code:
-                self.classes[ord(c)] = self.code[as_]
+                classes[ord(c)] = self.code[as_]
+        for x, i in list(classes.items()):
+            if 0x20 < x < 0x7F:
+                classes.setdefault(x + FULLWIDTH, i)
+        self.points = np.array(sorted(classes), np.int64)  # all code points that stand for a letter of a term
+        self.classes = np.array([classes[x] for x in self.points.tolist()], np.int32)
         self.states: dict[frozenset, int] = {frozenset(): 0}
         self.sets: list[frozenset] = [frozenset()]
         self.next = np.zeros((1, len(self.letters)), np.int32)
@@ -92,6 +93,13 @@ class Automaton:
             return int(len(term) > STEM_EDIT)
         return 2 if len(term) >= TWO_EDITS else 1 if len(term) >= ONE_EDIT else 0
 
+    def letter(self, points: np.ndarray) -> np.ndarray:
+        """Letter class of each code point, 0 for those that are in no term."""
+        if not len(self.points):
+            return np.zeros(len(points), np.int32)
+        at = np.minimum(np.searchsorted(self.points, points), len(self.points) - 1)
+        return np.where(self.points[at] == points, self.classes[at], 0)
+
     def _closed(self, edits: dict[int, int]) -> frozenset:
         """With letters left out of the word; each node with its fewest edits."""
         best = dict(edits)
@@ -152,7 +160,7 @@ class Automaton:
             if not len(going):
                 break
             p = points[start[going] + k]
-            letter = np.where(p < self.table_size, self.classes[np.minimum(p, self.table_size - 1)], 0)
+            letter = self.letter(p)
             to = self.next[state[going], letter]
             new = to < 0
             if new.any():
@@ -271,8 +279,8 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def lexicon(counts: DataFrame, toxic: int, others: int) -> list[str]:
     """Terms from (term, toxic, other) counts: the shortest beginnings that qualify, as long as they keep their texts.
 
-    ``$`` marks the end of a word. Counts of a beginning add up those of its words. At most
-    CANDIDATES qualifying beginnings come to the driver, at most TERMS are used.
+    ``$`` marks the end of a word. Counts of a beginning add up those of its words. All qualifying
+    beginnings of the sample's words come to the driver, and all terms are used.
     """
     if not toxic or not others:
         return []
@@ -286,7 +294,7 @@ def lexicon(counts: DataFrame, toxic: int, others: int) -> list[str]:
     n = F.col("a") + F.col("b")
     g = 2 * (part(F.col("a"), n * share) + part(F.col("b"), n * (1 - share)))
     lift = (F.col("a") / toxic) / ((F.col("b") + 0.5) / others)
-    rows = begun.where((lift >= LIFT) & (g >= LEAST_G)).orderBy(F.desc("a"), "term").limit(CANDIDATES).collect()
+    rows = begun.where((lift >= LIFT) & (g >= LEAST_G)).collect()
     found = {r.term: r.a for r in rows}
     longer: dict[str, list[str]] = {}
     for t in found:
@@ -298,7 +306,7 @@ def lexicon(counts: DataFrame, toxic: int, others: int) -> list[str]:
         while (to := max(longer.get(t, []), key=lambda x: (found[x], x), default=None)) and found[to] >= SAME * found[t]:
             t = to
         out.add((found[t], t.removesuffix("$") if t.endswith("$") else t + "*"))
-    return sorted(t for _, t in sorted(out, reverse=True)[:TERMS])
+    return sorted(t for _, t in out)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> tuple[np.ndarray, float]:

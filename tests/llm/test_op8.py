@@ -77,3 +77,16 @@ def test_odd_rows(spark):
         rows = got.collect()
         assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows) and set(got.columns) == set(docs.columns)
     assert T.score(no_docs(spark), T.train(no_docs(spark), labels, F.lit(True))).count() == 0
+
+
+def test_terms_of_all_scripts_match():
+    automaton = T.Automaton(["白痴垃圾", "쓰레기같은*", "\U0001f595\U0001f595\U0001f595", "scum"])
+    texts = ["你 白痴垃圾 的", "이 쓰레기같은것 아", "you \U0001f595\U0001f595\U0001f595 there", "such ｓｃｕｍ and ＳＣＵＭ", "你 白痴 的", "漢字 \U0001f600"]
+    x = T.features(pa.array(texts), automaton)
+    assert (x[:4, T.FEATURES.index("exact")] > 0).all() and (x[4:] == 0).all()
+
+
+def test_lexicon_keeps_every_term_that_qualifies(spark):
+    words = ["".join(chr(97 + i // k % 26) for k in (676, 26, 1)) + "q" for i in range(600)]
+    got = T.lexicon(spark.createDataFrame([(w, 10, 0) for w in words] + [("the", 100, 900)], "term string, toxic long, other long"), 100, 900)
+    assert all(any(w == t or (t.endswith("*") and w.startswith(t[:-1])) for t in got) for w in words) and len(got) > 400
