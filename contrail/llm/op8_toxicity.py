@@ -6,13 +6,14 @@ All terms form a trie; an automaton walks it with up to one edit (words of 5 let
 stems of 7) or two (words of 9 or more), reading common look-alikes as their letters. The automaton
 is made deterministic as words are met and run over the distinct words of a batch in step, one
 letter at a time, so that most words leave it after a few letters. Each hit then gets a score from
-the window of words around it: quotation marks around it or reporting words before it point to
-a quotation, further hits near by to abuse. A logistic model over a text's sums of these scores
+its surroundings: an opening quotation mark before it and the matching one after it point to a
+quotation, further hits in the window of words around it to abuse. A logistic model over a text's sums of these scores
 gives the probability.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,10 +34,11 @@ LIFT, LEAST_G, SHORTEST, LONGEST, SAME = 15.0, 25.0, 3, 16, 0.9
 ONE_EDIT, TWO_EDITS, STEM_EDIT = 5, 9, 7
 #: Distance of the fullwidth forms, which are read as their ASCII characters.
 FULLWIDTH = 0xFEE0
-#: Look-alikes that are read as letters, marks that quote, words that report speech.
+#: Look-alikes that are read as letters, marks that quote.
 ALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 QUOTES = "\"“”„«»‘’"
-REPORTING = ("said", "says", "called", "quoted", "quote", "wrote", "sagte", "schrieb", "dit", "écrit", "dijo", "escribió")
+#: The marks that close what each mark opens; some languages open with what others close with.
+CLOSING = {'"': '"', "“": "”", "”": "”", "„": "“”", "«": "»", "»": "«", "‘": "’"}
 FEATURES = ("any", "exact", "near", "quoted", "crowded", "density", "distinct")
 
 _EDGE = np.zeros(256, dtype=bool)
@@ -159,7 +161,7 @@ class Automaton:
             going = going[(size[going] > k) & (state[going] > 0) & ~done]
             if not len(going):
                 break
-            p = points[start[going] + k]
+            p = points[start[going] + k].astype(np.int64)
             letter = self.letter(p)
             to = self.next[state[going], letter]
             new = to < 0
@@ -196,9 +198,11 @@ def hits(column: pa.Array, automaton: Automaton):
     data, at = W.utf8(column)
     lo, hi = int(at[0]), int(at[-1])
     b = data[lo:hi]
-    points = np.frombuffer(b.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.int64)
-    place = np.concatenate([[0], np.cumsum((b & 0xC0) != 0x80)])
-    s, e = place[start[first] - lo], place[end[first] - lo]
+    points = np.frombuffer(b.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    place = np.zeros(len(b) + 1, np.int32)
+    np.cumsum((b & 0xC0) != 0x80, out=place[1:])
+    s, e = place[start[first] - lo].astype(np.int64), place[end[first] - lo].astype(np.int64)
+    del place
     term, edits = automaton.run(points, s, e - s)
     got = np.flatnonzero(term[back] >= 0)
     return words, got, term[back][got], edits[back][got]
@@ -214,9 +218,59 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(x @ self.weights + self.bias, -30, 30)))
 
 
-_QUOTE_BYTES = np.zeros(256, dtype=bool)
-_QUOTE_BYTES[[0x22]] = True
-_OTHER_QUOTES = [q.encode() for q in QUOTES if ord(q) > 127]
+_QUOTE_BYTES = [q.encode() for q in QUOTES]
+_MARK = re.compile(f"[{QUOTES}]|\n[ \t\r]*\n")
+
+
+def quotations(text: str) -> list[tuple[int, int]]:
+    """Places of the opening and the closing mark of each quotation; a quotation ends with its paragraph.
+
+    Apostrophes are no marks: one between letters, or a closing one that nothing opened. A straight mark opens
+    or closes by what it touches; if that does not tell, by whether one is open. A mark that is opened again
+    before it was closed starts anew.
+    """
+    open_: list[tuple[str, int]] = []
+    out = []
+    for m in _MARK.finditer(text):
+        c, k = m.group()[0], m.start()
+        if c == "\n":
+            open_ = []
+            continue
+        left, right = text[k - 1 : k], text[k + 1 : k + 2]
+        if c in "‘’" and left.isalpha() and right.isalpha():
+            continue
+        begins, ends = not left.isalnum() and right.isalnum(), left.isalnum() and not right.isalnum()
+        straight = c in "\"”"
+        at = next((i for i in range(len(open_) - 1, -1, -1) if c in CLOSING[open_[i][0]]), None)
+        if at is not None and not (straight and begins):
+            out.append((open_[at][1], k))
+            del open_[at:]
+        elif c in CLOSING and not (straight and ends):
+            again = next((i for i, (x, _) in enumerate(open_) if x == c), len(open_))
+            del open_[again:]
+            open_.append((c, k))
+    return out
+
+
+def _quoted(words: W.Words, first: int, last: int, at: np.ndarray) -> np.ndarray:
+    """Whether the letters of each of the words ``at`` lie within a quotation of their text, words ``first`` to ``last``."""
+    lo, hi = int(words.start[first]), int(words.end[last])
+    data = words.data[lo:hi].tobytes()
+    out = np.zeros(len(at), dtype=bool)
+    if not any(q in data for q in _QUOTE_BYTES):
+        return out
+    text = data.decode("utf-8", "replace")
+    inside = np.zeros(len(text) + 1, np.int32)
+    for a, z in quotations(text):
+        inside[a + 1] += 1
+        inside[z] -= 1
+    inside = np.cumsum(inside) > 0
+    place = np.cumsum((words.data[lo:hi] & 0xC0) != 0x80) - 1
+    for i, k in enumerate(at.tolist()):
+        a, z = int(place[words.start[k] - lo]), int(place[words.end[k] - 1 - lo])
+        letters = [x for x in range(a, z + 1) if text[x].isalnum()] or [a]
+        out[i] = inside[letters[0]] and inside[letters[-1]]
+    return out
 
 
 def features(column: pa.Array, automaton: Automaton) -> np.ndarray:
@@ -233,13 +287,10 @@ def features(column: pa.Array, automaton: Automaton) -> np.ndarray:
     crowded = np.zeros(len(at), dtype=bool)
     crowded[1:] |= (at[1:] - at[:-1] <= WINDOW) & (row[1:] == row[:-1])
     crowded[:-1] |= crowded[1:]
-    for i, (k, r) in enumerate(zip(at.tolist(), row.tolist())):
-        a, z = max(begin[r], k - WINDOW), min(begin[r] + total[r], k + WINDOW + 1) - 1
-        before = words.data[words.start[a] : words.start[k] + 1].tobytes()
-        after = words.data[words.end[k] - 1 : words.end[z]].tobytes()
-        marks = lambda x: x.count(b'"') + sum(x.count(q) for q in _OTHER_QUOTES)
-        told = any(x in REPORTING for x in before.decode("utf-8", "ignore").lower().replace(",", " ").replace(":", " ").split())
-        quoted[i] = (marks(before) > 0 and marks(after) > 0) or (told and marks(before) + marks(after) > 0)
+    edges = np.flatnonzero(np.diff(row, prepend=-1, append=n))
+    for a, z in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        r = row[a]
+        quoted[a:z] = _quoted(words, begin[r], begin[r] + total[r] - 1, at[a:z])
     plain = ~quoted
     per = lambda w: np.bincount(row, w, n)
     exact, near = per(plain & (edits == 0)), per(plain & (edits > 0))

@@ -55,6 +55,15 @@ def test_context_window_tells_quotation_from_abuse():
     assert (x[2] == 0).all() and (x[4] == 0).all() and f["exact"][3] > 0
 
 
+def test_only_matching_marks_around_a_hit_quote_it():
+    plain = ["You’re a worthless idiot, don’t come back", "l’homme qu’on dit idiot d’un mot", "she said it’s an idiot", "\"yes\" you idiot \"no\"",
+             "the dogs’ idiot and the cats’ bowl", "a 5\" idiot 6\" long", "he said \"an\n\nidiot\" now", "“well” idiot “then”"]
+    quoted = ["“you idiot”, I read", "„so ein idiot“ stand da", "il a dit « quel idiot » hier", "»so ein idiot« stand da", "‘don’t be an idiot’ it read",
+              "he wrote \"one two three four five six seven eight idiot one two three four five six seven eight\" there", "\"an idiot.\" he said", "(\"idiot\")", "”en idiot” stod det"]
+    x = T.features(pa.array(plain + quoted), AUTOMATON)[:, T.FEATURES.index("quoted")] > 0
+    assert x.tolist() == [False] * len(plain) + [True] * len(quoted)
+
+
 def test_lexicon_finds_words_and_stems(spark):
     rows = [("idiot", 40, 0), *[(f"lowei{x}", 9, 0) for x in "abcdef"], ("idea", 10, 90), ("lower", 5, 60), ("rare", 3, 0), ("the", 100, 900)]
     got = T.lexicon(spark.createDataFrame(rows, "term string, toxic long, other long"), 100, 900)
