@@ -55,3 +55,18 @@ def test_stream_resumes_from_its_checkpoint(spark):
     assert stream.LAST_METRICS["rule_quarantine"]["batches"] >= 1
     again = sorted(stream.rule_quarantine_stream(spark, SF_SMALL, base=base).collect())
     assert first == again
+
+
+def test_engine_windows_take_rows_of_later_files_with_overlapping_times(spark):
+    d, one = tempfile.mkdtemp(prefix="contrail-stream-", dir="/tmp"), tempfile.mkdtemp(prefix="contrail-stream-", dir="/tmp")
+    t0 = dt.datetime(2024, 1, 10, 12, 0)
+    rows = [(i, t0 + dt.timedelta(minutes=7 * (i % 40)), i % 5, "view", float(i) / 3, "{}") for i in range(80)]
+    _events(rows).to_parquet(os.path.join(one, "events.parquet"), coerce_timestamps="us")
+    for k, part in enumerate((rows[:40], rows[40:60], rows[60:])):  # late rows are told by the watermark of the batch before
+        p = os.path.join(d, f"events_{k}.parquet")
+        _events(part).to_parquet(p, coerce_timestamps="us")
+        os.utime(p, (os.path.getmtime(p) + 5 * k, os.path.getmtime(p) + 5 * k))
+    split = sorted(stream.engine_health_stream(spark, d).collect())
+    assert sum(r.lecturas for r in split) == len(rows)
+    assert stream.LAST_METRICS["engine_health"] == {"rows_dropped_by_watermark": 0, "batches": 3}
+    assert split == sorted(stream.engine_health_stream(spark, one).collect())
