@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, with production parameters over whole tables."""
+"""Registered queries of the thirteen operators, with production parameters over whole tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import op1_elias_fano, op2_mix, op3_pii, op10_cover_tree, op4_bloom, op5_templates, op7_skip_join, op8_toxicity as toxicity, op9_bpe
+from contrail.llm import op1_elias_fano, op11_license, op2_mix, op3_pii, op10_cover_tree, op4_bloom, op5_templates, op7_skip_join, op8_toxicity as toxicity, op9_bpe
 from contrail.llm import op6_quality as quality
 from contrail.llm.common import documents
 
@@ -78,5 +78,9 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_score, op2_mix_sources, op3_pii_spans, op4_exact_dedup, op5_line_templates, op6_quality, op7_jaccard_join, op8_toxicity, op9_byte_bpe, op10_embedding_dedup)}
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_license.digest(op11_license.hits(documents(spark, sf_dir)))
+
+
+QUERIES = {f.__name__: f for f in (op1_lm_score, op2_mix_sources, op3_pii_spans, op4_exact_dedup, op5_line_templates, op6_quality, op7_jaccard_join, op8_toxicity, op9_byte_bpe, op10_embedding_dedup, op11_license_scan)}
 ORACLE = {"op4_exact_dedup": op4_bloom.SQL}
