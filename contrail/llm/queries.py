@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import op1_elias_fano, op11_license, op12_repair, op2_mix, op3_pii, op10_cover_tree, op4_bloom, op5_templates, op7_skip_join, op8_toxicity as toxicity, op9_bpe
+from contrail.llm import op1_elias_fano, op11_license, op12_repair, op13_prefix_trie, op2_mix, op3_pii, op10_cover_tree, op4_bloom, op5_templates, op7_skip_join, op8_toxicity as toxicity, op9_bpe
 from contrail.llm import op6_quality as quality
 from contrail.llm.common import documents
 
@@ -86,5 +86,9 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12_repair.repair(op12_repair.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_score, op2_mix_sources, op3_pii_spans, op4_exact_dedup, op5_line_templates, op6_quality, op7_jaccard_join, op8_toxicity, op9_byte_bpe, op10_embedding_dedup, op11_license_scan, op12_conversation_repair)}
+def op13_prefix_trie_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op1_lm_score, op2_mix_sources, op3_pii_spans, op4_exact_dedup, op5_line_templates, op6_quality, op7_jaccard_join, op8_toxicity, op9_byte_bpe, op10_embedding_dedup, op11_license_scan, op12_conversation_repair, op13_prefix_trie_nodes)}
 ORACLE = {"op4_exact_dedup": op4_bloom.SQL}
