@@ -1,33 +1,33 @@
 """Spatial joins without nested loops: geocell equi-joins.
 
-The globe is cut into square cells of ``cell_deg`` degrees (``n_lon`` =
-360 / cell_deg columns, rows from the south pole). A join on (cy, cx)
-is a plain hash equi-join, so it shuffles on the cell and AQE can split
-hot cells (a busy hub) as skewed partitions.
-
-* ``within_join``  -- point in circle (ST_DWithin, C22): each zone lists
-  the cells its radius can touch; points join on their one cell; the
-  exact distance filter runs on the candidates only.
-* ``nearest_join`` -- nearest site per point (KNN top-1, C23): search a
-  block of cells around the point; accept the best candidate if it is
-  closer than the block's guaranteed radius, otherwise double the block
-  for the unresolved points. A block covering the globe is exact, so
-  every point with at least one site is resolved. Each round's
-  unresolved set is checkpointed (lineage cut, executor-loss safe).
+The globe is cut into square cells, ``n_lon`` = 360 / cell columns and rows from the south pole. A
+join on the cell is a plain hash equi-join, so it shuffles on the cell and AQE can split hot cells
+(a busy hub) as skewed partitions.
+
+* ``within_join``  -- point in circle (ST_DWithin, C22), on request only while the circle is valid:
+  circles are put into classes of radius, a factor of four each, and each class has a grid of its
+  own, so a circle lists a handful of cells whatever its size; with times, it lists them for each
+  day of its validity. Points join on their cell of every class that occurs (and their day).
+* ``nearest_join`` -- nearest site per point (KNN top-1, C23): a pyramid of the cells that hold
+  sites, with counts, is descended together with the cells that hold points. A pair of cells stays
+  only while its least possible distance is not beyond the least upper bound of the point cell;
+  a site cell is opened while it holds more than a few sites. Empty cells are never listed, and
+  the work follows the number of occupied cells, not the size of the searched area.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.functions.codes import EARTH_RADIUS_SPHERE_M
-from contrail.functions.geo import spheroid_distance_m
-from contrail.session import checkpoint_dir, write_table
+from contrail.functions.geo import with_near_distance, with_spheroid_distance
 
 DEG_M = math.pi * EARTH_RADIUS_SPHERE_M / 180.0
+#: A geodesic and the distance on the sphere differ by less than this share.
+SPHERE_SLACK = 0.01
 
 
 def grid(cell_deg_min: float) -> tuple[float, int, int]:
@@ -66,100 +66,145 @@ def block_cells(lat, lon, radius_deg_lat: Column, cell: float, n_lon: int, n_lat
                                  lambda y: F.transform(xs, lambda x: F.struct(y.alias("cy"), x.alias("cx")))))
 
 
-def within_join(points: DataFrame, p_lat: str, p_lon: str, zones: DataFrame, z_lat: str, z_lon: str,
-                radius_m: str, max_radius_m: float) -> DataFrame:
-    """All (point, zone) pairs with spheroid distance <= the zone radius; adds ``dist_m``."""
-    cell, n_lon, n_lat = grid(max(max_radius_m / DEG_M, 0.01))
-    # widen by 1% so the sphere-based cover also holds for spheroid distances
-    rdeg = (F.col(radius_m).cast("double") * 1.01) / DEG_M
-    z = zones.withColumn("_c", F.explode(block_cells(z_lat, z_lon, rdeg, cell, n_lon, n_lat))) \
-             .select("*", F.col("_c.cy").alias("_cy"), F.col("_c.cx").alias("_cx")).drop("_c")
-    cy, cx = cell_of(p_lat, p_lon, cell, n_lon, n_lat)
-    p = points.withColumn("_cy", cy).withColumn("_cx", cx)
-    j = p.join(z, ["_cy", "_cx"]).drop("_cy", "_cx")
-    dist = spheroid_distance_m(p_lat, p_lon, z_lat, z_lon)
-    return j.withColumn("dist_m", dist).where(F.col("dist_m") <= F.col(radius_m))
+def _radius_class(radius: Column) -> Column:
+    """0 up to 1 km, then a class for every factor of four."""
+    return F.greatest(F.ceil(F.log(F.greatest(radius, F.lit(1.0)) / 1000.0) / math.log(4.0)), F.lit(0)).cast("int")
 
 
-def _guaranteed_m(lat, lon, cy, cx, r: int, cell: float, n_lon: int, n_lat: int) -> Column:
-    """Lower bound of the distance from the point to anything outside its search block."""
-    la, lo = _d(lat), _d(lon)
-    cy = F.col(cy) if isinstance(cy, str) else cy
-    cx = F.col(cx) if isinstance(cx, str) else cx
-    south = (cy - r) * cell - 90.0
-    north = (cy + r + 1) * cell - 90.0
-    lat_gap = F.least(F.when(cy - r <= 0, F.lit(1e9)).otherwise(la - south),
-                      F.when(cy + r >= n_lat - 1, F.lit(1e9)).otherwise(north - la))
-    west = (cx - r) * cell - 180.0
-    east = (cx + r + 1) * cell - 180.0
-    lon_gap_deg = F.least(lo - west, east - lo)
-    all_lon = F.lit((2 * r + 1) >= n_lon)
-    # distance from the point to the meridian lon_gap away: asin(cos(lat) sin(dlon))
-    lon_bound = F.asin(F.cos(F.radians(la)) * F.sin(F.radians(F.least(lon_gap_deg, F.lit(90.0))))) * EARTH_RADIUS_SPHERE_M
-    lon_bound = F.when(all_lon, F.lit(1e15)).otherwise(lon_bound)
-    return F.least(lat_gap * DEG_M, lon_bound) * 0.99
+def within_join(points: DataFrame, p_lat: str, p_lon: str, zones: DataFrame, z_lat: str, z_lon: str, radius_m: str,
+                p_time: str | None = None, z_from: str | None = None, z_to: str | None = None) -> DataFrame:
+    """All (point, zone) pairs with geodesic distance <= the zone radius; adds ``dist_m``.
+
+    With times, only pairs whose point lies in [z_from, z_to] too, both ends included; a null end
+    is open. Points or zones without coordinates, radius or (with times) point time match nothing.
+    """
+    radius = F.col(radius_m).cast("double")
+    zones = zones.where(F.col(z_lat).isNotNull() & F.col(z_lon).isNotNull() & (radius >= 0)).withColumn("_k", _radius_class(radius))
+    points = points.where(F.col(p_lat).isNotNull() & F.col(p_lon).isNotNull())
+    timed = p_time is not None
+    if timed:
+        points = points.where(F.col(p_time).isNotNull()).withColumn("_day", F.col(p_time).cast("date"))
+        first, last = points.agg(F.min("_day"), F.max("_day")).first()
+        # days without points need no entry, so an open end lists no more days than the points have
+        low, high = (F.coalesce(f(F.col(c).cast("date"), F.lit(e)), F.lit(e)) for f, c, e in ((F.greatest, z_from, first), (F.least, z_to, last)))
+        zones = zones.where(F.lit(first is not None) & (low <= high)).withColumn("_day", F.explode(F.sequence(low, high)))
+    # classes of radius that occur: at most eleven, from 1 km to the globe
+    classes = sorted(r[0] for r in zones.select("_k").distinct().collect())
+    cells, at = None, []
+    for k in classes:
+        cell, n_lon, n_lat = grid(min(max(1000.0 * 4.0**k / DEG_M, 0.01), 90.0))
+        # widened so that the sphere-based cover also holds for geodesic distances
+        reach = radius * (1 + SPHERE_SLACK) / DEG_M
+        mine = zones.where(F.col("_k") == k).withColumn("_c", F.explode(block_cells(z_lat, z_lon, reach, cell, n_lon, n_lat))) \
+            .select("*", F.col("_c.cy").alias("_cy"), F.col("_c.cx").alias("_cx")).drop("_c")
+        cells = mine if cells is None else cells.unionByName(mine)
+        cy, cx = cell_of(p_lat, p_lon, cell, n_lon, n_lat)
+        at.append(F.struct(F.lit(k).alias("_k"), cy.alias("_cy"), cx.alias("_cx")))
+    if cells is None:
+        cells, at = zones.withColumn("_cy", F.lit(0)).withColumn("_cx", F.lit(0)), [F.struct(F.lit(0).alias("_k"), F.lit(0).alias("_cy"), F.lit(0).alias("_cx"))]
+    placed = points.withColumn("_c", F.explode(F.array(*at))).select("*", "_c.*").drop("_c")
+    keys = ["_k", "_cy", "_cx"] + (["_day"] if timed else [])
+    j = placed.join(cells, keys).drop(*keys)
+    if timed:
+        j = j.where((F.col(z_from).isNull() | (F.col(p_time) >= F.col(z_from))) & (F.col(z_to).isNull() | (F.col(p_time) <= F.col(z_to))))
+    j = with_near_distance(j, "_near", p_lat, p_lon, z_lat, z_lon).where(F.col("_near") <= radius * (1 + SPHERE_SLACK) + 1.0).drop("_near")
+    return with_spheroid_distance(j, "dist_m", p_lat, p_lon, z_lat, z_lon).where(F.col("dist_m") <= radius)
+
+
+#: Cells of the pyramid's levels: 45 degrees, then a quarter of the level above, down to about 1.2 km.
+_TOP_DEG, _STEP, _LEVELS = 45, 4, 7
+
+
+def _level(level: int) -> tuple[float, int, int]:
+    cell = _TOP_DEG / _STEP**level
+    return cell, round(360 / cell), round(180 / cell)
+
+
+def _bounded(pairs: DataFrame, q_cell: float) -> DataFrame:
+    """``pairs`` with _least and _most, the least and greatest possible distance between points of two cells.
+
+    Both are the geodesic between the centres, less or plus what the cells reach around them.
+    """
+    c_cell = F.lit(float(_TOP_DEG)) / F.pow(F.lit(float(_STEP)), F.col("cl"))
+    centred = pairs.select("*", *[(((F.col(c) + 0.5) * w) - o).alias(f"_{c}") for c, w, o in (
+        ("qy", F.lit(q_cell), 90), ("qx", F.lit(q_cell), 180), ("cy", c_cell, 90), ("cx", c_cell, 180))])
+    apart = with_near_distance(centred, "_apart", "_qy", "_qx", "_cy", "_cx")
+    reach = (F.lit(q_cell) + c_cell) * (math.sqrt(0.5) * DEG_M * (1 + SPHERE_SLACK))
+    # the closed formula is coarse towards antipodes
+    reach = reach + F.when(F.col("_apart") > 1.6e7, 1e5).otherwise(1.0)
+    return apart.withColumn("_least", F.col("_apart") - reach).withColumn("_most", F.col("_apart") + reach).drop("_qy", "_qx", "_cy", "_cx", "_apart")
+
+
+def candidate_cells(points: DataFrame, sites: DataFrame, per_cell: int = 8) -> tuple[DataFrame, int]:
+    """(qy, qx, cl, cy, cx, n): site cells that may hold the nearest site of a point in cell (qy, qx); and the points' level.
+
+    ``points`` has _plat, _plon and ``sites`` _slat, _slon, without nulls.
+    """
+    def cells(lat: str, lon: str, level: int) -> Column:
+        cell, n_lon, n_lat = _level(level)
+        cy, cx = cell_of(lat, lon, cell, n_lon, n_lat)
+        return F.struct(F.lit(level).alias("cl"), cy.alias("cy"), cx.alias("cx"))
+
+    pyramid = sites.select(F.explode(F.array(*[cells("_slat", "_slon", k) for k in range(_LEVELS)])).alias("c")).select("c.*").groupBy("cl", "cy", "cx").agg(F.count("*").alias("n"))
+    crowd = {r.cl: r.n for r in pyramid.groupBy("cl").agg(F.max("n").alias("n")).collect()}  # a row a level
+    depth = next((k for k in range(_LEVELS) if crowd.get(k, 0) <= per_cell), _LEVELS - 1)
+    finest = points.select(cells("_plat", "_plon", depth).alias("c")).select(F.col("c.cy").alias("qy"), F.col("c.cx").alias("qx")).distinct()
+
+    def up(df: DataFrame, levels: int) -> DataFrame:
+        step = _STEP**levels
+        return df.select(F.floor(F.col("qy") / step).cast("int").alias("qy"), F.floor(F.col("qx") / step).cast("int").alias("qx")).distinct() if levels else df
+
+    def prune(pairs: DataFrame, level: int) -> DataFrame:
+        reach = F.min("_most").over(Window.partitionBy("qy", "qx"))
+        return _bounded(pairs, float(_level(level)[0])).withColumn("_reach", reach).where("_least <= _reach").drop("_least", "_most", "_reach")
+
+    # the top level: at most 32 cells on either side
+    pairs = prune(up(finest, depth).crossJoin(F.broadcast(pyramid.where("cl = 0"))), 0)
+    for level in range(1, depth + 1):
+        below = up(finest, depth - level).select(F.floor(F.col("qy") / _STEP).cast("int").alias("_uy"), F.floor(F.col("qx") / _STEP).cast("int").alias("_ux"), "qy", "qx")
+        opened = pyramid.where(F.col("cl") == level).select(F.floor(F.col("cy") / _STEP).cast("int").alias("_oy"), F.floor(F.col("cx") / _STEP).cast("int").alias("_ox"),
+                                                            F.col("cl").alias("_cl"), F.col("cy").alias("_cy"), F.col("cx").alias("_cx"), F.col("n").alias("_n"))
+        full = (F.col("n") > per_cell) & (F.col("cl") == level - 1)  # such a cell has cells below
+        pairs = pairs.join(opened, full & (F.col("cy") == F.col("_oy")) & (F.col("cx") == F.col("_ox")), "left").select(
+            F.col("qy").alias("_uy"), F.col("qx").alias("_ux"), *[F.coalesce(f"_{c}", c).alias(c) for c in ("cl", "cy", "cx", "n")])
+        pairs = pairs.join(below, ["_uy", "_ux"]).select("qy", "qx", "cl", "cy", "cx", "n")
+        pairs = prune(pairs, level)
+    return pairs, depth
 
 
 def nearest_join(points: DataFrame, pid: str, p_lat: str, p_lon: str, sites: DataFrame, sid: str,
-                 s_lat: str, s_lon: str, site_cols: list[str] | None = None, sites_per_cell: float = 4.0) -> DataFrame:
-    """Nearest site (spheroid distance, ties by site id) for every point; adds ``dist_m``.
+                 s_lat: str, s_lon: str, site_cols: list[str] | None = None, per_cell: int = 8) -> DataFrame:
+    """Nearest site (geodesic distance, ties by site id) for every point; adds ``dist_m``.
 
     A point without coordinates, and every point when no site has any, is kept with a null site.
+    Sites compare by ``with_near_distance``; ``dist_m`` is the solver's distance to the one chosen.
     """
-    spark = points.sparkSession
-    checkpoint_dir(spark)
     site_cols = site_cols or []
-    n_sites = sites.where(F.col(s_lat).isNotNull() & F.col(s_lon).isNotNull()).count()
     no_site = [F.lit(None).cast(sites.schema[sid].dataType).alias(sid), F.lit(None).cast("double").alias("dist_m"),
                *[F.lit(None).cast(sites.schema[c].dataType).alias(c) for c in site_cols]]
-    if n_sites == 0:
+    placed = sites.where(F.col(s_lat).isNotNull() & F.col(s_lon).isNotNull()).select(
+        F.col(sid).alias("_sid"), F.col(s_lat).cast("double").alias("_slat"), F.col(s_lon).cast("double").alias("_slon"))
+    if placed.isEmpty():
         return points.select(pid, *no_site)
     lost = points.where(F.col(p_lat).isNull() | F.col(p_lon).isNull()).select(pid, *no_site)
-    cell, n_lon, n_lat = grid(min(max(math.sqrt(41253.0 * sites_per_cell / n_sites), 0.05), 60.0))
-    scy, scx = cell_of("_slat", "_slon", cell, n_lon, n_lat)
-    s = (sites.where(F.col(s_lat).isNotNull() & F.col(s_lon).isNotNull())
-         .select(F.col(sid).alias("_sid"), F.col(s_lat).cast("double").alias("_slat"),
-                 F.col(s_lon).cast("double").alias("_slon"))
-         .withColumn("_cy", scy).withColumn("_cx", scx))
-    pcy, pcx = cell_of("_plat", "_plon", cell, n_lon, n_lat)
-    todo = points.select(F.col(pid).alias("_pid"), F.col(p_lat).cast("double").alias("_plat"),
-                         F.col(p_lon).cast("double").alias("_plon")) \
-                 .where(F.col("_plat").isNotNull() & F.col("_plon").isNotNull()) \
-                 .withColumn("_pcy", pcy).withColumn("_pcx", pcx)
-    done = []
-    r = 1
-    while True:
-        cover_all = r >= n_lat and (2 * r + 1) >= n_lon
-        ys = F.sequence(F.greatest(F.col("_pcy") - r, F.lit(0)), F.least(F.col("_pcy") + r, F.lit(n_lat - 1)))
-        if (2 * r + 1) >= n_lon:
-            xs = F.sequence(F.lit(0), F.lit(n_lon - 1))
-        else:
-            xs = F.transform(F.sequence(F.col("_pcx") - r, F.col("_pcx") + r), lambda x: F.pmod(x, F.lit(n_lon)))
-        cells = F.flatten(F.transform(ys, lambda y: F.transform(xs, lambda x: F.struct(y.alias("cy"), x.alias("cx")))))
-        cand = (todo.withColumn("_c", F.explode(cells))
-                .select("*", F.col("_c.cy").alias("_cy"), F.col("_c.cx").alias("_cx")).drop("_c")
-                .join(s, ["_cy", "_cx"]))
-        cand = cand.withColumn("_d", spheroid_distance_m("_plat", "_plon", "_slat", "_slon"))
-        # (distance, site id): ties go to the smaller id, on every run
-        best = cand.groupBy("_pid").agg(F.min(F.struct("_d", "_sid")).alias("_b"))
-        scored = todo.join(best, "_pid", "left").withColumn(
-            "_ok", F.col("_b").isNotNull() & (F.lit(cover_all)
-                                              | (F.col("_b._d") <= _guaranteed_m("_plat", "_plon", "_pcy", "_pcx", r,
-                                                                                  cell, n_lon, n_lat))))
-        scored = write_table(scored, "nearest_round")
-        done.append(scored.where("_ok").select("_pid", "_b"))
-        if cover_all:
-            break
-        todo = scored.where(~F.col("_ok")).drop("_b", "_ok")
-        if todo.isEmpty():
-            break
-        # the unresolved rest is small (~2 % after the first block): grow the
-        # block fourfold so it usually finishes in one more round
-        r *= 4
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    res = out.select(F.col("_pid").alias(pid), F.col("_b._sid").alias(sid), F.col("_b._d").alias("dist_m"))
+    todo = points.where(F.col(p_lat).isNotNull() & F.col(p_lon).isNotNull()).select(
+        F.col(pid).alias("_pid"), F.col(p_lat).cast("double").alias("_plat"), F.col(p_lon).cast("double").alias("_plon"))
+    pairs, depth = candidate_cells(todo, placed, per_cell)
+
+    def keyed(df: DataFrame, lat: str, lon: str, level: int, names: tuple[str, str]) -> DataFrame:
+        cy, cx = cell_of(lat, lon, *_level(level))
+        return df.withColumn(names[0], cy).withColumn(names[1], cx)
+
+    held = None
+    for level in range(depth + 1):
+        mine = keyed(placed, "_slat", "_slon", level, ("cy", "cx")).withColumn("cl", F.lit(level))
+        held = mine if held is None else held.unionByName(mine)
+    near = pairs.join(held, ["cl", "cy", "cx"]).select("qy", "qx", "_sid", "_slat", "_slon")
+    met = keyed(todo, "_plat", "_plon", depth, ("qy", "qx")).join(near, ["qy", "qx"])
+    met = with_near_distance(met, "_d", "_plat", "_plon", "_slat", "_slon")
+    # (distance, site id): ties go to the smaller id, on every run
+    best = met.groupBy("_pid").agg(F.min(F.struct("_d", "_sid", "_plat", "_plon", "_slat", "_slon")).alias("_b")).select("_pid", "_b.*")
+    res = with_spheroid_distance(best, "dist_m", "_plat", "_plon", "_slat", "_slon").select(F.col("_pid").alias(pid), F.col("_sid").alias(sid), "dist_m")
     if site_cols:
         # site attributes join once, on the winner only (N:1 on the site id)
         res = res.join(sites.select(sid, *site_cols), sid, "left")

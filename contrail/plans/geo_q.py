@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from contrail.functions import kpi
 from contrail.functions.codes import FT_TO_M, M_PER_NM
-from contrail.functions.geo import cross_track_m, spheroid_distance_m, valid_coordinates
+from contrail.functions.geo import valid_coordinates, with_line_distance, with_spheroid_distance
 from contrail.operators.geojoin import nearest_join, within_join
 from contrail.plans.context import Layers
 from contrail.plans.queries import _dbl, query
 
 AIRWAY_HALF_WIDTH_M = 9260.0   # 5 NM either side of the centreline
-MAX_NOTAM_RADIUS_NM = 50       # radius_nm is drawn in [0, 50)
 
 
 def _km_nm(d):
@@ -29,14 +28,13 @@ def airport_distance(L: Layers) -> DataFrame:
                   F.col("longitude_deg").alias("lo1"))
     d = ap.select(F.col("aeropuerto_id").alias("destino_id"), F.col("latitude_deg").alias("la2"),
                   F.col("longitude_deg").alias("lo2"))
-    dist = spheroid_distance_m("la1", "lo1", "la2", "lo2")
-    return pairs.join(o, "origen_id").join(d, "destino_id").select(
-        F.col("origen_id").alias("aeropuerto_origen"), F.col("destino_id").alias("aeropuerto_destino"), *_km_nm(dist))
+    j = with_spheroid_distance(pairs.join(o, "origen_id").join(d, "destino_id"), "_m", "la1", "lo1", "la2", "lo2")
+    return j.select(F.col("origen_id").alias("aeropuerto_origen"), F.col("destino_id").alias("aeropuerto_destino"), *_km_nm(F.col("_m")))
 
 
 @query
 def nearest_airport(L: Layers) -> DataFrame:
-    """U2 for every position: geocell ring search, exact against brute force."""
+    """U2 for every position: descent of the pyramid of airport cells, exact against brute force."""
     pts = L.fx.positions.select("posicion_id", "latitud", "longitud")
     sites = L.fx.airports.select("aeropuerto_id", "latitude_deg", "longitude_deg", "nombre", "iata", "icao")
     nn = nearest_join(pts, "posicion_id", "latitud", "longitud", sites, "aeropuerto_id",
@@ -57,27 +55,38 @@ def validate_coordinates(L: Layers) -> DataFrame:
 
 @query
 def route_deviation(L: Layers) -> DataFrame:
-    """Equi-join position -> its airway, clamped cross-track distance in NM."""
+    """Equi-join position -> its airway, geodesic distance to the airway in NM."""
     p = L.fx.positions.select("posicion_id", "aerovia_id", "latitud", "longitud")
     w = L.fx.airways.select("aerovia_id", "lat1", "lon1", "lat2", "lon2")
-    xt = cross_track_m("latitud", "longitud", "lat1", "lon1", "lat2", "lon2")
-    return p.join(w, "aerovia_id").select("posicion_id", "aerovia_id",
-                                          F.round(xt / M_PER_NM, 2).alias("desviacion_nm"))
+    j = with_line_distance(p.join(w, "aerovia_id"), "_xt", "latitud", "longitud", "lat1", "lon1", "lat2", "lon2")
+    return j.select("posicion_id", "aerovia_id", F.round(F.col("_xt") / M_PER_NM, 2).alias("desviacion_nm"))
+
+
+def _notam_zones(L: Layers) -> DataFrame:
+    return L.fx.notams.join(L.fx.airports.select("aeropuerto_id", "latitude_deg", "longitude_deg"), "aeropuerto_id") \
+        .select("notam_id", "ident", "radio_nm", "latitude_deg", "longitude_deg", "valido_desde", "valido_hasta",
+                (F.col("radio_nm") * M_PER_NM).alias("radio_m"))
 
 
 @query
 def geo_within_join(L: Layers) -> DataFrame:
-    """Positions inside a NOTAM circle, via geocell equi-join."""
-    n = L.fx.notams.join(L.fx.airports.select("aeropuerto_id", "latitude_deg", "longitude_deg"), "aeropuerto_id") \
-        .select("notam_id", "ident", "radio_nm", "latitude_deg", "longitude_deg",
-                (F.col("radio_nm") * M_PER_NM).alias("radio_m"))
+    """Positions inside a NOTAM circle, via geocell equi-join on a grid per class of radius."""
     p = L.fx.positions.select("posicion_id", "latitud", "longitud")
-    j = within_join(p, "latitud", "longitud", n, "latitude_deg", "longitude_deg", "radio_m",
-                    MAX_NOTAM_RADIUS_NM * M_PER_NM)
+    j = within_join(p, "latitud", "longitud", _notam_zones(L), "latitude_deg", "longitude_deg", "radio_m")
     return j.select("notam_id", "ident", "posicion_id", F.lit(True).alias("dentro_zona"),
                     F.round(F.col("dist_m") / M_PER_NM, 2).alias("distancia_nm"), "radio_nm")
 
 
+@query
+def notam_entries(L: Layers) -> DataFrame:
+    """U5 with B15: positions inside a NOTAM circle while that NOTAM is valid."""
+    p = L.fx.positions.select("posicion_id", "vuelo_id", "timestamp_utc", "latitud", "longitud")
+    j = within_join(p, "latitud", "longitud", _notam_zones(L), "latitude_deg", "longitude_deg", "radio_m",
+                    "timestamp_utc", "valido_desde", "valido_hasta")
+    return j.select("notam_id", "ident", "posicion_id", "vuelo_id", "timestamp_utc",
+                    F.round(F.col("dist_m") / M_PER_NM, 2).alias("distancia_nm"), "radio_nm")
+
+
 @query
 def fuel_efficiency_per_flight(L: Layers) -> DataFrame:
     """U6 for every flight with fuel: 4-way join + spheroid distance + zero-safe division."""
@@ -88,8 +97,8 @@ def fuel_efficiency_per_flight(L: Layers) -> DataFrame:
                   F.col("longitude_deg").alias("lo1"))
     d = ap.select(F.col("aeropuerto_id").alias("destino_id"), F.col("latitude_deg").alias("la2"),
                   F.col("longitude_deg").alias("lo2"))
-    km = spheroid_distance_m("la1", "lo1", "la2", "lo2") / 1000
-    j = f.join(c, "vuelo_id").join(o, "origen_id").join(d, "destino_id")
+    j = with_spheroid_distance(f.join(c, "vuelo_id").join(o, "origen_id").join(d, "destino_id"), "_m", "la1", "lo1", "la2", "lo2")
+    km = F.col("_m") / 1000
     return _dbl(j.select("vuelo_id", F.col("litros").alias("litros_combustible"),
                          F.col("masa_kg").alias("masa_combustible_kg"), F.round(km, 2).alias("distancia_km"),
                          F.round(F.col("masa_kg").cast("double") / F.when(km != 0, km), 4).alias("eficiencia_kg_km")))
@@ -100,8 +109,7 @@ def in_airway_3d(L: Layers) -> DataFrame:
     """Horizontal distance <= 9,260 m and altitude within the airway's flight levels."""
     p = L.fx.airway_points
     w = L.fx.airways.select("aerovia_id", "codigo", "lat1", "lon1", "lat2", "lon2", "nivel_min", "nivel_max")
-    xt = cross_track_m("latitud", "longitud", "lat1", "lon1", "lat2", "lon2")
-    j = p.join(w, "aerovia_id").withColumn("_xt", xt)
+    j = with_line_distance(p.join(w, "aerovia_id"), "_xt", "latitud", "longitud", "lat1", "lon1", "lat2", "lon2")
     inside = (F.col("_xt") <= AIRWAY_HALF_WIDTH_M) & F.col("altitud_pies").between(
         F.col("nivel_min") * 100, F.col("nivel_max") * 100)
     return j.select("punto_id", "aerovia_id", F.col("codigo").alias("designador"), inside.alias("dentro_aerovia"),

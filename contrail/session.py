@@ -20,6 +20,9 @@ _REQUIRED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # keyed dedup aggregates structs (sort-based); generate code for it
     "spark.sql.codegen.aggregate.sortAggregate.enabled": "true",
+    # the JVM never compiles larger methods (long expressions such as the geodesic solver);
+    # Spark then generates code by operator instead, which is several times faster
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

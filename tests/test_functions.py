@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from contrail.functions import kpi
 from contrail.functions.conform import flight_phase
 from contrail.functions.det import u
-from contrail.functions.geo import cross_track_m, sphere_distance_m, spheroid_distance_m, valid_coordinates
+from contrail.functions.geo import sphere_distance_m, valid_coordinates, with_line_distance, with_near_distance, with_spheroid_distance
 from contrail.oracle.det_sql import U
 
 
@@ -71,8 +71,7 @@ def test_distance_properties(spark):
     pts = [(0.0, 0.0), (10.0, 20.0), (-33.9, 151.2), (51.5, -0.12), (89.9, 10.0), (-45.0, 179.9), (-45.0, -179.9)]
     rows = [(i, a[0], a[1], j, b[0], b[1]) for i, a in enumerate(pts) for j, b in enumerate(pts)]
     df = spark.createDataFrame(rows, "i int, la1 double, lo1 double, j int, la2 double, lo2 double")
-    out = df.select("i", "j", spheroid_distance_m("la1", "lo1", "la2", "lo2").alias("d"),
-                    sphere_distance_m("la1", "lo1", "la2", "lo2").alias("s")).collect()
+    out = with_spheroid_distance(df, "d", "la1", "lo1", "la2", "lo2").select("i", "j", "d", sphere_distance_m("la1", "lo1", "la2", "lo2").alias("s")).collect()
     d = {(r.i, r.j): r.d for r in out}
     s = {(r.i, r.j): r.s for r in out}
     n = len(pts)
@@ -87,13 +86,60 @@ def test_distance_properties(spark):
     assert d[(5, 6)] < 20_000
 
 
-def test_cross_track_clamps_to_segment(spark):
+def _walk(lat, lon, azimuth, metres, steps=4000):
+    """End of a geodesic by integrating its equations (fourth-order Runge-Kutta): no use of the inverse formulas."""
+    a, f = 6378137.0, 1 / 298.257223563
+    e2 = f * (2 - f)
+
+    def slope(s):
+        y, _, z = s
+        w = math.sqrt(1 - e2 * math.sin(y) ** 2)
+        n, m = a / w, a * (1 - e2) / w**3
+        return math.cos(z) / m, math.sin(z) / (n * math.cos(y)), math.tan(y) * math.sin(z) / n
+
+    s, h = (math.radians(lat), math.radians(lon), math.radians(azimuth)), metres / steps
+    for _ in range(steps):
+        k1 = slope(s)
+        k2 = slope(tuple(x + h / 2 * k for x, k in zip(s, k1)))
+        k3 = slope(tuple(x + h / 2 * k for x, k in zip(s, k2)))
+        k4 = slope(tuple(x + h * k for x, k in zip(s, k3)))
+        s = tuple(x + h / 6 * (p + 2 * q + 2 * r + t) for x, p, q, r, t in zip(s, k1, k2, k3, k4))
+    return math.degrees(s[0]), math.degrees(s[1])
+
+
+def test_geodesic_against_integrated_paths_and_known_lengths(spark):
+    rows = [(la, lo, *_walk(la, lo, az, m), float(m)) for la, lo, az, m in (
+        (9.99, -84.2, 33, 1_000), (51.47, -0.45, 287, 55_000), (-33.9, 151.2, 70, 1_234_567), (40.6, -73.8, 51, 5_554_000), (0.0, 10.0, 90, 9_000_000), (-45.0, 179.9, 100, 12_000_000), (60.0, 5.0, -170, 15_000_000))]
+    quarter = 10001965.729312722
+    rows += [(0.0, 0.0, 0.0, 90.0, 6378137.0 * math.pi / 2), (0.0, 7.0, 90.0, 7.0, quarter), (-90.0, 0.0, 90.0, 50.0, 2 * quarter),
+             (-37.95103341666667, 144.42486788888888, -37.65282113888889, 143.92649552777777, 54972.271)]
+    df = spark.createDataFrame(rows, "la1 double, lo1 double, la2 double, lo2 double, want double")
+    got = with_near_distance(with_spheroid_distance(df, "d", "la1", "lo1", "la2", "lo2"), "near", "la1", "lo1", "la2", "lo2").collect()
+    for r in got:
+        assert r.d == pytest.approx(r.want, abs=0.002)
+        assert r.want > 1.3e7 or r.near == pytest.approx(r.want, abs=0.6)
+
+
+def test_geodesic_of_antipodes_nulls_and_equal_points(spark):
+    df = spark.createDataFrame([(0.0, 0.0, 0.0, 180.0), (30.0, -70.0, -30.0, 110.0), (12.0, 5.0, 12.0, 365.0), (None, 0.0, 1.0, 1.0), (1.0, 1.0, 1.0, None), (0.0, 0.0, 0.2, 179.8)], "a double, b double, c double, d double")
+    got = [r.m for r in with_spheroid_distance(df, "m", "a", "b", "c", "d").collect()]
+    half = 20003931.458625
+    assert got[0] == pytest.approx(half, abs=0.01) and got[1] == pytest.approx(half, abs=0.01)
+    assert got[2] == pytest.approx(0.0, abs=1e-6) and got[3] is None and got[4] is None
+    assert half - 70_000 < got[5] <= half
+
+
+def test_distance_to_a_segment_and_beyond_its_ends(spark):
     df = spark.createDataFrame([(0.0, 5.0, 1.0), (0.0, 20.0, 0.0), (0.0, -5.0, 0.0)], "plat double, plon double, x double")
-    r = df.select(cross_track_m(F.col("x"), "plon", F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(10.0)).alias("m")).collect()
-    deg = math.pi * 6371008.771415 / 180
-    assert r[0].m == pytest.approx(deg, rel=1e-6)        # 1 degree north of the segment
-    assert r[1].m == pytest.approx(10 * deg, rel=1e-6)   # beyond the east end: distance to the end point
-    assert r[2].m == pytest.approx(5 * deg, rel=1e-6)    # before the west end
+    lines = df.selectExpr("*", "0D as a", "0D as b", "0D as c", "10D as d")
+    got = [r.m for r in with_line_distance(lines, "m", "x", "plon", "a", "b", "c", "d").collect()]
+    degree = 6378137.0 * math.pi / 180
+    assert got[0] == pytest.approx(110574.389, abs=0.01)      # a degree of meridian north of the equator
+    assert got[1] == pytest.approx(10 * degree, abs=0.01)     # beyond the east end: distance to the end point
+    assert got[2] == pytest.approx(5 * degree, abs=0.01)      # before the west end
+    point = lines.selectExpr("plat", "plon", "3D as a", "4D as b", "3D as c", "4D as d")
+    whole = with_line_distance(point, "m", "plat", "plon", "a", "b", "c", "d")
+    assert all(r.m == pytest.approx(r.n, abs=1e-6) for r in with_spheroid_distance(whole, "n", "plat", "plon", "a", "b").collect())
 
 
 def test_flight_phase_order_matters(spark):

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from contrail.functions.geo import spheroid_distance_m
+from contrail.functions.geo import with_spheroid_distance
 from contrail.operators.audit import signed_history, snapshot_diff, snapshot_json, verify
 from contrail.operators.dedup import desc, first_per_key
 from contrail.operators.geojoin import nearest_join, within_join
@@ -96,7 +96,7 @@ def test_audit_detects_tampering(spark):
 
 def _brute_within(points, zones):
     j = points.crossJoin(zones)
-    return j.where(spheroid_distance_m("plat", "plon", "zlat", "zlon") <= F.col("r"))
+    return with_spheroid_distance(j, "_m", "plat", "plon", "zlat", "zlon").where(F.col("_m") <= F.col("r"))
 
 
 def test_within_join_equals_brute_force_including_poles_and_antimeridian(spark):
@@ -108,7 +108,7 @@ def test_within_join_equals_brute_force_including_poles_and_antimeridian(spark):
     zones += [(900, 89.5, 0.0, 200_000.0), (901, 0.0, 180.0, 150_000.0), (902, -0.5, -179.9, 90_000.0)]
     p = spark.createDataFrame(pts, "pid int, plat double, plon double")
     z = spark.createDataFrame(zones, "zid int, zlat double, zlon double, r double")
-    got = within_join(p, "plat", "plon", z, "zlat", "zlon", "r", 600_000.0).select("pid", "zid")
+    got = within_join(p, "plat", "plon", z, "zlat", "zlon", "r").select("pid", "zid")
     want = _brute_within(p, z).select("pid", "zid")
     assert sorted(got.collect()) == sorted(want.collect())
     assert got.count() > 0
@@ -121,11 +121,46 @@ def test_nearest_join_equals_brute_force(spark):
     s = spark.createDataFrame(sites, "sid int, slat double, slon double")
     p = spark.createDataFrame(pts, "pid int, plat double, plon double")
     got = {r.pid: r.sid for r in nearest_join(p, "pid", "plat", "plon", s, "sid", "slat", "slon").collect()}
-    d = p.crossJoin(s).withColumn("d", spheroid_distance_m("plat", "plon", "slat", "slon"))
+    d = with_spheroid_distance(p.crossJoin(s), "d", "plat", "plon", "slat", "slon")
     want = {r.pid: r.b.sid for r in d.groupBy("pid").agg(F.min(F.struct("d", "sid")).alias("b")).collect()}
     assert got == want
 
 
+def test_within_join_over_radius_classes_and_window_ends(spark):
+    rnd = random.Random(6)
+    day = 86400
+    t0 = 1704067200
+    pts = [(i, rnd.uniform(-80, 80), rnd.uniform(-180, 180), t0 + rnd.randrange(4 * day)) for i in range(1500)]
+    pts += [(5000 + i, 10.0 + 0.001 * i, 20.0, t0 + i * 3600) for i in range(72)] + [(9000, 10.0, 20.0, None), (9001, None, 20.0, t0)]
+    radii = [0.0, 300.0, 1000.0, 4000.0, 16_000.0, 64_001.0, 250_000.0, 1_000_000.0, 8_000_000.0]
+    zones = [(z, rnd.uniform(-80, 80), rnd.uniform(-180, 180), radii[z % 9], t0 + rnd.randrange(-day, 3 * day), None if z % 7 == 0 else t0 + rnd.randrange(4 * day)) for z in range(90)]
+    zones += [(200 + k, 10.0, 20.0, r, t0 + 5 * 3600, t0 + 30 * 3600) for k, r in enumerate(radii)]  # both ends are whole hours that points have
+    zones += [(300, 10.0, 20.0, 5000.0, None, t0 + 3600), (301, 10.0, 20.0, 5000.0, None, None), (302, 10.0, 20.0, None, None, None), (303, 10.0, 20.0, 5000.0, t0 + 7200, t0 + 3600)]
+    p = spark.createDataFrame(pts, "pid int, plat double, plon double, s long").withColumn("t", F.timestamp_seconds("s").cast("timestamp_ntz"))
+    z = spark.createDataFrame(zones, "zid int, zlat double, zlon double, r double, f long, u long").select(
+        "zid", "zlat", "zlon", "r", *[F.timestamp_seconds(c).cast("timestamp_ntz").alias(n) for c, n in (("f", "since"), ("u", "until"))])
+    got = within_join(p, "plat", "plon", z, "zlat", "zlon", "r", "t", "since", "until").select("pid", "zid")
+    want = _brute_within(p, z).where("t is not null and (since is null or t >= since) and (until is null or t <= until)").select("pid", "zid")
+    assert sorted(got.collect()) == sorted(want.collect())
+    assert {r.zid for r in got.collect()} >= {202, 205, 300, 301}
+
+
+def test_nearest_join_clustered_sites_and_far_points(spark):
+    from contrail.operators.geojoin import candidate_cells
+    rnd = random.Random(10)
+    sites = [(s, 48.0 + rnd.gauss(0, 0.2), 2.0 + rnd.gauss(0, 0.2)) for s in range(900)] + [(900, -89.99, 10.0), (901, 5.0, 179.99)] + [(902 + i, 48.0, 2.0) for i in range(30)]
+    pts = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(300)] + [(1000 + i, 48.0 + rnd.gauss(0, 0.3), 2.0 + rnd.gauss(0, 0.3)) for i in range(300)] + [(2000, 5.0, -179.99), (2001, -90.0, -170.0)]
+    s = spark.createDataFrame(sites, "sid int, slat double, slon double")
+    p = spark.createDataFrame(pts, "pid int, plat double, plon double")
+    got = {r.pid: r.sid for r in nearest_join(p, "pid", "plat", "plon", s, "sid", "slat", "slon").collect()}
+    d = with_spheroid_distance(p.crossJoin(s), "d", "plat", "plon", "slat", "slon")
+    want = {r.pid: r.b.sid for r in d.groupBy("pid").agg(F.min(F.struct(F.round("d", 3), "sid")).alias("b")).collect()}
+    assert got == want
+    far = p.where("pid < 1000").selectExpr("plat as _plat", "plon as _plon")
+    pairs, depth = candidate_cells(far, s.selectExpr("slat as _slat", "slon as _slon"))
+    assert depth >= 4 and pairs.count() < 40 * 300  # no grid of empty cells is listed for points far from all sites
+
+
 def test_nearest_join_keeps_points_without_a_site(spark):
     p = spark.createDataFrame([(1, 10.0, 20.0), (2, None, 20.0), (3, 5.0, None)], "pid int, plat double, plon double")
     s = spark.createDataFrame([(7, 10.0, 21.0, "x")], "sid int, slat double, slon double, nombre string")
