@@ -17,8 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pre-tokens whose ids a worker remembers; beyond, it forgets them all and begins anew.
-MEMO = 400_000
+from contrail.llm import words as W
+
+#: Bytes of pre-tokens and ids that a worker remembers (beyond, it forgets them all and begins anew),
+#: characters of a pre-token that it remembers at most, and bytes of text that it takes at a time.
+MEMO_BYTES, MEMO_LONGEST, BLOCK_BYTES = 24 << 20, 64, 2 << 20
+#: What an entry of the memo takes besides its characters and ids: two objects and a place in the table.
+_ENTRY = 200
 
 
 def _hashes(key: bytes) -> tuple[int, int]:
@@ -137,43 +142,60 @@ class Vocabulary:
 
 
 class _Memo(dict):
-    """Packed ids of pre-tokens already met."""
+    """Packed ids of short pre-tokens already met."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+        self.vocabulary, self.bytes = vocabulary, 0
 
     def __missing__(self, token: str) -> bytes:
-        if len(self) >= MEMO:
-            self.clear()
-        got = self[token] = np.array(self.vocabulary.encode(token.encode()), "<u4").tobytes()
+        got = np.array(self.vocabulary.encode(token.encode()), "<u4").tobytes()
+        if len(token) <= MEMO_LONGEST:
+            self.bytes += _ENTRY + len(token) + len(got)
+            if self.bytes > MEMO_BYTES:
+                self.clear()
+                self.bytes = _ENTRY + len(token) + len(got)
+            self[token] = got
         return got
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text_col: str = "text", out: str = "ids") -> DataFrame:
+def _extended(batch: pa.RecordBatch, columns: dict[str, list[bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.binary()) for c in columns.values())], names=[*batch.schema.names, *columns])
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text_col: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
     """``docs`` with the ids of each whole text as a binary column of little-endian 32-bit integers.
 
     Each match of ``pattern`` is encoded by itself, special tokens are ordinary text. Null and
     empty texts give no ids. All columns are kept; one that is named like ``out`` is replaced.
+    Rows do not depend on each other: repeated rows give repeated results, an empty table none.
+    With ``decoded``, a column of that name holds the bytes that the ids stand for; one worker
+    then does both, with one copy of the vocabulary.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    kept = docs.drop(out)
-    schema = kept.select("*", F.lit(None).cast("binary").alias(out)).schema
+    kept = docs.drop(out, *([decoded] if decoded else []))
+    schema = kept.select("*", *[F.lit(None).cast("binary").alias(c) for c in (out, decoded) if c]).schema
 
     def run(batches):
         import regex
 
-        find = regex.compile(pattern).findall
-        memo = _Memo(shared.value)
+        find, vocab = regex.compile(pattern).findall, shared.value
+        memo, piece = _Memo(vocab), vocab.pieces.__getitem__
         for batch in batches:
-            col = batch.column(text_col)
-            ids = [b"".join(map(memo.__getitem__, find(t.as_py() or ""))) for t in col]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=[*batch.schema.names, out])
+            for block in W.blocks(batch, text_col, BLOCK_BYTES):
+                ids = [b"".join(map(memo.__getitem__, find(t.as_py() or ""))) for t in block.column(text_col)]
+                made = {out: ids}
+                if decoded:
+                    made[decoded] = [b"".join(map(piece, np.frombuffer(x, "<u4").tolist())) for x in ids]
+                yield _extended(block, made)
 
     return kept.mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
-    """``df`` with the bytes that each row's ids stand for (binary); null ids decode to no bytes."""
+    """``df`` with the bytes that each row's ids stand for (binary); null ids decode to no bytes.
+
+    Repeated rows give repeated results, an empty table none; a column named like ``out`` is replaced.
+    """
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
     kept = df.drop(out)
     schema = kept.select("*", F.lit(None).cast("binary").alias(out)).schema
@@ -181,7 +203,8 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out: str
     def run(batches):
         piece = shared.value.pieces.__getitem__
         for batch in batches:
-            text = [b"".join(map(piece, np.frombuffer(x.as_py() or b"", "<u4").tolist())) for x in batch.column(ids_col)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(text, pa.binary())], names=[*batch.schema.names, out])
+            for at in range(0, batch.num_rows, 256):
+                block = batch.slice(at, 256)
+                yield _extended(block, {out: [b"".join(map(piece, np.frombuffer(x.as_py() or b"", "<u4").tolist())) for x in block.column(ids_col)]})
 
     return kept.mapInArrow(run, schema)

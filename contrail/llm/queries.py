@@ -72,8 +72,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vocab = vocabulary()
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    ids = op9_bpe.encode(docs, vocab, public_tokenizers.PATTERN).drop("text")
-    return op9_bpe.decode(ids, vocab).select(
+    return op9_bpe.encode(docs, vocab, public_tokenizers.PATTERN, decoded="decoded").select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
