@@ -48,8 +48,7 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian 32-bit) of each document, with the hash of what they decode to."""
     import public_tokenizers
 
-    ids = op9_bpe.encode(docs, vocabulary(), public_tokenizers.PATTERN).drop("text")
-    return op9_bpe.decode(ids, vocabulary()).select(
+    return op9_bpe.encode(docs, vocabulary(), public_tokenizers.PATTERN, decoded="decoded").select(
         "doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
