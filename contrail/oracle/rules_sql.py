@@ -161,6 +161,26 @@ where c.operacion in ('INSERT', 'UPDATE')"""
 select vuelo_id, operacion, hash_integridad from q_hist
 where {U('vuelo_id', 'tamper')} < 0.2""", ["f_snapshot_old", "f_snapshot_new"],
            extra=[("q_changes", changes), ("q_hist", hist)])
+    stored = f"""
+select vuelo_id, 1 as version, 'INSERT' as operacion, {snap.replace('n.', 'o.')} as texto from f_snapshot_old o
+union all
+select c.vuelo_id, 2, c.operacion, case when c.operacion = 'DELETE' then {snap.replace('n.', 'o.')} else {snap} end
+from q_changes c left join f_snapshot_old o on o.vuelo_id = c.vuelo_id left join f_snapshot_new n on n.vuelo_id = c.vuelo_id where c.operacion is not null"""
+    chain = """
+select s.vuelo_id, s.version, s.operacion, sha256(s.texto) as hash_integridad,
+  case when s.version = 2 and b.vuelo_id is not null then sha256('|INSERT|' || sha256(b.texto)) else '' end as hash_previo
+from q_stored s left join q_stored b on b.vuelo_id = s.vuelo_id and b.version = 1"""
+    oracle("audit_history", "select *, sha256(hash_previo || '|' || operacion || '|' || hash_integridad) as hash_cadena from q_chain",
+           ["f_snapshot_old", "f_snapshot_new"], extra=[("q_changes", changes), ("q_stored", stored), ("q_chain", chain)])
+    oracle("audit_history_check", f"""
+select vuelo_id, 2 as version, 'HASH' as falla from q_changes where operacion is not null and {U('vuelo_id', 'tamper')} < 0.2
+union all
+select null, 2, 'MANIFIESTO' where exists (select 1 from q_changes where operacion is not null and {U('vuelo_id', 'tamper')} < 0.2)""",
+           ["f_snapshot_old", "f_snapshot_new"], extra=[("q_changes", changes)])
+    oracle("route_registry", """
+select origen_id, destino_id, row_number() over (order by not coalesce(early, false), origen_id, destino_id) as ruta_id
+from (select origen_id, destino_id, bool_or(year(salida_programada) <= 1996) as early from f_flights
+      where origen_id is not null and destino_id is not null group by 1, 2)""", ["f_flights"])
     oracle("audit_passenger_changes", f"""
 select * from (
   select coalesce(o.pasajero_id, n.pasajero_id) as pasajero_id,

@@ -116,8 +116,11 @@ select * replace (
   else temperatura_req end as temperatura_req)
 from s_cargo""", ["s_cargo"])
 
-_def("s_crew", """
-select * exclude (rn) from (
+_def("s_crew", "select * exclude (regla) from s_crew_judged where regla is null", ["s_crew_judged"])
+
+# the reference caps duty at 12 hours on load, and its trigger looks at the loaded row
+_def("s_crew_judged", """
+select * exclude (rn), case when horas_vuelo_duty > 12 then 'M5_DUTY' when descanso_horas < descanso_minimo_requerido then 'M5_REST' end as regla from (
   select *, row_number() over (partition by roster_id order by vuelo_id, crew_id, rol, report_time, duty_start,
     duty_end, horas_vuelo_duty, descanso_horas, descanso_minimo_requerido, descanso_minimo_cumple) as rn
   from s_crew_rows)
@@ -132,8 +135,7 @@ select c.roster_id, c.vuelo_id, c.crew_id, {MAP_CASE('upper(c.rol)', CREW_ROLES,
   cast(c.descanso_minimo as decimal(4,2)) as descanso_minimo_requerido,
   c.descanso_horas >= c.descanso_minimo as descanso_minimo_cumple
 from f_crew c join f_flights v on v.vuelo_id = c.vuelo_id
-where c.vuelo_id is not null and c.report_time is not null and c.duty_hours is not null and c.duty_hours > 0
-  and not coalesce(c.duty_hours > 12 or c.descanso_horas < c.descanso_minimo, false)""",
+where c.vuelo_id is not null and c.report_time is not null and c.duty_hours is not null and c.duty_hours > 0""",
      ["f_crew", "f_flights"])
 
 _k = "aeronave_id"
@@ -264,6 +266,8 @@ def register(oracle):
     oracle("cargo_enrich", "select * replace (cast(peso_kg as double) as peso_kg, cast(volumen_m3 as double) as volumen_m3) from s_cargo_enriched", ["s_cargo_enriched"])
     oracle("clean_crew", """select * replace (cast(horas_vuelo_duty as double) as horas_vuelo_duty, cast(descanso_horas as double) as descanso_horas,
         cast(descanso_minimo_requerido as double) as descanso_minimo_requerido) from s_crew""", ["s_crew"])
+    oracle("crew_quarantine", """select * replace (cast(horas_vuelo_duty as double) as horas_vuelo_duty, cast(descanso_horas as double) as descanso_horas,
+        cast(descanso_minimo_requerido as double) as descanso_minimo_requerido) from s_crew_judged where regla is not null""", ["s_crew_judged"])
     oracle("synth_fleet", "select * from s_synth_fleet", ["s_synth_fleet"])
     oracle("inline_values_anti_insert", """
 select matricula, tipo, configuracion_asientos, 'FLEET' as origen from f_aircraft

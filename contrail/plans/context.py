@@ -38,7 +38,7 @@ BUILD_STAGES = [
     ["fx.flights", "fx.airports", "fx.aircraft", "fx.bookings", "fx.cargo", "fx.passengers", "fx.positions",
      "fx.sensors", "fx.maintenance", "fx.crew", "fx.notams", "fx.airways", "fx.navaids", "fx.reservations",
      "fx.boarding", "fx.baggage", "fx.rule_inputs"],
-    ["fx.fuel", "dim_calendar", "dim_airport", "dim_aircraft", "dim_segment", "engines", "workshops", "crew",
+    ["fx.fuel", "dim_calendar", "dim_airport", "dim_aircraft", "dim_segment", "engines", "workshops", "crew_judged",
      "positions", "cargo"],
     ["dim_route", "maintenance", "fuel_all"],
     ["flight_routes", "fact_crew"],
@@ -105,9 +105,13 @@ class Layers:
     def workshops(self) -> DataFrame:
         return self.keep("workshops", lambda: silver.workshops(self.spark, self.fx.airports))
 
+    @cached_property
+    def crew_judged(self) -> DataFrame:
+        return self.keep("crew_judged", lambda: silver.judged_crew(self.fx.crew, self.fx.flights))
+
     @cached_property
     def crew(self) -> DataFrame:
-        return self.keep("crew", lambda: silver.clean_crew(self.fx.crew, self.fx.flights))
+        return silver.clean_crew(self.crew_judged)
 
     @cached_property
     def maintenance(self) -> DataFrame:

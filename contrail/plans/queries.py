@@ -137,6 +137,12 @@ def clean_crew(L: Layers) -> DataFrame:
     return _dbl(L.crew)
 
 
+@query
+def crew_quarantine(L: Layers) -> DataFrame:
+    """M5: duties kept from landing, with the rule that rejected them."""
+    return _dbl(_s.crew_quarantine(L.crew_judged))
+
+
 @query
 def synth_fleet(L: Layers) -> DataFrame:
     ids = L.fx.t("orders").select((F.col("o_custkey") % 100).alias("aeronave_id")).distinct()

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions.det import pick, u
 from contrail.operators.audit import signed_history, snapshot_diff, snapshot_json, verify
 from contrail.operators.rules import Rule, apply_rules, expectation_counts, split_report
+from contrail.operators.versions import VersionedTable, append_history, check_history, extend_registry
 from contrail.plans import silver as _s
 from contrail.plans.context import Layers
 from contrail.plans.queries import _dbl, query
+from contrail.session import scratch_path, write_table
 
 AUDIT_TS_FMT = "yyyy-MM-dd HH:mm:ss"
 
@@ -289,3 +293,52 @@ def audit_passenger_changes(L: Layers) -> DataFrame:
            .withColumn("nacionalidad", F.when(u(k, "pax_upd") < 0.05, F.lit("XX")).otherwise(F.col("nacionalidad"))))
     d = snapshot_diff(old, new, "pasajero_id", ["nombre", "nacionalidad", "categoria"])
     return d.select("pasajero_id", "operacion", "old_nacionalidad", "new_nacionalidad")
+
+
+# ---- stored history and keys -----------------------------------------------------------
+def _snapshot_text(prefix: str = "") -> Column:
+    c = {n: F.col(prefix + n) for n in ("vuelo_id", "numero_vuelo", "estado", "salida_programada", "origen_id", "destino_id")}
+    c["salida_programada"] = F.date_format(c["salida_programada"], AUDIT_TS_FMT)
+    return snapshot_json([v.alias(n) for n, v in c.items()])
+
+
+def stored_history(L: Layers) -> VersionedTable:
+    """Version 1: every flight of the old snapshot. Version 2: what the new one changes; a repeated commit adds nothing."""
+    table = VersionedTable(L.spark, scratch_path(L.spark, f"history/flights-{uuid.uuid4().hex}"))
+    old = L.fx.snapshot_old.select("vuelo_id", F.lit("INSERT").alias("operacion"), _snapshot_text().alias("snapshot_completo"))
+    ch = _flight_changes(L).select("vuelo_id", "operacion")
+    now = L.fx.snapshot_new.select("vuelo_id", _snapshot_text().alias("_new"))
+    was = old.select("vuelo_id", F.col("snapshot_completo").alias("_old"))
+    changes = ch.join(now, "vuelo_id", "left").join(was, "vuelo_id", "left").select(
+        "vuelo_id", "operacion", F.when(F.col("operacion") == "DELETE", F.col("_old")).otherwise(F.col("_new")).alias("snapshot_completo"))
+    for version, rows in ((1, old), (2, changes), (2, changes)):
+        append_history(table, rows, "vuelo_id", version)
+    return table
+
+
+@query
+def audit_history(L: Layers) -> DataFrame:
+    """The stored, chained history of flights."""
+    return stored_history(L).read().select("vuelo_id", "version", "operacion", "hash_integridad", "hash_previo", "hash_cadena")
+
+
+@query
+def audit_history_check(L: Layers) -> DataFrame:
+    """A keyed fifth of the stored second version is edited in place; the check names it and the version."""
+    table = stored_history(L)
+    v2 = table.read().where("version = 2").drop("version")
+    edited = v2.withColumn("snapshot_completo", F.when(
+        u(F.col("vuelo_id"), "tamper") < 0.2, F.concat(F.col("snapshot_completo"), F.lit(" "))).otherwise(F.col("snapshot_completo")))
+    elsewhere = write_table(edited, "edited_history")  # the folder that is overwritten is also read
+    elsewhere.write.mode("overwrite").parquet(f"{table.data}/version=2")
+    L.spark.catalog.refreshByPath(table.data)
+    return check_history(table, "vuelo_id")
+
+
+@query
+def route_registry(L: Layers) -> DataFrame:
+    """Routes numbered in two loads, flights to 1996 first; no number of the first load changes."""
+    f = L.fx.flights.select("origen_id", "destino_id", "salida_programada")
+    table = VersionedTable(L.spark, scratch_path(L.spark, f"keys/routes-{uuid.uuid4().hex}"))
+    extend_registry(table, f.where(F.year("salida_programada") <= 1996), ["origen_id", "destino_id"], "ruta_id", 1)
+    return extend_registry(table, f, ["origen_id", "destino_id"], "ruta_id", 2)

@@ -196,11 +196,14 @@ def landing_fuel(fuel: DataFrame) -> DataFrame:
     return fuel.where(~F.coalesce(bad, F.lit(False)))
 
 
-def clean_crew(crew: DataFrame, flights: DataFrame) -> DataFrame:
-    """Duties that rule M5 lets land; the others are in the report of ``rule_crew_fatigue``."""
-    tired = (F.col("duty_hours") > 12) | (F.col("descanso_horas") < F.col("descanso_minimo").cast("decimal(4,2)"))
+def judged_crew(crew: DataFrame, flights: DataFrame) -> DataFrame:
+    """J12 rows with the M5 rule (``regla``) that keeps them from landing, else null.
+
+    Duty is capped at 12 hours before the rule looks, so only short rests reject here; the raw
+    limit is in the report ``rule_crew_fatigue``.
+    """
     c = crew.where(F.col("vuelo_id").isNotNull() & F.col("report_time").isNotNull()
-                   & F.col("duty_hours").isNotNull() & (F.col("duty_hours") > 0) & ~F.coalesce(tired, F.lit(False)))
+                   & F.col("duty_hours").isNotNull() & (F.col("duty_hours") > 0))
     j = c.join(flights.select("vuelo_id"), "vuelo_id")
     rows = j.select(
         "roster_id", "vuelo_id", "crew_id",
@@ -212,7 +215,19 @@ def clean_crew(crew: DataFrame, flights: DataFrame) -> DataFrame:
         F.col("descanso_horas").cast("decimal(5,2)").alias("descanso_horas"),
         F.col("descanso_minimo").cast("decimal(4,2)").alias("descanso_minimo_requerido"),
         (F.col("descanso_horas") >= F.col("descanso_minimo")).alias("descanso_minimo_cumple"))
-    return first_per_key(rows, ["roster_id"], [F.col("vuelo_id")])
+    rows = first_per_key(rows, ["roster_id"], [F.col("vuelo_id")])
+    return rows.withColumn("regla", F.when(F.col("horas_vuelo_duty") > 12, "M5_DUTY")
+                           .when(F.col("descanso_horas") < F.col("descanso_minimo_requerido"), "M5_REST"))
+
+
+def clean_crew(judged: DataFrame) -> DataFrame:
+    """Duties that rule M5 lets land."""
+    return judged.where(F.col("regla").isNull()).drop("regla")
+
+
+def crew_quarantine(judged: DataFrame) -> DataFrame:
+    """Duties that rule M5 rejects, with the rule; written in the same pass as those that land."""
+    return judged.where(F.col("regla").isNotNull())
 
 
 # J2 / J3 ------------------------------------------------------------------------
