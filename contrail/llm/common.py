@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -43,6 +46,20 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def released(run):
+    """A task's function that gives freed memory back when it ends: a Python worker serves many stages."""
+    def go(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # a C library without it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return go
+
+
 # -- membership filters ---------------------------------------------------------------------
 
 

@@ -23,11 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm import words as W
-from contrail.llm.common import fold, mix64
+from contrail.llm.common import fold, mix64, released
 from contrail.llm.op6_quality import train_ids
 
 #: Most labelled rows to learn from, words on each side of a hit.
 SAMPLE, WINDOW = 20_000, 6
+#: Bytes of text that a task reads at a time: its arrays of code points take many times that.
+BLOCK_BYTES = 2 << 20
 #: A term has at least this lift, log-likelihood ratio (G) and these letters; a stem gives way to a
 #: longer one that has SAME of its texts.
 LIFT, LEAST_G, SHORTEST, LONGEST, SAME = 15.0, 25.0, 3, 16, 0.9
@@ -308,7 +310,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     text: dict[int, bytes] = {}
     keys, counts = [], []
     for batch in batches:
-        for block in W.blocks(batch):
+        for block in W.blocks(batch, size=BLOCK_BYTES):
             words = W.split(block.column("text"))
             start, end = _trimmed(words)
             y = block.column("y").to_numpy(zero_copy_only=False) > 0
@@ -399,17 +401,17 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, label_col: str = "tox
     once = rows.join(F.broadcast(firsts.select("doc_id").distinct()), "doc_id", "left_semi")
     sizes = firsts.groupBy().agg(F.sum("y").alias("p"), F.count("*").alias("n")).first()
     p, q = sizes.p or 0, (sizes.n or 0) - (sizes.p or 0)
-    counts = once.select("text", "y").mapInArrow(_term_counts, "term string, toxic long, other long")
+    counts = once.select("text", "y").mapInArrow(released(_term_counts), "term string, toxic long, other long")
     terms = lexicon(counts, int(p), int(q))
     shared = spark.sparkContext.broadcast(Automaton(terms))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in W.blocks(batch):
+            for block in W.blocks(batch, size=BLOCK_BYTES):
                 x = features(block.column("text"), shared.value)
                 yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("y"), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
 
-    got = once.mapInArrow(run, "doc_id long, y double, x array<double>").sort("doc_id", "x").toPandas()  # at most the sampled rows
+    got = once.mapInArrow(released(run), "doc_id long, y double, x array<double>").sort("doc_id", "x").toPandas()  # at most the sampled rows
     weights, bias = _logistic(np.array(got["x"].tolist()).reshape(-1, len(FEATURES)), got["y"].to_numpy(float))
     return Model(terms, weights, bias)
 
@@ -425,11 +427,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, automaton = shared.value
         for batch in batches:
-            for block in W.blocks(batch, text_col):
+            for block in W.blocks(batch, text_col, BLOCK_BYTES):
                 s = model.score(features(block.column(text_col), automaton))
                 yield pa.RecordBatch.from_arrays([*block.columns, pa.array(s)], names=[*block.schema.names, out])
 
-    return kept.mapInArrow(run, kept.select("*", F.lit(0.0).alias(out)).schema)
+    return kept.mapInArrow(released(run), kept.select("*", F.lit(0.0).alias(out)).schema)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm import words as W
+from contrail.llm.common import released
 
 #: Bytes of pre-tokens and ids that a worker remembers (beyond, it forgets them all and begins anew),
 #: characters of a pre-token that it remembers at most, and bytes of text that it takes at a time.
@@ -188,7 +189,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text_col: str
                     made[decoded] = [b"".join(map(piece, np.frombuffer(x, "<u4").tolist())) for x in ids]
                 yield _extended(block, made)
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(released(run), schema)
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -207,4 +208,4 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out: str
                 block = batch.slice(at, 256)
                 yield _extended(block, {out: [b"".join(map(piece, np.frombuffer(x.as_py() or b"", "<u4").tolist())) for x in block.column(ids_col)]})
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(released(run), schema)
