@@ -46,16 +46,21 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker serves many tasks and stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def released(run):
-    """A task's function that gives freed memory back when it ends: a Python worker serves many stages."""
+    """A task's function that gives freed memory back when it ends."""
     def go(batches):
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # a C library without it
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return go
 

@@ -28,6 +28,7 @@ from __future__ import annotations
 import math
 import mmap
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,16 +37,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm import words as W
-from contrail.llm.common import fold, keep, mix64
+from contrail.llm.common import fold, give_back, keep, mix64, released
 
 CLASSES, POOLS = 49_152, 16_383
 START = CLASSES + POOLS
 HOT = 256
 #: Weight of shorter contexts: B1 is MU1 / Z, B2 a plain factor.
 MU1, B2 = 100.0, 0.02
-#: Text bytes a shard, which bounds a task's arrays.
-SHARD_BYTES = 12 << 20
-BUCKET_DOCS = 200_000
+#: Text bytes a shard and a bucket of documents, which bound a task's arrays; documents a bucket.
+SHARD_BYTES, BUCKET_BYTES, BUCKET_DOCS = 8 << 20, 32 << 20, 50_000
 END = np.uint64(0xE5D0E5D0E5D0E5D1)
 _NO_ID = -(1 << 63)
 _LOW, _STEP = -12.0, 32.0 / 65536  # log10 values from -12 to 20 in steps of 0.0005
@@ -352,7 +352,23 @@ def shard_scores(parts: list[list[np.ndarray]], f: Frequent, mu1: float, b2: flo
             "base": np.bincount(d, np.log10(n1 + 0.1)[w], size), "score": np.bincount(d, term[back], size)}
 
 
-_SUMS = ("doc_id", "n_tokens", "n_known", "base", "score")
+_PART = (np.uint32, np.uint32, np.float64, np.float32)  # n_tokens, n_known, base, score
+
+
+def add_up(parts: Iterator[list[np.ndarray]], most: int = 400_000) -> tuple[np.ndarray, np.ndarray]:
+    """Document ids and their four sums; ``parts`` are merged whenever more than ``most`` entries wait."""
+    ids, sums = np.zeros(0, np.int64), np.zeros((len(_PART), 0))
+    held, waiting = [], 0
+    for part in chain(parts, [None]):
+        if part is not None:
+            held.append(part)
+            waiting += len(part[0])
+        if held and (part is None or waiting > most):
+            ids, back = np.unique(np.concatenate([ids, *[p[0].view(np.int64) for p in held]]), return_inverse=True)
+            sums = np.stack([np.bincount(back, np.concatenate([sums[k], *[p[k + 1].view(kind) for p in held]]), len(ids))
+                             for k, kind in enumerate(_PART)])
+            held, waiting = [], 0
+    return ids, sums
 
 
 def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", mu1: float = MU1, b2: float = B2) -> DataFrame:
@@ -367,7 +383,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
                        F.coalesce(held_out, F.lit(False)).alias("held_out"))
     size = docs.agg(F.sum(F.octet_length(text_col)).alias("b"), F.count("*").alias("n")).first()
     shards = max(1, -(-(size.b or 0) // SHARD_BYTES))
-    totals = keep(rows.mapInArrow(_training_words(shards), "shard int, counts binary")
+    totals = keep(rows.mapInArrow(released(_training_words(shards)), "shard int, counts binary")
                   .repartition(shards, "shard").groupBy("shard").applyInPandas(_word_totals, "word long, n long, distinct long"), "lm-words")
     s = totals.where("word is null").agg(F.sum("n").alias("n"), F.sum("distinct").alias("v")).first()
     n, v = s.n or 0, s.v or 0
@@ -376,7 +392,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     ends = totals.where(F.col("word") == int(END.view(np.int64))).first()
     texts = int(ends.n) if ends else rows.where("not held_out").count()
     frequent = spark.sparkContext.broadcast(Frequent(held.index.to_numpy(np.int64).view(np.uint64), held.to_numpy(np.int64), n, v, max(texts, 1)))
-    buckets = max(1, -(-size.n // BUCKET_DOCS))
+    buckets = max(1, -(-size.n // BUCKET_DOCS), -(-(size.b or 0) // BUCKET_BYTES))
 
     def shard(pdf: pd.DataFrame) -> pd.DataFrame:
         x = shard_scores([_unpacked(b) for b in pdf["tokens"]], frequent.value, mu1, b2)
@@ -388,21 +404,20 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
             part = part[np.argsort(x["doc_id"][part])]
             blobs.append(_packed(x["doc_id"][part].view(np.uint64), x["n_tokens"][part].astype(np.uint32), x["n_known"][part].astype(np.uint32),
                                  x["base"][part].view(np.uint64), x["score"][part].astype(np.float32).view(np.uint32)))
+        give_back()
         return pd.DataFrame({"bucket": at[order][cut].astype(np.int32), "sums": blobs})
 
     def bucket(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [_unpacked(b) for b in pdf["sums"]]
-        ids, back = np.unique(np.concatenate([p[0] for p in parts]).view(np.int64), return_inverse=True)
-        add = lambda k, kind: np.bincount(back, np.concatenate([p[k].view(kind) for p in parts]).astype(np.float64), len(ids))
-        return pd.DataFrame({"doc_id": pd.arrays.IntegerArray(ids, ids == _NO_ID),
-                             "n_tokens": add(1, np.uint32).astype(np.int64), "n_known": add(2, np.uint32).astype(np.int64),
-                             "base": add(3, np.float64), "score": add(4, np.float32)})
-
-    sums = (rows.mapInArrow(_messages(frequent, shards), "shard int, tokens binary").repartition(shards, "shard").groupBy("shard").applyInPandas(shard, "bucket int, sums binary")
-            .repartition(buckets, "bucket").groupBy("bucket").applyInPandas(bucket, "doc_id long, n_tokens long, n_known long, base double, score double"))
+        ids, sums = add_up(_unpacked(b) for b in pdf["sums"])
+        give_back()
+        return pd.DataFrame({"doc_id": pd.arrays.IntegerArray(ids, ids == _NO_ID), "n_tokens": sums[0].astype(np.int64),
+                             "n_known": sums[1].astype(np.int64), "base_score": sums[2], "score": sums[3]})
+
+    sums = (rows.mapInArrow(released(_messages(frequent, shards)), "shard int, tokens binary").repartition(shards, "shard").groupBy("shard").applyInPandas(shard, "bucket int, sums binary")
+            .repartition(buckets, "bucket").groupBy("bucket").applyInPandas(bucket, "doc_id long, n_tokens long, n_known long, base_score double, score double"))
     z = math.log10(n + 0.1 * (v + 1))
     return sums.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
-                       (F.col("base") - F.col("n_tokens") * F.lit(z)).alias("base_score"), F.col("score"))
+                       (F.col("base_score") - F.col("n_tokens") * F.lit(z)).alias("base_score"), F.col("score"))
 
 
 def held_out(doc_id):

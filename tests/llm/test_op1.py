@@ -107,3 +107,18 @@ def test_odd_rows(spark):
     assert lm.score(no_docs(spark), F.lit(False)).count() == 0
     only_held = lm.score(docs, F.lit(True)).collect()
     assert all(r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) for r in only_held)
+
+
+def test_sums_are_merged_in_pieces():
+    rng = np.random.default_rng(5)
+    parts = [[rng.integers(-50, 50, n).astype(np.int64).view(np.uint64), rng.integers(0, 9, n).astype(np.uint32), rng.integers(0, 9, n).astype(np.uint32),
+              rng.normal(size=n), rng.normal(size=n).astype(np.float32)] for n in (0, 1, 40, 300, 7)]
+    for most in (0, 50, 10_000):
+        ids, sums = lm.add_up(iter(parts), most)
+        want = {}
+        for p in parts:
+            for i, *rest in zip(p[0].view(np.int64), *p[1:]):
+                want[int(i)] = [a + float(b) for a, b in zip(want.get(int(i), [0.0] * 4), rest)]
+        assert ids.tolist() == sorted(want)
+        np.testing.assert_allclose(sums.T, [want[i] for i in sorted(want)])
+    assert len(lm.add_up(iter([]))[0]) == 0
