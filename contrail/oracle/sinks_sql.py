@@ -12,6 +12,23 @@ def register(oracle):
 select cast(tiempo_id / 100 as integer) as yyyymm, count(*) as vuelos, sum(pax_transportados) as pax,
   cast(round(sum(total_revenue_usd), 2) as double) as revenue
 from g_fact_flight group by 1""", ["g_fact_flight"])
+    def month_sums(fact, sums):
+        return f"""(select t.mes, {sums} from {fact} h
+  join g_dim_calendar t on t.tiempo_id = h.tiempo_id where t.anio = 1997 and t.trimestre = 2 group by t.mes)"""
+
+    def total(c):
+        return f"cast(sum(cast({c} as decimal(18,2))) as double)"
+    oracle("fact_month_report", f"""
+select v.mes, v.vuelos, v.pax, v.revenue, f.fuel_kg, c.cargo_kg, w.tripulantes
+from {month_sums('g_fact_flight', f"count(*) as vuelos, sum(pax_transportados) as pax, {total('total_revenue_usd')} as revenue")} v
+left join {month_sums('g_fact_fuel', f"{total('fuel_uplift_kg')} as fuel_kg")} f using (mes)
+left join {month_sums('g_fact_cargo', f"{total('cargo_weight_kg')} as cargo_kg")} c using (mes)
+left join {month_sums('g_fact_crew', "sum(crew_count) as tripulantes")} w using (mes)""",
+           ["g_fact_flight", "g_fact_fuel", "g_fact_cargo", "g_fact_crew", "g_dim_calendar"])
+    oracle("fact_month_reload", """
+select case when tiempo_id between 19960101 and 19991231 then tiempo_id // 100 else 0 end as mes_id,
+  count(*) as vuelos, sum(pax_transportados) as pax, sum(delay_min) as delay_min
+from g_fact_flight where tiempo_id // 100 <> 199706 or delay_min > 15 group by 1""", ["g_fact_flight"])
     oracle("stream_latest_position", """
 select vuelo_id, posicion_id, timestamp_utc, cast(latitud as double) as latitud, cast(longitud as double) as longitud,
   cast(altitud_pies as double) as altitud_pies, velocidad_nudos

@@ -12,19 +12,23 @@ each plan.
 from __future__ import annotations
 
 import threading
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.operators.months import MONTH, MonthLayout
 from contrail.plans import gold, silver
-from contrail.session import configure, write_table
+from contrail.session import configure, scratch_path, write_table
 from contrail.sources.fixtures import Fixtures
 
 #: K10 cut-off for the driver's bookings: they average 4 a flight, where the default of 50 suits full flights.
 BOOKINGS_ENRICH_BELOW = 3
 
+#: Months the gold facts have partitions for; other and missing dates go to the default partition.
+FACT_MONTHS = MonthLayout(199501, 202612)
 
 # Layers written once per (application, input folder): the silver and gold
 # tables of the medallion, as Parquet in the shared folder.
@@ -56,8 +60,9 @@ class Layers:
         self.sf_dir = sf_dir
         self.materialize = materialize
         self.fx = Fixtures(spark, sf_dir, keep=self.keep if materialize else None)
+        self._by_month: dict[str, DataFrame] = {}
 
-    def keep(self, name: str, build) -> DataFrame:
+    def keep(self, name: str, build, layout: MonthLayout | None = None) -> DataFrame:
         """Write the table ``build()`` returns once to the shared checkpoint folder and reuse it.
 
         ``build`` is only called when the table is not written yet, so a
@@ -65,18 +70,30 @@ class Layers:
 
         A table read by many queries (flights, the flight fact, ...) is
         computed once; later plans start from durable files, so a lost
-        executor recomputes from them instead of from the raw tables.
+        executor recomputes from them instead of from the raw tables. With a
+        ``layout`` the table is partitioned by month and has its month column.
         """
         if not self.materialize:
-            return build()
+            return build() if layout is None else layout.with_month(build())
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         with _GUARD:
             lock = _KEY_LOCKS.setdefault(key, threading.Lock())
         with lock:  # one writer per table even when stages run in threads
             if key not in _STORE:
-                _STORE[key] = write_table(build(), name)
+                _STORE[key] = (write_table(build(), name) if layout is None else
+                               layout.write(build(), scratch_path(self.spark, f"tables/{name}-{uuid.uuid4().hex}")))
         return _STORE[key]
 
+    def _fact(self, name: str, build) -> DataFrame:
+        """A gold fact, kept by month, without its partition column."""
+        self._by_month[name] = self.keep(name, build, FACT_MONTHS)
+        return self._by_month[name].drop(MONTH)
+
+    def months(self, name: str) -> DataFrame:
+        """The fact ``name`` with its partition column, for reads pruned by month."""
+        getattr(self, name)
+        return self._by_month[name]
+
     def build(self, threads: int = 8) -> None:
         """Write every shared table, stage by stage; jobs within a stage run concurrently."""
         def touch(path: str) -> None:
@@ -188,7 +205,7 @@ class Layers:
 
     @cached_property
     def fact_flight(self) -> DataFrame:
-        return self.keep("fact_flight", lambda: gold.fact_flight_enrich(
+        return self._fact("fact_flight", lambda: gold.fact_flight_enrich(
             self.fact_flight_raw, below=BOOKINGS_ENRICH_BELOW))
 
     @cached_property
@@ -198,26 +215,26 @@ class Layers:
 
     @cached_property
     def fact_passenger(self) -> DataFrame:
-        return self.keep("fact_passenger", lambda: gold.fact_passenger_yield_fill(self.fact_passenger_raw))
+        return self._fact("fact_passenger", lambda: gold.fact_passenger_yield_fill(self.fact_passenger_raw))
 
     @cached_property
     def fact_cargo(self) -> DataFrame:
-        return self.keep("fact_cargo", lambda: gold.fact_cargo(
+        return self._fact("fact_cargo", lambda: gold.fact_cargo(
             self.fx.cargo, self.fx.flights, self.dim_airport, self.dim_route, self.dim_calendar,
             routes=self.flight_routes))
 
     @cached_property
     def fact_fuel(self) -> DataFrame:
-        return self.keep("fact_fuel", lambda: gold.fact_fuel(
+        return self._fact("fact_fuel", lambda: gold.fact_fuel(
             self.fuel_all, self.fx.flights, self.dim_airport, self.dim_aircraft, self.dim_route, self.dim_calendar,
             self.fact_flight, routes=self.flight_routes))
 
     @cached_property
     def fact_maintenance(self) -> DataFrame:
-        return self.keep("fact_maintenance", lambda: gold.fact_maintenance(
+        return self._fact("fact_maintenance", lambda: gold.fact_maintenance(
             self.maintenance, self.dim_aircraft, self.dim_calendar))
 
     @cached_property
     def fact_crew(self) -> DataFrame:
-        return self.keep("fact_crew", lambda: gold.fact_crew(
+        return self._fact("fact_crew", lambda: gold.fact_crew(
             self.crew, self.fx.flights, self.dim_crew_role, self.dim_calendar))

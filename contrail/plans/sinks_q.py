@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.operators import sinks
+from contrail.operators.months import MONTH, MonthLayout
 from contrail.plans import silver as _s
-from contrail.plans.context import Layers
+from contrail.plans.context import FACT_MONTHS, Layers
 from contrail.plans.queries import REGISTRY, _dbl, query
 from contrail.session import scratch_path
 from contrail.streaming import stream
@@ -57,6 +58,37 @@ def partitioned_write_prune(L: Layers) -> DataFrame:
                                       F.round(F.sum("total_revenue_usd"), 2).cast("double").alias("revenue"))
 
 
+@query
+def fact_month_report(L: Layers) -> DataFrame:
+    """A14 read: flights, fuel, cargo and crew of the months of one quarter; only their partitions are read."""
+    days = L.dim_calendar.where((F.col("anio") == 1997) & (F.col("trimestre") == 2)).select("tiempo_id", "mes")
+
+    def by_month(fact: str, **sums) -> DataFrame:
+        rows = FACT_MONTHS.on_calendar(L.months(fact), days)
+        return rows.groupBy("mes").agg(*[c.alias(n) for n, c in sums.items()])
+
+    def total(c: str):
+        return F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
+    flights = by_month("fact_flight", vuelos=F.count("*"), pax=F.sum("pax_transportados"), revenue=total("total_revenue_usd"))
+    fuel = by_month("fact_fuel", fuel_kg=total("fuel_uplift_kg"))
+    cargo = by_month("fact_cargo", cargo_kg=total("cargo_weight_kg"))
+    crew = by_month("fact_crew", tripulantes=F.sum("crew_count"))
+    return flights.join(fuel, "mes", "left").join(cargo, "mes", "left").join(crew, "mes", "left")
+
+
+@query
+def fact_month_reload(L: Layers) -> DataFrame:
+    """One month of the flight fact loaded again from corrected rows, twice; dates without a partition in the default one."""
+    path, layout = _path(L, "hechos_vuelo_mes"), MonthLayout(199601, 199912)
+    fact = L.fact_flight.select("vuelo_id", "tiempo_id", "pax_transportados", "delay_min")
+    layout.write(fact, path)
+    late = fact.where("delay_min > 15")
+    layout.reload(late, path, [199706])
+    back = layout.reload(late, path, [199706])
+    return back.groupBy(MONTH).agg(F.count("*").alias("vuelos"), F.sum("pax_transportados").alias("pax"),
+                                   F.sum("delay_min").alias("delay_min"))
+
+
 @query
 def mv_refresh(L: Layers) -> DataFrame:
     """Route occupancy materialized, refreshed, and served from Parquet."""
