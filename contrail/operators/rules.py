@@ -67,3 +67,8 @@ def expectation_counts(df: DataFrame, table: str, checks: dict[str, Column]) ->
     stack = ", ".join(f"'{n}', `{n}`" for n in checks)
     return wide.selectExpr(f"stack({len(checks)}, {stack}) as (regla, violaciones)", "_filas as filas") \
                .select(F.lit(table).alias("tabla"), "regla", F.col("violaciones").cast("bigint"), "filas")
+
+
+def code_lengths(limits: dict[str, int]) -> dict[str, Column]:
+    """Checks that codes are at most so many characters long without surrounding spaces; null passes."""
+    return {c: F.char_length(F.trim(c)) <= n for c, n in limits.items()}

@@ -58,11 +58,16 @@ select vuelo_id, left(upper(trim(numero_vuelo)), 3) as prefijo, codigo_aerolinea
   length(numero_vuelo) as largo
 from f_flights""", ["f_flights"])
     oracle("dq_airline_codes", """
-select count(*) as filas,
-  sum(case when length(trim(left(numero_vuelo, 2))) > 2 then 1 else 0 end) as viol_iata,
-  sum(case when length(trim(left(numero_vuelo, 3))) > 3 then 1 else 0 end) as viol_icao,
-  sum(case when length(trim(numero_vuelo)) > 8 then 1 else 0 end) as viol_raw
-from f_flights""", ["f_flights"])
+select * from (with a as (
+  select v.codigo_icao, k.codigo_iata, k.pais_codigo as pais_base
+  from (select distinct regexp_extract(upper(trim(numero_vuelo)), '^([A-Z]+)', 1) as codigo_icao from f_flights) v
+  left join s_airline_dim k on k.codigo_icao = v.codigo_icao
+  where length(v.codigo_icao) > 0),
+n as (select count(*) as filas, count(*) filter (length(trim(codigo_iata)) > 2) as iata,
+  count(*) filter (length(trim(codigo_icao)) > 3) as icao, count(*) filter (length(trim(pais_base)) > 2) as pais from a)
+select 'aerolineas' as tabla, 'codigo_iata' as regla, iata as violaciones, filas from n
+union all select 'aerolineas', 'codigo_icao', icao, filas from n
+union all select 'aerolineas', 'pais_base', pais, filas from n)""", ["f_flights", "s_airline_dim"])
     oracle("digits_from_text", """
 select evento_id, tecnico_id, try_cast(nullif(regexp_replace(tecnico_id, '[^0-9]', '', 'g'), '') as integer) as tecnico_num
 from f_maintenance""", ["f_maintenance"])

@@ -96,8 +96,7 @@ from g_fuel_all cb
 join g_route_lookup v on v.vuelo_id = cb.vuelo_id
 join g_dim_aircraft dan on dan.aeronave_id = v.aeronave_id
 join g_dim_calendar dt on dt.tiempo_id = cast(strftime(v.salida_programada, '%Y%m%d') as integer)
-left join (select tiempo_id, aeronave_id, ruta_id, max(pax_transportados) as hv_pax from g_fact_flight group by all) hv
-  on hv.tiempo_id = dt.tiempo_id and hv.aeronave_id = v.aeronave_id and hv.ruta_id = v.ruta_id
+left join (select vuelo_id, pax_transportados as hv_pax from g_fact_flight) hv on hv.vuelo_id = cb.vuelo_id
 where cb.masa_kg > 0 and cb.costo_total_usd > 0 and v.salida_programada is not null""",
      ["g_fuel_all", "g_route_lookup", "g_dim_aircraft", "g_dim_calendar", "g_fact_flight"])
 

@@ -15,6 +15,7 @@ from contrail.functions import codes
 from contrail.functions.conform import avg_dec, flight_phase as phase_expr, minutes_between
 from contrail.functions.det import hash_order, pick, u
 from contrail.operators.ids import dense_index, keyed_pick_join
+from contrail.operators.rules import code_lengths, expectation_counts
 from contrail.plans import silver as _s
 from contrail.plans.context import Layers
 from contrail.plans.queries import _dbl, query
@@ -144,14 +145,16 @@ def string_functions(L: Layers) -> DataFrame:
 
 @query
 def dq_airline_codes(L: Layers) -> DataFrame:
-    """IATA <= 2, ICAO <= 3, country <= 2 chars (trimmed); null passes."""
-    a = L.fx.flights.select(F.substring("numero_vuelo", 1, 3).alias("icao"),
-                            F.substring("numero_vuelo", 1, 2).alias("iata"),
-                            F.col("numero_vuelo").alias("raw"))
-
-    def bad(c, n):
-        return F.sum(F.when(F.char_length(F.trim(c)) > n, 1).otherwise(0)).alias(f"viol_{c}")
-    return a.agg(F.count("*").alias("filas"), bad("iata", 2), bad("icao", 3), bad("raw", 8))
+    """IATA <= 2, ICAO <= 3, country <= 2 chars (trimmed) of the airlines that fly; null passes.
+
+    An airline's code is all letters before the flight number, not cut to length, so a code that is
+    too long is seen; airlines outside the known list have neither IATA code nor country.
+    """
+    flying = (L.fx.flights.select(F.regexp_extract(F.upper(F.trim("numero_vuelo")), "^([A-Z]+)", 1).alias("codigo_icao"))
+              .where(F.length("codigo_icao") > 0).distinct())
+    known = F.broadcast(L.airlines.select("codigo_icao", "codigo_iata", F.col("pais_codigo").alias("pais_base")))
+    return expectation_counts(flying.join(known, "codigo_icao", "left"), "aerolineas",
+                              code_lengths({"codigo_iata": 2, "codigo_icao": 3, "pais_base": 2}))
 
 
 @query

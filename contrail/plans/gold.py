@@ -401,10 +401,8 @@ def fact_fuel(fuel: DataFrame, flights: DataFrame, dim_ap, dim_ac, dim_rt, dim_c
          .join(dim_ac.select("aeronave_id"), "aeronave_id")
          .join(fuel.where((F.col("masa_kg") > 0) & (F.col("costo_total_usd") > 0))
                    .select("fuel_id", "vuelo_id", "masa_kg", "costo_total_usd"), "vuelo_id"))
-    # C20: multi-key left join (date, aircraft, route); pre-aggregated so it cannot fan out
-    hv = fact_fl.groupBy("tiempo_id", "aeronave_id", "ruta_id").agg(
-        F.max("pax_transportados").alias("hv_pax"))
-    j = j.join(hv, ["tiempo_id", "aeronave_id", "ruta_id"], "left")
+    # C20: (date, aircraft, route) meets every flight of the day on that route; the load's own flight cannot fan out
+    j = j.join(fact_fl.select("vuelo_id", F.col("pax_transportados").alias("hv_pax")), "vuelo_id", "left")
     k = F.col("fuel_id")
     km = F.col("distancia_km")
     masa = F.col("masa_kg")

@@ -235,3 +235,11 @@ def test_staged_build_writes_each_table_once(spark):
     again = Layers(spark, SF_SMALL)
     again.build(threads=4)   # a second build reuses every written table
     assert again.fact_flight is mine["fact_flight"]
+
+
+def test_airline_code_lengths_can_fail(spark):
+    from contrail.operators.rules import code_lengths, expectation_counts
+    df = spark.createDataFrame([("AV", "AVA", "CO"), (" AV ", " AVA", "CO "), ("AVX", "AVAX", "COL"), (None, None, None), ("", "AVAXY", "CO")],
+                               "codigo_iata string, codigo_icao string, pais_base string")
+    got = expectation_counts(df, "aerolineas", code_lengths({"codigo_iata": 2, "codigo_icao": 3, "pais_base": 2})).collect()
+    assert {(r.regla, r.violaciones, r.filas) for r in got} == {("codigo_iata", 1, 5), ("codigo_icao", 2, 5), ("pais_base", 1, 5)}
