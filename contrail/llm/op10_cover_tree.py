@@ -5,7 +5,7 @@ vectors are one from the start. The others of a label are dealt into blocks, and
 blocks of a label is a task with two cover trees: nested levels whose radii halve, each node with
 the distance to its farthest member. A dual traversal descends pairs of nodes and drops a pair
 when the distance of the centres exceeds both covering radii and the threshold together, so that
-no pair at the threshold is lost; centres of two nodes' children are compared in one product.
+no pair at the threshold is lost; a node is held against all nodes near its parent in one product.
 
 A task returns a row for each linked vector: how many it is linked to, and the smallest id that
 the task's own links reach. Pairs themselves are never written out, and a label of any size is
@@ -26,8 +26,11 @@ from contrail.llm.common import components, hot_join, keep
 COSINE = 0.93
 BLOCK = 2048
 LEVELS = 8
+#: Members compared at once when a cover is built, and rows of a product in the traversal.
+HEADS = 128
+ROWS = 512
 _NO_ID = (1 << 63) - 1
-_SLACK = 1e-9
+_SLACK = 1e-7
 
 
 @dataclass
@@ -37,64 +40,99 @@ class Node:
     children: list[Node] = field(default_factory=list)
 
 
+def _balls(x: np.ndarray, members: np.ndarray, centre: int, radius: float):
+    """Greedy cover of ``members``: (head, those within ``radius`` of it and of no head before), ``centre`` first.
+
+    Distances are taken to the next few members at once, as every member may turn out a head.
+    """
+    left = np.concatenate([[centre], members[members != centre]])
+    while len(left):
+        heads = left[:HEADS]
+        near = np.sqrt(np.maximum(2 - 2 * (x[left] @ x[heads].T), 0)) <= radius
+        free = np.ones(len(left), bool)
+        for k, head in enumerate(heads):
+            if free[k]:
+                near[k, k] = True
+                yield int(head), left[near[:, k] & free]
+                free &= ~near[:, k]
+        left = left[free]
+
+
 def cover_tree(x: np.ndarray, members: np.ndarray | None = None, centre: int = 0, level: int = 0) -> Node:
     """Tree over the rows of ``x`` (unit vectors); leaves are single rows."""
     members = np.arange(len(x)) if members is None else members
-    far = np.sqrt(np.maximum(2 - 2 * (x[members] @ x[centre]), 0)) if len(members) > 1 else np.zeros(1)
-    node = Node(centre, float(far.max()) if len(members) > 1 else 0.0)
     if len(members) == 1:
-        return node
+        return Node(centre, 0.0)
+    node = Node(centre, float(np.sqrt(np.maximum(2 - 2 * (x[members] @ x[centre]), 0)).max()))
     if level == LEVELS:
         node.children = [Node(int(i), 0.0) for i in members]
         return node
-    radius = 2.0 / 2 ** (level + 1)
-    left, head = members, centre
-    while len(left):
-        near = np.sqrt(np.maximum(2 - 2 * (x[left] @ x[head]), 0)) <= radius
-        near |= left == head
-        node.children.append(cover_tree(x, left[near], head, level + 1))
-        left = left[~near]
-        head = int(left[0]) if len(left) else -1
+    node.children = [cover_tree(x, near, head, level + 1) for head, near in _balls(x, members, centre, 2.0 / 2 ** (level + 1))]
     if len(node.children) == 1:  # the same members: take the finer node
         return node.children[0]
     return node
 
 
+@dataclass
+class Flat:
+    """A tree as arrays: the children of node n are first[n] to first[n] + count[n] - 1."""
+
+    centre: np.ndarray
+    radius: np.ndarray
+    first: np.ndarray
+    count: np.ndarray
+
+    @classmethod
+    def of(cls, root: Node) -> Flat:
+        nodes, first = [root], []
+        for node in nodes:  # grows while it is read: level by level
+            first.append(len(nodes))
+            nodes.extend(node.children)
+        return cls(np.array([n.centre for n in nodes]), np.array([n.radius for n in nodes]), np.array(first), np.array([len(n.children) for n in nodes]))
+
+    def below(self, nodes: np.ndarray) -> np.ndarray:
+        """The children of inner nodes."""
+        n = self.count[nodes]
+        return np.repeat(self.first[nodes] - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
 def threshold_pairs(x: np.ndarray, y: np.ndarray | None, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    """All (i, j) with x[i] . y[j] >= cosine; with y None, all i < j within x."""
+    """All (i, j) with x[i] . y[j] >= cosine; with y None, all i < j within x.
+
+    A step compares a set of nodes of one tree with a set of nodes of the other in one product, both
+    sets being disjoint subtrees. An inner node goes on with its children against all that is
+    near it; the leaves go on together against the children of the inner nodes near any of them.
+    """
     same = y is None
     y = x if same else y
     reach = np.sqrt(max(2 - 2 * cosine, 0.0)) + _SLACK
     out_i, out_j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     if not len(x) or not len(y):
         return out_i[0], out_j[0]
-    a = cover_tree(x)
-    stack = [(a, a if same else cover_tree(y))]
+    a = Flat.of(cover_tree(x))
+    b = a if same else Flat.of(cover_tree(y))
+    stack = [(np.zeros(1, np.int64), np.zeros(1, np.int64))]
     while stack:
-        a, b = stack.pop()
-        own = same and a is b
-        if own and not a.children:
-            continue
-        left, right = a.children or [a], b.children or [b]
-        rc, rr = np.array([n.centre for n in right]), np.array([n.radius for n in right])
-        right_leaf = np.array([not n.children for n in right])
-        for at in range(0, len(left), 512):
-            part = left[at : at + 512]
-            lc, lr = np.array([n.centre for n in part]), np.array([n.radius for n in part])
-            dots = x[lc] @ y[rc].T
-            near = np.sqrt(np.maximum(2 - 2 * dots, 0)) <= lr[:, None] + rr[None, :] + reach
-            if own:
-                near &= (np.arange(len(part)) + at)[:, None] <= np.arange(len(right))[None, :]
-            leaf = np.array([not n.children for n in part])[:, None] & right_leaf[None, :]
-            i, j = np.nonzero(near & leaf & (dots >= cosine))
-            if own:
-                i, j = i[i + at < j], j[i + at < j]
-            out_i.append(lc[i])
-            out_j.append(rc[j])
-            for p, q in zip(*np.nonzero(near & ~leaf)):
-                stack.append((part[p], right[q]))
-    i, j = np.concatenate(out_i), np.concatenate(out_j)
-    return (np.minimum(i, j), np.maximum(i, j)) if same else (i, j)
+        left, right = stack.pop()
+        if len(left) > ROWS:
+            stack.append((left[ROWS:], right))
+            left = left[:ROWS]
+        lc, rc = a.centre[left], b.centre[right]
+        l_leaf, r_leaf = a.count[left] == 0, b.count[right] == 0
+        dots = x[lc] @ y[rc].T
+        # the distance of the centres, squared, against the squares of the sums of radii
+        near = 2 - 2 * dots <= (a.radius[left][:, None] + (b.radius[right] + reach)[None, :]) ** 2
+        i, j = np.nonzero((dots >= cosine) & l_leaf[:, None] & r_leaf[None, :])
+        keep_pair = lc[i] < rc[j] if same else slice(None)
+        out_i.append(lc[i][keep_pair])
+        out_j.append(rc[j][keep_pair])
+        open_ = near & ~r_leaf[None, :]
+        rows = np.nonzero(l_leaf & open_.any(axis=1))[0]
+        if len(rows):
+            stack.append((left[rows], b.below(right[open_[rows].any(axis=0)])))
+        for p in np.nonzero(~l_leaf & near.any(axis=1))[0]:
+            stack.append((a.below(left[p : p + 1]), np.concatenate([right[near[p] & r_leaf], b.below(right[open_[p]])])))
+    return np.concatenate(out_i), np.concatenate(out_j)
 
 
 def _smallest(n: int, i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> np.ndarray:
