@@ -78,3 +78,7 @@ from contrail.oracle import sinks_sql  # noqa: E402
 
 sinks_sql.register(oracle)
 ORACLE["mv_refresh"] = ORACLE["route_occupancy"]
+ORACLE["mv_months_occupancy"] = ORACLE["route_occupancy"]
+ORACLE["mv_months_otp"] = ORACLE["otp_by_airport"]
+ORACLE["mv_months_fuel"] = ORACLE["fuel_efficiency_monthly"]
+ORACLE["mv_months_cargo"] = ORACLE["cargo_demand_by_route"]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from contrail.functions import codes
 from contrail.functions.conform import avg_dec, flight_phase as phase_expr, minutes_between
 from contrail.functions.det import hash_order, pick, u
+from contrail.functions.xmldoc import from_document, to_document
 from contrail.operators.ids import dense_index, keyed_pick_join
 from contrail.operators.rules import code_lengths, expectation_counts
 from contrail.plans import silver as _s
@@ -98,21 +99,16 @@ def json_build(L: Layers) -> DataFrame:
 
 @query
 def xml_roundtrip(L: Layers) -> DataFrame:
-    """Flight-plan XML text built per row, then read back with XPath."""
-    f = L.fx.flights
-    rules = F.when(F.col("vuelo_id") % 4 == 0, "VFR").otherwise("IFR")
-    xml = F.concat(
-        F.lit("<flight_plan><flight_rules>"), rules, F.lit("</flight_rules><flight_type>"),
-        F.when(F.col("vuelo_id") % 3 == 0, "N").otherwise("S"), F.lit("</flight_type><origin>"),
-        F.lpad(F.col("origen_id").cast("string"), 4, "0"), F.lit("</origin><destination>"),
-        F.lpad(F.col("destino_id").cast("string"), 4, "0"), F.lit("</destination><aircraft_type>"),
-        F.col("aeronave_id").cast("string"), F.lit("</aircraft_type></flight_plan>"))
-    x = f.select("vuelo_id", xml.alias("raw_xml"))
-    return x.select("vuelo_id", "raw_xml",
-                    F.xpath_string("raw_xml", F.lit("flight_plan/flight_rules")).alias("flight_rules"),
-                    F.xpath_string("raw_xml", F.lit("flight_plan/origin")).alias("origin"),
-                    F.xpath_string("raw_xml", F.lit("flight_plan/destination")).alias("destination"),
-                    F.xpath_int("raw_xml", F.lit("flight_plan/aircraft_type")).alias("aircraft_type"))
+    """Flight-plan XML documents written from a struct, then read back by schema in one parse."""
+    plan = F.struct(
+        F.when(F.col("vuelo_id") % 4 == 0, "VFR").otherwise("IFR").alias("flight_rules"),
+        F.when(F.col("vuelo_id") % 3 == 0, "N").otherwise("S").alias("flight_type"),
+        F.lpad(F.col("origen_id").cast("string"), 4, "0").alias("origin"),
+        F.lpad(F.col("destino_id").cast("string"), 4, "0").alias("destination"),
+        F.col("aeronave_id").cast("int").alias("aircraft_type"))
+    x = L.fx.flights.select("vuelo_id", to_document("flight_plan", plan).alias("raw_xml"))
+    read = from_document("raw_xml", "flight_plan", "flight_rules string, origin string, destination string, aircraft_type int")
+    return x.select("vuelo_id", "raw_xml", read.alias("p")).select("vuelo_id", "raw_xml", "p.*")
 
 
 @query

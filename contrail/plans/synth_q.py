@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions import codes
+from contrail.functions.xmldoc import to_document
 from contrail.functions.det import pick, u
 from contrail.functions.geo import sphere_distance_m
 from contrail.plans import silver as _s
@@ -97,10 +98,9 @@ def synth_flight_plans(L: Layers) -> DataFrame:
     rules = F.when(u(k, "p2_fr") < 0.9, "IFR").otherwise("VFR")
     ftype = F.when(u(k, "p2_ft") < 0.8, "S").otherwise("N")
     actype = pick(codes.AIRCRAFT_TYPES, k, "p2_ac")
-    xml = F.concat(F.lit("<flight_plan><flight_rules>"), rules, F.lit("</flight_rules><flight_type>"), ftype,
-                   F.lit("</flight_type><origin>"), F.coalesce(org, F.lit("")), F.lit("</origin><destination>"),
-                   F.coalesce(dst, F.lit("")), F.lit("</destination><aircraft_type>"), actype,
-                   F.lit("</aircraft_type></flight_plan>"))
+    xml = to_document("flight_plan", F.struct(
+        rules.alias("flight_rules"), ftype.alias("flight_type"), F.coalesce(org, F.lit("")).alias("origin"),
+        F.coalesce(dst, F.lit("")).alias("destination"), actype.alias("aircraft_type")))
     return o.select(
         F.col("o_orderkey").alias("plan_id"), cs.alias("callsign"), org.alias("origen_icao"), dst.alias("destino_icao"),
         F.concat(pick(["UL", "UM", "UN", "UT", "UA"], k, "p2_aw"), F.floor(u(k, "p2_awn") * 999).cast("bigint").cast("string")).alias("aerovia"),

@@ -6,11 +6,11 @@ checkpoint folder, partitioned by batch id so a retried batch overwrites
 its own output (exactly-once with the streaming checkpoint). Runs use
 ``trigger(availableNow=True)``: process what is there, then stop.
 
-* ST1 latest position per flight -- stateful ``max_by`` in update mode;
-  each batch appends the changed keys, readers keep the newest batch.
-* ST2 baggage state -- latest event per tag by (event time, id): a row that
-  arrives late, older than the state already kept, never replaces it.
-  (Spark's watermark does not filter rows of a non-windowed aggregation.)
+* ST1 latest position per flight, ST2 baggage state -- latest event per key
+  by (event time, id), kept by ``KeyedState``: a batch is folded to a row a
+  key and batches are folded into a snapshot, so the stream holds no state
+  between batches. A row that arrives late counts in the number of events
+  and never replaces a newer state.
 * ST3 engine telemetry -- hourly tumbling windows; each batch appends its
   sums and counts per window and engine, readers add them up, so no row is
   too late for its window and no state is held between batches.
@@ -25,11 +25,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.operators.dedup import desc, first_per_key
 from contrail.operators.rules import Rule, apply_rules
 from contrail.session import scratch_path
 from contrail.sources.fixtures import Fixtures
 from contrail.sources.schemas import DRIVER_SCHEMAS, struct
+from contrail.streaming.keyed import KeyedState, latest_row
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,42 +67,30 @@ def _append_batch(df: DataFrame, bid: int, path: str) -> None:
       .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
 
 
-def latest_from_changelog(spark: SparkSession, path: str, key: str | list[str], schema_hint: DataFrame) -> DataFrame:
-    keys = [key] if isinstance(key, str) else key
-    try:
-        log = spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return schema_hint.limit(0)  # no batch produced output
-    cols = [c for c in log.columns if c not in (*keys, "batch_id")]
-    # newest batch wins (the changelog is append-only)
-    return first_per_key(log, keys, [-F.col("batch_id")], cols)
+# ---- ST1 -----------------------------------------------------------------------
+_POSITION = latest_row(["vuelo_id"], ["timestamp_utc", "posicion_id"], ["latitud", "longitud", "altitud_pies", "velocidad_nudos"])
+
+
+def _keyed(rows: DataFrame, fold, name: str, base: str | None) -> DataFrame:
+    out = _run(rows, "append", lambda df, bid, path: KeyedState(df.sparkSession, path, fold).absorb(df, bid), name, base)
+    state = KeyedState(rows.sparkSession, out, fold).read()
+    return rows.sparkSession.createDataFrame([], fold(rows).schema) if state is None else state
 
 
-# ---- ST1 -----------------------------------------------------------------------
 def latest_position_stream(spark: SparkSession, sf_dir: str, base: str | None = None) -> DataFrame:
-    ev = stream_table(spark, sf_dir, "events")
-    pos = Fixtures.positions_from(ev)
-    agg = pos.groupBy("vuelo_id").agg(
-        F.max_by(F.struct("posicion_id", "timestamp_utc", "latitud", "longitud", "altitud_pies", "velocidad_nudos"),
-                 F.struct("timestamp_utc", "posicion_id")).alias("p"))
-    flat = agg.select("vuelo_id", "p.*")
-    out = _run(flat, "update", _append_batch, "latest_position", base)
-    return latest_from_changelog(spark, out, "vuelo_id", flat.sparkSession.createDataFrame([], flat.schema))
+    pos = Fixtures.positions_from(stream_table(spark, sf_dir, "events"))
+    rows = pos.select("vuelo_id", "timestamp_utc", "posicion_id", "latitud", "longitud", "altitud_pies", "velocidad_nudos")
+    return _keyed(rows, _POSITION, "latest_position", base)
 
 
 # ---- ST2 -----------------------------------------------------------------------
-def baggage_state_stream(spark: SparkSession, sf_dir: str, delay: str = "30 minutes",
-                         base: str | None = None) -> DataFrame:
-    ev = stream_table(spark, sf_dir, "events")
-    bag = Fixtures.baggage_from(ev).withColumn("ts", F.col("timestamp_utc").cast("timestamp"))
-    agg = (bag.withWatermark("ts", delay).groupBy("tag_id")
-           .agg(F.max_by(F.struct("baggage_id", "evento", "timestamp_utc"), F.struct("ts", "baggage_id")).alias("b"),
-                F.count("*").alias("eventos")))
-    flat = agg.select("tag_id", "b.*", "eventos")
-    out = _run(flat, "update", _append_batch, "baggage_state", base)
-    return latest_from_changelog(spark, out, "tag_id", spark.createDataFrame([], flat.schema))
+_BAG = latest_row(["tag_id"], ["timestamp_utc", "baggage_id"], ["evento"], ["eventos"])
+
+
+def baggage_state_stream(spark: SparkSession, sf_dir: str, base: str | None = None) -> DataFrame:
+    bag = Fixtures.baggage_from(stream_table(spark, sf_dir, "events"))
+    rows = bag.select("tag_id", "timestamp_utc", "baggage_id", "evento", F.lit(1).cast("long").alias("eventos"))
+    return _keyed(rows, _BAG, "baggage_state", base)
 
 
 # ---- ST3 -----------------------------------------------------------------------

@@ -179,15 +179,16 @@ def test_flights_of_unknown_airlines_stay(spark):
     assert got["DLH0001"] == "Unknown Airline" and got["AVA0001"] not in (None, "Unknown Airline")
 
 
-def test_missing_changelog_is_empty_but_other_failures_raise(spark, tmp_path):
+def test_missing_batches_are_no_state_but_other_failures_raise(spark, tmp_path):
     import pytest
-    from contrail.streaming.stream import latest_from_changelog
-    hint = spark.createDataFrame([], "k int, v int")
-    assert latest_from_changelog(spark, str(tmp_path / "none"), "k", hint).count() == 0
-    (tmp_path / "broken").mkdir()
-    (tmp_path / "broken" / "part-0.parquet").write_text("not a parquet file")
+    from contrail.streaming.keyed import KeyedState, latest_row
+    fold = latest_row(["k"], ["v"], [])
+    assert KeyedState(spark, str(tmp_path / "none"), fold).read() is None
+    broken = tmp_path / "broken" / "lotes" / "tramo=0" / "batch_id=0"
+    broken.mkdir(parents=True)
+    (broken / "part-0.parquet").write_text("not a parquet file")
     with pytest.raises(Exception):
-        latest_from_changelog(spark, str(tmp_path / "broken"), "k", hint).count()
+        KeyedState(spark, str(tmp_path / "broken"), fold).read().count()
 
 
 def test_partitioned_overwrite_is_idempotent(spark):
