@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from contrail.functions import codes
 from contrail.functions.conform import avg_dec, flight_phase as phase_expr, minutes_between
 from contrail.functions.det import hash_order, pick, u
+from contrail.functions.jsondoc import document, field, fields
 from contrail.functions.xmldoc import from_document, to_document
 from contrail.operators.ids import dense_index, keyed_pick_join
 from contrail.operators.rules import code_lengths, expectation_counts
@@ -68,21 +69,19 @@ def retype_columns(L: Layers) -> DataFrame:
 
 @query
 def json_extract(L: Layers) -> DataFrame:
-    """JSON text columns parsed once into typed fields."""
+    """JSON text columns parsed once as variants, fields taken by type."""
     r = L.fx.reservations
-    pax = F.from_json("pasajero_json", "first_name string, last_name string, document_type string, "
-                                       "nationality string, frequent_flyer boolean")
-    vu = F.from_json("vuelos_json", "flight_number string, origin string, destination string, airline string")
-    return r.select("reserva_id", pax.alias("p"), vu.alias("v")).select(
-        "reserva_id", "p.first_name", "p.last_name", "p.document_type", "p.nationality", "p.frequent_flyer",
-        "v.flight_number", "v.origin", "v.destination", "v.airline")
+    doc = r.select("reserva_id", document("pasajero_json").alias("p"), document("vuelos_json").alias("v"))
+    return doc.select("reserva_id", *[field("p", n).alias(n) for n in ("first_name", "last_name", "document_type", "nationality")],
+                      field("p", "frequent_flyer", "boolean").alias("frequent_flyer"),
+                      *[field("v", n).alias(n) for n in ("flight_number", "origin", "destination", "airline")])
 
 
 @query
 def json_each(L: Layers) -> DataFrame:
     """jsonb_each_text over seat maps."""
-    a = L.fleet.select("aeronave_id", F.explode(F.from_json("configuracion_asientos", "map<string,string>")))
-    return a.select("aeronave_id", F.col("key").alias("clase"), F.col("value").cast("int").alias("asientos"))
+    a = fields(L.fleet.select("aeronave_id", document("configuracion_asientos").alias("doc")), "doc", "clase")
+    return a.select("aeronave_id", "clase", F.col("value").cast("int").alias("asientos"))
 
 
 @query
@@ -380,7 +379,7 @@ def flights_without_fuel(L: Layers) -> DataFrame:
 
 @query
 def join_json_key(L: Layers) -> DataFrame:
-    r = L.fx.reservations.select("reserva_id", F.get_json_object("vuelos_json", "$.flight_number").alias("fn"))
+    r = L.fx.reservations.select("reserva_id", field(document("vuelos_json"), "flight_number").alias("fn"))
     v = L.fx.flights.select("vuelo_id", F.col("numero_vuelo").alias("fn"))
     return r.join(v, "fn").select("reserva_id", "vuelo_id", F.col("fn").alias("numero_vuelo"))
 

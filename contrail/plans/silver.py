@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from contrail.functions import codes
 from contrail.functions.conform import blank_to_null, code_map, flight_phase, not_blank, plus_hours
 from contrail.functions.det import pick, u
+from contrail.functions.jsondoc import document, field
 from contrail.operators.dedup import asc, desc, first_per_key
 from contrail.operators.ids import dense_index
 
@@ -85,28 +86,26 @@ def clean_flights(flights: DataFrame, airports: DataFrame, airlines: DataFrame)
 
 # J7 ---------------------------------------------------------------------------
 def clean_passengers(reservations: DataFrame) -> DataFrame:
-    j = F.col("pasajero_json")
-    first = F.get_json_object(j, "$.first_name")
-    last = F.get_json_object(j, "$.last_name")
+    first, last = field("doc", "first_name"), field("doc", "last_name")
     cls = F.col("clase")
-    return reservations.where(j.isNotNull()).select(
+    return reservations.where("pasajero_json is not null").withColumn("doc", document("pasajero_json")).select(
         F.concat(F.lit("DOC-"), F.col("reserva_id").cast("string")).alias("documento"),
-        F.coalesce(F.get_json_object(j, "$.document_type"), F.lit("PASSPORT")).alias("tipo_doc"),
-        F.coalesce(F.get_json_object(j, "$.nationality"), F.lit("CR")).alias("nacionalidad"),
+        F.coalesce(field("doc", "document_type"), F.lit("PASSPORT")).alias("tipo_doc"),
+        F.coalesce(field("doc", "nationality"), F.lit("CR")).alias("nacionalidad"),
         F.trim(F.concat(F.coalesce(first, F.lit("")), F.lit(" "), F.coalesce(last, F.lit("")))).alias("nombre"),
-        F.when(F.get_json_object(j, "$.frequent_flyer").cast("boolean"), "GOLD").alias("programa_fidelidad"),
+        F.when(field("doc", "frequent_flyer", "boolean"), "GOLD").alias("programa_fidelidad"),
         F.when(cls.isin("F", "J"), "FIRST").when(cls.isin("C", "W"), "BUSINESS").otherwise("ECONOMY").alias("categoria"),
     ).distinct()
 
 
 # J8 ---------------------------------------------------------------------------
 def booking_resolve(reservations, passengers, flights, boarding) -> DataFrame:
-    r = reservations.where(F.col("pnr").isNotNull()).select(
+    docs = {"vuelo": document("vuelos_json"), "pax": document("pasajero_json")}
+    r = reservations.where(F.col("pnr").isNotNull()).withColumns(docs).select(
         "reserva_id", "pnr", "clase", "tarifa_usd", "estado",
-        F.get_json_object("vuelos_json", "$.flight_number").alias("fn"),
-        F.concat(F.get_json_object("pasajero_json", "$.first_name"), F.lit(" "),
-                 F.get_json_object("pasajero_json", "$.last_name")).alias("pname"),
-        F.get_json_object("pasajero_json", "$.nationality").alias("pnat")).where(F.col("fn").isNotNull())
+        field("vuelo", "flight_number").alias("fn"),
+        F.concat(field("pax", "first_name"), F.lit(" "), field("pax", "last_name")).alias("pname"),
+        field("pax", "nationality").alias("pnat")).where(F.col("fn").isNotNull())
     # DISTINCT ON (reserva_id) ORDER BY pasajero_id, boarding ts DESC NULLS LAST,
     # vuelo_id: the three lookups are independent, so each side is first
     # reduced to the one candidate that order would keep. Every join is
@@ -150,18 +149,17 @@ def baggage_latest(baggage: DataFrame, flights: DataFrame) -> DataFrame:
 # J10 --------------------------------------------------------------------------
 def clean_cargo(cargo: DataFrame, flights: DataFrame) -> DataFrame:
     c = cargo.where(F.col("awb").isNotNull() & (F.col("peso_kg") > 0) & (F.col("volumen_m3") > 0))
-    j = c.join(flights.select("vuelo_id"), "vuelo_id")
+    j = c.join(flights.select("vuelo_id"), "vuelo_id").withColumn("doc", document("declaracion_json"))
     t = F.upper("tipo_carga")
-    d = F.col("declaracion_json")
     rows = j.select(
         F.substring("awb", 1, 20).alias("awb"), "vuelo_id",
-        F.substring(F.get_json_object(d, "$.shipper"), 1, 200).alias("shipper"),
-        F.substring(F.get_json_object(d, "$.consignee"), 1, 200).alias("consignee"),
+        F.substring(field("doc", "shipper"), 1, 200).alias("shipper"),
+        F.substring(field("doc", "consignee"), 1, 200).alias("consignee"),
         F.when(t.isin(*codes.CARGO_TYPES), t).otherwise("GENERAL").alias("tipo"),
         F.col("peso_kg").cast("decimal(8,2)").alias("peso_kg"),
         F.col("volumen_m3").cast("decimal(6,2)").alias("volumen_m3"),
-        F.substring(F.get_json_object(d, "$.temperature_required"), 1, 10).alias("temperatura_req"),
-        d.isNotNull().alias("tiene_declaracion"))
+        F.substring(field("doc", "temperature_required"), 1, 10).alias("temperatura_req"),
+        F.col("declaracion_json").isNotNull().alias("tiene_declaracion"))
     return first_per_key(rows, ["awb"], [F.col("vuelo_id")])
 
 

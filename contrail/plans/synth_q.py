@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions import codes
+from contrail.functions.jsondoc import document, field
 from contrail.functions.xmldoc import to_document
 from contrail.functions.det import pick, u
 from contrail.functions.geo import sphere_distance_m
@@ -114,9 +115,9 @@ def synth_reservations(L: Layers) -> DataFrame:
     """Reservations with 5/3/6/3 % nulls in pnr/class/fare/status (JSON fields shown parsed)."""
     r = L.fx.reservations
     return _dbl(r.select("reserva_id", "pnr", "clase", "tarifa_usd", "estado", "timestamp_utc",
-                         F.get_json_object("pasajero_json", "$.first_name").alias("first_name"),
-                         F.get_json_object("pasajero_json", "$.nationality").alias("nationality"),
-                         F.get_json_object("vuelos_json", "$.flight_number").alias("flight_number")))
+                         field(document("pasajero_json"), "first_name").alias("first_name"),
+                         field(document("pasajero_json"), "nationality").alias("nationality"),
+                         field(document("vuelos_json"), "flight_number").alias("flight_number")))
 
 
 @query

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions.conform import avg_dec, minutes_between
+from contrail.functions.jsondoc import document, field
 from contrail.operators.dedup import desc, first_per_key
 from contrail.operators.windows import lead_by_key
 from contrail.plans.context import Layers
@@ -235,12 +236,12 @@ def customs_pending(L: Layers) -> DataFrame:
     v = L.fx.flights.select("vuelo_id", "origen_id", "destino_id")
     ao = L.fx.airports.select(F.col("aeropuerto_id").alias("origen_id"), F.col("ident").alias("origen"))
     ad = L.fx.airports.select(F.col("aeropuerto_id").alias("destino_id"), F.col("ident").alias("destino"))
-    d = F.col("declaracion_json")
+    c = c.withColumn("doc", document("declaracion_json"))
     return (c.join(v, "vuelo_id").join(ao, "origen_id").join(ad, "destino_id").select(
         "awb", F.col("tipo_carga").alias("tipo"), F.col("peso_kg").cast("double").alias("peso_kg"), "origen", "destino",
-        F.get_json_object(d, "$.commodity").alias("commodity"),
-        F.get_json_object(d, "$.customs_value_usd").cast("decimal(14,2)").cast("double").alias("customs_value_usd"),
-        F.get_json_object(d, "$.dangerous_goods").cast("boolean").alias("dangerous_goods")))
+        field("doc", "commodity").alias("commodity"),
+        field("doc", "customs_value_usd", "decimal(14,2)").cast("double").alias("customs_value_usd"),
+        field("doc", "dangerous_goods", "boolean").alias("dangerous_goods")))
 
 
 @query
