@@ -4,8 +4,8 @@ Generators with high recall propose spans that may overlap: every match of a bas
 valid or not, and of looser patterns (obfuscated addresses, numbers without a country code,
 other separators). Boosted trees over format and context features, which do not see the
 validity tests, learn from the base matches which shapes and surroundings go with valid data.
-The threshold of each kind is calibrated on held-out documents for a given precision; candidates
-beyond the base spans that reach it are added as the kind with "_like".
+The threshold of each kind is calibrated for a given precision on the candidates of all held-out
+documents, a fifth of the corpus; candidates beyond the base spans that reach it are added.
 
 Positions come from splitting a text at the matches: the lengths of the pieces and matches add up
 to offsets in code points. Trees are grown level by level from grouped sums of gradients for each
@@ -17,7 +17,8 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,9 +40,9 @@ LOOSE = {
     "card": r"(?<![0-9])[0-9]{4}+(?:[./_][0-9]{4}+){3}+(?![0-9])",
     "phone": r"(?<![0-9+])(?:00[0-9]{1,3}+[\x20.-])?+\(?+[0-9]{3}+\)?+[\x20.-][0-9]{3}+[\x20.-][0-9]{4}+(?![0-9])",
 }
-#: What a text must hold for a pattern to match at all (a plain search, much cheaper).
-MUST = {"email": "@", "phone": "+"}
-LOOSE_MUST = {"email": "at"}
+#: One of these a text must hold for a pattern to match at all (a plain search, much cheaper).
+MUST = {"email": ("@",), "phone": ("+",)}
+LOOSE_MUST = {"email": ("at", "AT")}
 FEATURES = ("kind", "digits", "chars", "letters", "dots", "dashes", "blanks", "brackets", "plus", "groups", "longest", "word_before", "word_after", "assigned", "named", "distinct")
 SAMPLE_DOCS, SAMPLE_ROWS = 20_000, 40_000
 TREES, DEPTH, RATE, L2, VALUES = 10, 3, 0.4, 1.0, 32
@@ -121,7 +122,7 @@ def with_candidates(docs: DataFrame, text: Column, out: str = "_c") -> DataFrame
     found, pieces = {}, {}
     for i, (_, pattern, must, _) in enumerate(searches):
         got = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-        found[f"_f{i}"] = F.when(text.contains(must), got).otherwise(no_text) if must else got
+        found[f"_f{i}"] = F.when(reduce(or_, [text.contains(m) for m in must]), got).otherwise(no_text) if must else got
         pieces[f"_p{i}"] = F.when(F.size(f"_f{i}") > 0, F.split(text, pattern, -1)).otherwise(no_text)
     parts = [F.transform(spans(F.col(f"_f{i}"), F.col(f"_p{i}")), told(k, base)) for i, (k, _, _, base) in enumerate(searches)]
     return docs.withColumns(found).withColumns(pieces).withColumn(out, F.concat(*parts)).drop(*found, *pieces)
@@ -211,17 +212,44 @@ def _grow(rows: DataFrame) -> tuple:
     return build(0)
 
 
+def _judged(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """Base matches of ``docs``, valid or not: i, s, k, features x and y (1.0: valid)."""
+    some = with_candidates(docs.select(F.col(id_col).alias("i"), F.coalesce(text_col, F.lit("")).alias("t")), F.col("t"), "c")
+    told = F.transform("c", lambda c: F.struct(features(F.col("t"), c).alias("x"), c["base"].cast("double").alias("y"), c["k"].alias("k"), c["s"].alias("s")))
+    return some.select("i", F.explode(told).alias("c")).select("i", "c.*").where("y is not null")
+
+
+def calibrate(model: Boosted, held: DataFrame) -> dict[str, float | None]:
+    """The least threshold of each kind at which PRECISION of the held-out matches that reach it are valid.
+
+    Sums over all rows (k, x, y), grouped by kind. A kind with fewer than LEAST_ROWS such matches
+    takes the threshold of all kinds together; None where no threshold is precise enough.
+    """
+    grid = [k / 50 for k in range(25, 50)]
+    sums = [x for i, t in enumerate(grid) for x in (F.sum(F.when(F.col("p") >= t, F.col("y"))).alias(f"y{i}"), F.count(F.when(F.col("p") >= t, 1)).alias(f"n{i}"))]
+    by_kind = {r.k: r for r in held.select("k", "y", model.probability(F.col("x")).alias("p")).groupBy("k").agg(*sums).collect()}  # one row a kind
+
+    def least(kinds):
+        n = [sum(by_kind[k][f"n{i}"] for k in kinds) for i in range(len(grid))]
+        y = [sum(by_kind[k][f"y{i}"] or 0 for k in kinds) for i in range(len(grid))]
+        return min((t for i, t in enumerate(grid) if n[i] >= LEAST_ROWS and y[i] >= PRECISION * n[i]), default=None)
+
+    many = {k for k, r in by_kind.items() if r.n0 >= LEAST_ROWS}
+    return {kind: least([k] if k in many else list(by_kind)) for k, kind in enumerate(KINDS)}
+
+
 def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Boosted:
-    """Trees and thresholds from the base matches in a sample of about SAMPLE_DOCS documents, at most SAMPLE_ROWS candidates."""
+    """Trees from the base matches in a sample of about SAMPLE_DOCS documents, at most SAMPLE_ROWS of them; thresholds from all held-out documents.
+
+    A document is held out if the crc32 of its id is divisible by FOLDS (a null id counts as empty
+    text); repeated rows count as often as they are there, and an empty table adds nothing.
+    """
+    of_id = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
     n = docs.count()
     share = min(1.0, SAMPLE_DOCS / max(n, 1))
     draw = F.shiftrightunsigned(F.xxhash64(id_col, F.lit(5)), 11) / F.lit(float(1 << 53))
-    some = docs.where(draw < share).select(F.col(id_col).alias("i"), F.coalesce(text_col, F.lit("")).alias("t"))
-    some = with_candidates(some, F.col("t"), "c")
-    rows = some.select("i", F.explode(F.transform("c", lambda c: F.struct(features(F.col("t"), c).alias("x"), c["base"].alias("y"), c["k"].alias("k"), c["s"].alias("s")))).alias("c"))
-    rows = rows.select("i", "c.*").where("y is not null").orderBy(F.xxhash64("i", "s", "k"), "i", "s", "k").limit(SAMPLE_ROWS)
-    rows = keep(rows.select("x", "k", F.col("y").cast("double").alias("y"), (F.crc32(F.coalesce(F.col("i").cast("string"), F.lit("")).cast("binary")) % FOLDS == 0).alias("held")), "pii-sample")
-    fit = rows.where("not held")
+    rows = _judged(docs.where((draw < share) & ~of_id), text_col, id_col).orderBy(F.xxhash64("i", "s", "k"), "i", "s", "k").limit(SAMPLE_ROWS)
+    fit = keep(rows.select("x", "y"), "pii-sample")
     s = fit.agg(F.sum("y").alias("p"), F.count("*").alias("n")).first()
     p, n = s.p or 0.0, s.n or 0
     model = Boosted([], math.log((p + 1) / (n - p + 1)), dict.fromkeys(KINDS))
@@ -234,13 +262,7 @@ def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Bo
         tree = _grow(now)
         model.trees.append(tree)
         fit = now.select("x", "y", (F.col("margin") + Boosted([tree], 0.0, {}).margin(F.col("x"))).alias("margin"))
-    grid = [k / 50 for k in range(25, 50)]
-    prob = model.probability(F.col("x"))
-    found = (rows.where("held").withColumn("p", prob).groupBy("k")
-             .agg(*[F.sum(F.when(F.col("p") >= t, F.col("y"))).alias(f"y{i}") for i, t in enumerate(grid)], *[F.count(F.when(F.col("p") >= t, 1)).alias(f"n{i}") for i, t in enumerate(grid)]).collect())
-    for r in found:
-        good = [t for i, t in enumerate(grid) if r[f"n{i}"] >= LEAST_ROWS and r[f"y{i}"] >= PRECISION * r[f"n{i}"]]
-        model.thresholds[KINDS[r.k]] = min(good, default=None)
+    model.thresholds = calibrate(model, _judged(docs.where(of_id), text_col, id_col))
     return model
 
 
@@ -278,9 +300,10 @@ def listed(spans: Column, names: tuple[str, ...]) -> Column:
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """doc_id, counts of the base spans by kind, base_sha256, and all spans as a string."""
-    slim = lambda spans, more: F.transform(spans, lambda x: F.struct(x["s"].alias("s"), (x["k"] + F.lit(more)).alias("k"), x["e"].alias("e")))
-    every = F.array_sort(F.concat(slim(F.col("base"), 0), slim(F.col("added"), len(KINDS))))
+    """doc_id, counts of the base spans by kind, base_sha256, all spans as a string, and the number of added ones."""
+    slim = lambda spans: F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e")))
+    every = F.array_sort(F.concat(slim(F.col("base")), slim(F.col("added"))))
     of = lambda k: lambda x: x["k"] == k
     return found.select(F.col(id_col).alias("doc_id"), *[F.size(F.filter("base", of(k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)],
-                        F.sha2(listed(F.col("base"), KINDS).cast("binary"), 256).alias("base_sha256"), listed(every, (*KINDS, *[f"{k}_like" for k in KINDS])).alias("spans"))
+                        F.sha2(listed(F.col("base"), KINDS).cast("binary"), 256).alias("base_sha256"), listed(every, KINDS).alias("spans"),
+                        F.size("added").cast("long").alias("n_added"))
