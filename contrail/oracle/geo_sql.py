@@ -133,8 +133,8 @@ select vuelo_id,
   {DIV_DEC('cast(passenger_revenue_usd as decimal(18,2))', 'round(cast(pax_transportados as decimal(18,0)) * km, 2)', 2, 2, 20, 4)} as yield_usd_rpk,
   cast(round(cast(coalesce(cargo_kg, 0) as decimal(18,2)) * 0.001 * km, 2) as double) as ctk, false as en_cuarentena
 from (select hv.*, cast(hv.distance_flown_km as decimal(12,2)) as km, cg.cargo_kg
-      from g_fact_flight hv left join (select vuelo_id, sum(peso_kg) as cargo_kg from f_cargo group by vuelo_id) cg
+      from g_fact_flight hv left join (select vuelo_id, sum(peso_kg) as cargo_kg from s_cargo group by vuelo_id) cg
         on cg.vuelo_id = hv.vuelo_id
       where hv.distance_flown_km > 0)
 union all
-select vuelo_id, null, null, null, null, null, true from g_fact_flight where not coalesce(distance_flown_km > 0, false)""", ["g_fact_flight", "f_cargo"])
+select vuelo_id, null, null, null, null, null, true from g_fact_flight where not coalesce(distance_flown_km > 0, false)""", ["g_fact_flight", "s_cargo"])

@@ -163,11 +163,11 @@ join g_dim_aircraft dan on dan.aeronave_id = v.aeronave_id
 join g_dim_calendar dt on dt.tiempo_id = cast(strftime(v.salida_programada, '%Y%m%d') as integer)
 left join (select vuelo_id, count(*) as sold, sum(case when estado = 'BOARDED' then 1 else 0 end) as boarded,
                   sum(tarifa_usd) as rev from f_bookings group by vuelo_id) pv on pv.vuelo_id = v.vuelo_id
-left join (select vuelo_id, sum(peso_kg * 2.5) as rev from f_cargo group by vuelo_id) cg on cg.vuelo_id = v.vuelo_id
+left join (select vuelo_id, sum(peso_kg * 2.5) as rev from s_cargo group by vuelo_id) cg on cg.vuelo_id = v.vuelo_id
 left join (select vuelo_id, sum(masa_kg) as kg, sum(costo_total_usd) as cost from g_fuel_all group by vuelo_id) cb
   on cb.vuelo_id = v.vuelo_id
 where v.salida_programada is not null and v.llegada_programada is not null""",
-     ["g_route_lookup", "f_aircraft", "g_dim_aircraft", "g_dim_calendar", "f_bookings", "f_cargo", "g_fuel_all"])
+     ["g_route_lookup", "f_aircraft", "g_dim_aircraft", "g_dim_calendar", "f_bookings", "s_cargo", "g_fuel_all"])
 
 _k = "vuelo_id"
 _c = "pax_transportados < 3"

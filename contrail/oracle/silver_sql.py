@@ -83,20 +83,20 @@ where rn = 1""", ["f_baggage", "f_flights"])
 
 _CT = ", ".join(_q(t) for t in codes.CARGO_TYPES)
 _def("s_cargo", f"""
-select awb, vuelo_id, shipper, consignee, tipo, peso_kg, volumen_m3, temperatura_req, tiene_declaracion from (
+select awb, vuelo_id, shipper, consignee, tipo, peso_kg, volumen_m3, temperatura_req, tiene_declaracion, declaracion_aduanera from (
   select left(c.awb, 20) as awb, c.vuelo_id,
     left(json_extract_string(c.declaracion_json, '$.shipper'), 200) as shipper,
     left(json_extract_string(c.declaracion_json, '$.consignee'), 200) as consignee,
     case when upper(c.tipo_carga) in ({_CT}) then upper(c.tipo_carga) else 'GENERAL' end as tipo,
     cast(c.peso_kg as decimal(8,2)) as peso_kg, cast(c.volumen_m3 as decimal(6,2)) as volumen_m3,
     left(json_extract_string(c.declaracion_json, '$.temperature_required'), 10) as temperatura_req,
-    c.declaracion_json is not null as tiene_declaracion,
+    c.declaracion_json is not null as tiene_declaracion, c.declaracion_json as declaracion_aduanera,
     row_number() over (partition by left(c.awb, 20) order by c.vuelo_id,
       json_extract_string(c.declaracion_json, '$.shipper') nulls first, json_extract_string(c.declaracion_json, '$.consignee') nulls first,
       case when upper(c.tipo_carga) in ({_CT}) then upper(c.tipo_carga) else 'GENERAL' end,
       cast(c.peso_kg as decimal(8,2)), cast(c.volumen_m3 as decimal(6,2)),
       left(json_extract_string(c.declaracion_json, '$.temperature_required'), 10) nulls first,
-      c.declaracion_json is not null) as rn
+      c.declaracion_json is not null, c.declaracion_json nulls first) as rn
   from f_cargo c join f_flights v on v.vuelo_id = c.vuelo_id
   where c.awb is not null and c.peso_kg > 0 and c.volumen_m3 > 0)
 where rn = 1""", ["f_cargo", "f_flights"])

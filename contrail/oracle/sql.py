@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from contrail.oracle import gold_sql  # noqa: F401  (registers gold CTEs)
+from contrail.oracle import gold_sql, silver_sql  # noqa: F401  (register the CTEs of their layers)
 from contrail.oracle.ctes import with_ctes
 from contrail.oracle.det_sql import PCT_DEC
 
@@ -50,7 +50,6 @@ select count(*) as total_vuelos, sum(asientos_ofrecidos) as total_asientos_ofrec
   count(delay_code) as vuelos_con_delay
 from g_fact_flight""", ["g_fact_flight"])
 
-from contrail.oracle import silver_sql  # noqa: E402
 
 silver_sql.register(oracle)
 

@@ -50,20 +50,20 @@ select * replace (case when yield_usd_rpk is null and revenue_pax_km > 0 then ro
 from g_fact_passenger""", ["g_fact_passenger"])
 
 _row = "(c.awb || '|' || cast(c.vuelo_id as varchar))"
-_rate = (f"case c.tipo_carga when 'GENERAL' then 2.0 + {U(_row, 'cr')} * 1.5 when 'PERECIBLE' then 3.5 + {U(_row, 'cr')} * 2.0 "
+_rate = (f"case c.tipo when 'GENERAL' then 2.0 + {U(_row, 'cr')} * 1.5 when 'PERECIBLE' then 3.5 + {U(_row, 'cr')} * 2.0 "
          f"when 'PELIGROSA' then 5.0 + {U(_row, 'cr')} * 3.0 when 'VALORADA' then 8.0 + {U(_row, 'cr')} * 5.0 "
          f"when 'ANIMALES' then 6.0 + {U(_row, 'cr')} * 3.0 else 2.44 end")
-_yr = f"cast({MAP_CASE('c.tipo_carga', codes.CARGO_YIELD_RATE, codes.CARGO_YIELD_DEFAULT)} as decimal(6,2))"
-_cnts = ", ".join(f"cast(count(*) filter (where c.tipo_carga = {_q(t)}) as integer) as n_{t.lower()}" for t in codes.CARGO_TYPES)
+_yr = f"cast({MAP_CASE('c.tipo', codes.CARGO_YIELD_RATE, codes.CARGO_YIELD_DEFAULT)} as decimal(6,2))"
+_cnts = ", ".join(f"cast(count(*) filter (where c.tipo = {_q(t)}) as integer) as n_{t.lower()}" for t in codes.CARGO_TYPES)
 _def("g_fact_cargo_agg", f"""
 select cast(strftime(v.salida_programada, '%Y%m%d') as integer) as tiempo_id, v.ruta_id, v.distancia_km,
   sum(c.peso_kg) as w, sum(c.volumen_m3) as vol,
   sum(cast(c.peso_kg * ({_rate}) as decimal(18,4))) as rev,
   sum(c.peso_kg * {_yr}) as yw, {_cnts}
-from f_cargo c join g_route_lookup v on v.vuelo_id = c.vuelo_id
+from s_cargo c join g_route_lookup v on v.vuelo_id = c.vuelo_id
 join g_dim_calendar dt on dt.tiempo_id = cast(strftime(v.salida_programada, '%Y%m%d') as integer)
 where c.peso_kg > 0 and v.salida_programada is not null
-group by 1, 2, 3""", ["f_cargo", "g_route_lookup", "g_dim_calendar"])
+group by 1, 2, 3""", ["s_cargo", "g_route_lookup", "g_dim_calendar"])
 
 _key = "(cast(tiempo_id as varchar) || '|' || cast(ruta_id as varchar))"
 _json = ("'{' || " + " || ',' || ".join(f"'\"{t}\":' || cast(n_{t.lower()} as varchar)" for t in codes.CARGO_TYPES)
@@ -201,8 +201,8 @@ left join f_airways av on av.aerovia_id = v.vuelo_id % 75
 left join (select vuelo_id, count(distinct pasajero_id) as pasajeros_totales, sum(coalesce(equipaje_piezas, 0)) as piezas,
                   sum(coalesce(peso_equipaje_kg, 0)) as kg, sum(coalesce(tarifa_usd, 0)) as rev
            from f_bookings group by vuelo_id) pv on pv.vuelo_id = v.vuelo_id
-left join (select vuelo_id, sum(coalesce(peso_kg, 0)) as kg from f_cargo group by vuelo_id) cv on cv.vuelo_id = v.vuelo_id""",
-           ["f_flights", "s_airline_dim", "f_aircraft", "f_airports", "f_airways", "f_bookings", "f_cargo"])
+left join (select vuelo_id, sum(coalesce(peso_kg, 0)) as kg from s_cargo group by vuelo_id) cv on cv.vuelo_id = v.vuelo_id""",
+           ["f_flights", "s_airline_dim", "f_aircraft", "f_airports", "f_airways", "f_bookings", "s_cargo"])
     oracle("active_maintenance", f"""
 select me.evento_id, me.aeronave_id, me.motor_id, me.taller_id, a.matricula, a.tipo as tipo_aeronave,
   a.estado as estado_aeronave, mo.modelo as modelo_motor, mo.serial_number, mo.horas_acumuladas, mo.ciclos_acumulados,
@@ -257,13 +257,13 @@ from s_baggage e join f_flights v on v.vuelo_id = e.vuelo_id
 join g_ap_code ao on ao.aeropuerto_id = v.origen_id join g_ap_code ad on ad.aeropuerto_id = v.destino_id""",
            ["s_baggage", "f_flights", "g_ap_code"])
     oracle("customs_pending", """
-select c.awb, c.tipo_carga as tipo, cast(c.peso_kg as double) as peso_kg, ao.ident as origen, ad.ident as destino,
-  json_extract_string(c.declaracion_json, '$.commodity') as commodity,
-  cast(cast(json_extract_string(c.declaracion_json, '$.customs_value_usd') as decimal(14,2)) as double) as customs_value_usd,
-  cast(json_extract_string(c.declaracion_json, '$.dangerous_goods') as boolean) as dangerous_goods
-from f_cargo c join f_flights v on v.vuelo_id = c.vuelo_id
+select c.awb, c.tipo, cast(c.peso_kg as double) as peso_kg, ao.ident as origen, ad.ident as destino,
+  json_extract_string(c.declaracion_aduanera, '$.commodity') as commodity,
+  cast(cast(json_extract_string(c.declaracion_aduanera, '$.customs_value_usd') as decimal(14,2)) as double) as customs_value_usd,
+  cast(json_extract_string(c.declaracion_aduanera, '$.dangerous_goods') as boolean) as dangerous_goods
+from s_cargo c join f_flights v on v.vuelo_id = c.vuelo_id
 join f_airports ao on ao.aeropuerto_id = v.origen_id join f_airports ad on ad.aeropuerto_id = v.destino_id
-where c.declaracion_json is not null""", ["f_cargo", "f_flights", "f_airports"])
+where c.tiene_declaracion""", ["s_cargo", "f_flights", "f_airports"])
     oracle("crew_duty_hours", f"""
 select crew_id, count(vuelo_id) as vuelos_asignados, cast(sum(horas_vuelo_duty) as double) as horas_totales_duty,
   {AVG_DEC('descanso_horas', 2, 4)} as descanso_promedio, bool_and(descanso_minimo_cumple) as cumple_regulacion

@@ -201,7 +201,7 @@ class Layers:
     def fact_flight_raw(self) -> DataFrame:
         return self.keep("fact_flight_raw", lambda: gold.fact_flight(
             self.fx.flights, self.fleet, self.dim_airport, self.dim_route, self.dim_aircraft, self.dim_calendar,
-            self.fx.bookings, self.fx.cargo, self.fuel_all, routes=self.flight_routes))
+            self.fx.bookings, self.cargo, self.fuel_all, routes=self.flight_routes))
 
     @cached_property
     def fact_flight(self) -> DataFrame:
@@ -220,7 +220,7 @@ class Layers:
     @cached_property
     def fact_cargo(self) -> DataFrame:
         return self._fact("fact_cargo", lambda: gold.fact_cargo(
-            self.fx.cargo, self.fx.flights, self.dim_airport, self.dim_route, self.dim_calendar,
+            self.cargo, self.fx.flights, self.dim_airport, self.dim_route, self.dim_calendar,
             routes=self.flight_routes))
 
     @cached_property

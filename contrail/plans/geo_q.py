@@ -123,7 +123,7 @@ def kpi_functions(L: Layers) -> DataFrame:
     kpi.register_sql_functions(L.spark)
     hv = L.fact_flight.select("vuelo_id", "pax_transportados", "asientos_ofrecidos", "distance_flown_km",
                               "passenger_revenue_usd")
-    kg = L.fx.cargo.groupBy("vuelo_id").agg(F.sum("peso_kg").alias("cargo_kg"))
+    kg = L.cargo.groupBy("vuelo_id").agg(F.sum("peso_kg").alias("cargo_kg"))
     # the functions raise on a distance that is not positive: such rows are returned as quarantined
     j = hv.join(kg, "vuelo_id", "left")
     good = F.coalesce(F.col("distance_flown_km") > 0, F.lit(False))

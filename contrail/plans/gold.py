@@ -355,7 +355,7 @@ def fact_cargo(cargo: DataFrame, flights: DataFrame, dim_ap, dim_rt, dim_cal,
         routes = flight_routes(flights, dim_ap, dim_rt, dim_cal)
     j = (routes.select("vuelo_id", "tiempo_id", "ruta_id", "distancia_km")
          .join(cargo.where(F.col("peso_kg") > 0), "vuelo_id"))
-    t = F.col("tipo_carga")
+    t = F.col("tipo")
     row = F.concat_ws("|", "awb", "vuelo_id")
     rev_rate = (F.when(t == "GENERAL", F.lit(2.0) + u(row, "cr") * 1.5)
                  .when(t == "PERECIBLE", F.lit(3.5) + u(row, "cr") * 2.0)

@@ -159,7 +159,8 @@ def clean_cargo(cargo: DataFrame, flights: DataFrame) -> DataFrame:
         F.col("peso_kg").cast("decimal(8,2)").alias("peso_kg"),
         F.col("volumen_m3").cast("decimal(6,2)").alias("volumen_m3"),
         F.substring(field("doc", "temperature_required"), 1, 10).alias("temperatura_req"),
-        F.col("declaracion_json").isNotNull().alias("tiene_declaracion"))
+        F.col("declaracion_json").isNotNull().alias("tiene_declaracion"),
+        F.col("declaracion_json").alias("declaracion_aduanera"))
     return first_per_key(rows, ["awb"], [F.col("vuelo_id")])
 
 

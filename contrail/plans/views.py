@@ -88,7 +88,7 @@ def flight_operations_view(L: Layers) -> DataFrame:
         F.sum(F.coalesce("equipaje_piezas", F.lit(0))).alias("equipaje_total_piezas"),
         F.sum(F.coalesce("peso_equipaje_kg", F.lit(0))).alias("equipaje_total_kg"),
         F.sum(F.coalesce("tarifa_usd", F.lit(0))).alias("revenue_pasajeros_usd"))
-    cv = L.fx.cargo.groupBy("vuelo_id").agg(F.sum(F.coalesce("peso_kg", F.lit(0))).alias("carga_total_kg"))
+    cv = L.cargo.groupBy("vuelo_id").agg(F.sum(F.coalesce("peso_kg", F.lit(0))).alias("carga_total_kg"))
     al = L.airlines.select("aerolinea_id", F.col("nombre").alias("aerolinea"), "codigo_iata", "codigo_icao")
     an = L.fleet.select("aeronave_id", "matricula", F.col("tipo").alias("tipo_aeronave"),
                         F.col("estado").alias("estado_aeronave"))
@@ -232,13 +232,13 @@ def baggage_trace(L: Layers) -> DataFrame:
 
 @query
 def customs_pending(L: Layers) -> DataFrame:
-    c = L.fx.cargo.where(F.col("declaracion_json").isNotNull())
+    c = L.cargo.where("tiene_declaracion")
     v = L.fx.flights.select("vuelo_id", "origen_id", "destino_id")
     ao = L.fx.airports.select(F.col("aeropuerto_id").alias("origen_id"), F.col("ident").alias("origen"))
     ad = L.fx.airports.select(F.col("aeropuerto_id").alias("destino_id"), F.col("ident").alias("destino"))
-    c = c.withColumn("doc", document("declaracion_json"))
+    c = c.withColumn("doc", document("declaracion_aduanera"))
     return (c.join(v, "vuelo_id").join(ao, "origen_id").join(ad, "destino_id").select(
-        "awb", F.col("tipo_carga").alias("tipo"), F.col("peso_kg").cast("double").alias("peso_kg"), "origen", "destino",
+        "awb", "tipo", F.col("peso_kg").cast("double").alias("peso_kg"), "origen", "destino",
         field("doc", "commodity").alias("commodity"),
         field("doc", "customs_value_usd", "decimal(14,2)").cast("double").alias("customs_value_usd"),
         field("doc", "dangerous_goods", "boolean").alias("dangerous_goods")))
