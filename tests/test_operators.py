@@ -235,7 +235,8 @@ def test_staged_build_writes_each_table_once(spark):
     assert {n.replace("fx_", "") for n in mine} >= names
     again = Layers(spark, SF_SMALL)
     again.build(threads=4)   # a second build reuses every written table
-    assert again.fact_flight is mine["fact_flight"]
+    assert again.months("fact_flight") is mine["fact_flight"]
+    assert set(again.fact_flight.inputFiles()) == set(L.fact_flight.inputFiles())
 
 
 def test_airline_code_lengths_can_fail(spark):
