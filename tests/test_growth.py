@@ -2,9 +2,44 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from contrail.operators import dedup
+from contrail.operators.dedup import first_per_key, one_per_seldom_key, with_parent
 from contrail.operators.geojoin import within_join
 
 
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _rows(df) -> list:
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_seldom_repeated_keys_move_only_their_own_rows(spark, monkeypatch):
+    rows = [(i, i % 7, f"p{i}") for i in range(200)] + [(5, 1, "a"), (5, 5, "p5"), (9, 0, None), (None, 1, "x"), (None, 0, "y")]
+    df = spark.createDataFrame(rows, "k long, o long, p string")
+    want = _rows(first_per_key(df, ["k"], [F.col("o")]).select("k", "o", "p"))
+    got = one_per_seldom_key(df, ["k"], [F.col("o")])
+    assert got.columns == df.columns and _rows(got) == want
+    unique = df.where("k > 9")
+    assert "Exchange" not in _plan(one_per_seldom_key(unique, ["k"], [F.col("o")]))
+    monkeypatch.setattr(dedup, "FEW_KEYS", 1)
+    assert _rows(one_per_seldom_key(df, ["k"], [F.col("o")])) == want
+
+
+def test_rows_without_parent_leave_in_place(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e")], "k long, v string")
+    parent = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k long")
+    want = [(1, "a"), (1, "b"), (2, "c")]
+    got = with_parent(df, parent, "k")
+    assert _rows(got) == want and "SortMergeJoin" not in _plan(got)
+    assert "Join" not in _plan(with_parent(df.where("k < 3"), parent, "k"))
+    monkeypatch.setattr(dedup, "FEW_KEYS", 0)
+    assert _rows(with_parent(df, parent, "k")) == want
+
+
 def test_zones_of_one_centre_meet_a_point_once(spark, monkeypatch):
     from contrail.operators import geojoin
     met = []
