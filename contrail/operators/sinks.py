@@ -51,7 +51,7 @@ def month_key(col: str = "tiempo_id"):
 def write_partitioned(df: DataFrame, path: str, part_col: str = "yyyymm") -> None:
     # rebalanced by month: a large month is split over several writers, small ones stay whole
     (df.hint("rebalance", part_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(part_col).parquet(path))
+       .option("compression", "zstd").partitionBy(part_col).parquet(path))
 
 
 def read_months(spark: SparkSession, path: str, first: int, last: int, part_col: str = "yyyymm") -> DataFrame:
