@@ -161,6 +161,26 @@ def test_nearest_join_clustered_sites_and_far_points(spark):
     assert depth >= 4 and pairs.count() < 40 * 300  # no grid of empty cells is listed for points far from all sites
 
 
+def test_few_sites_a_point_are_compared_and_the_nearest_is_among_them(spark):
+    from contrail.functions.geo import with_near_distance
+    from contrail.operators.geojoin import _nearest_on_sphere, _on_sphere
+    rnd = random.Random(12)
+    sites = [(s, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for s in range(200)] + [(200, 10.0, 20.0), (201, 10.0, 20.0), (202, -90.0, 0.0), (203, float("nan"), 0.0)]
+    pts = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(300)] + [(300, -10.0, -160.0), (301, 10.0, 20.0), (302, -90.0, 55.0), (302, 10.0, 20.1), (None, 0.0, 0.0)]
+    s = spark.createDataFrame(sites, "_sid int, _slat double, _slon double")
+    p = spark.createDataFrame(pts, "_pid int, _plat double, _plon double")
+
+    def best(met):
+        met = with_near_distance(met, "_d", "_plat", "_plon", "_slat", "_slon")
+        return {r._pid: r.b for r in met.groupBy("_pid").agg(F.min(F.struct("_d", "_sid")).alias("b")).collect()}
+    near = _nearest_on_sphere(p.crossJoin(s.withColumn("_sp", _on_sphere("_slat", "_slon")).agg(F.collect_list(F.struct("_sid", "_slat", "_slon", "_sp")).alias("_sites"))))
+    assert len(pts) <= near.count() < 2 * len(pts)  # of 200 sites; all were compared and sorted before
+    assert best(near) == best(p.crossJoin(s))
+    # a point opposite all sites keeps every one that the coarse formula could put first
+    far = p.where("_pid = 300").crossJoin(s.where("_sid between 200 and 201").withColumn("_sp", _on_sphere("_slat", "_slon")).agg(F.collect_list(F.struct("_sid", "_slat", "_slon", "_sp")).alias("_sites")))
+    assert _nearest_on_sphere(far).count() == 2
+
+
 def test_nearest_join_keeps_points_without_a_site(spark):
     p = spark.createDataFrame([(1, 10.0, 20.0), (2, None, 20.0), (3, 5.0, None)], "pid int, plat double, plon double")
     s = spark.createDataFrame([(7, 10.0, 21.0, "x")], "sid int, slat double, slon double, nombre string")
