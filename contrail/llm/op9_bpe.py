@@ -9,8 +9,9 @@ The vocabulary is a file of public ranks (bounded, under 1 MB); its tables are b
 from __future__ import annotations
 
 import base64
-import hashlib
-import heapq
+import sys
+from array import array
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -20,16 +21,22 @@ from pyspark.sql import functions as F
 from contrail.llm import words as W
 from contrail.llm.common import released
 
-#: Bytes of pre-tokens and ids that a worker remembers (beyond, it forgets them all and begins anew),
+#: Bytes of pre-tokens and ids that a worker remembers (beyond, it forgets the older half),
 #: characters of a pre-token that it remembers at most, and bytes of text that it takes at a time.
-MEMO_BYTES, MEMO_LONGEST, BLOCK_BYTES = 24 << 20, 64, 2 << 20
-#: What an entry of the memo takes besides its characters and ids: two objects and a place in the table.
-_ENTRY = 200
+MEMO_BYTES, MEMO_LONGEST, BLOCK_BYTES = 28 << 20, 64, 1 << 20
+#: What an entry of the memo takes besides its characters and ids: two objects (41 and 33 bytes, each
+#: rounded up to 16) and a place in the table (35 on average).
+_ENTRY = 130
+
+
+#: A Mersenne prime, and a number to multiply with, for the hash of a key.
+_PRIME, _FACTOR = (1 << 127) - 1, 0x5851F42D4C957F2D14057B7EF767814F
 
 
 def _hashes(key: bytes) -> tuple[int, int]:
-    d = hashlib.blake2b(key, digest_size=16).digest()
-    return int.from_bytes(d[:8], "little"), int.from_bytes(d[8:], "little")
+    """Two hashes of a key: its bytes after a leading one, as a number, times a factor, modulo a prime."""
+    h = int.from_bytes(b"\1" + key) * _FACTOR % _PRIME
+    return h & 0xFFFFFFFFFFFFFFFF, h >> 63
 
 
 class PerfectHash:
@@ -118,59 +125,88 @@ class Vocabulary:
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token by merging neighbours, lowest rank and leftmost first."""
-        n, ranks = len(piece), self.ranks
-        end = list(range(1, n + 1))  # end of the part that starts here; 0 once merged into its left
+        n, get = len(piece), self.ranks.get
+        end = [*range(1, n + 1), 0]  # end of the part that starts here; 0 once merged into its left
         back = list(range(-1, n))
-        heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(piece[i : i + 2])) is not None]
-        heapq.heapify(heap)
+        # rank, place and stop of a pair in one number, which compares faster than three
+        bits = (n + 1).bit_length()
+        low = (1 << bits) - 1
+        heap = [(r << bits | i) << bits | i + 2 for i in range(n - 1) if (r := get(piece[i : i + 2])) is not None]
+        heapify(heap)
         while heap:
-            _, i, stop = heapq.heappop(heap)
+            pair = heappop(heap)
+            i, stop = pair >> bits & low, pair & low
             mid = end[i]
-            if not mid or mid >= stop or mid >= n or end[mid] != stop:
+            if not mid or end[mid] != stop:
                 continue  # a part of this pair has changed since
             end[i], end[mid] = stop, 0
             if stop < n:
                 back[stop] = i
-                if (r := ranks.get(piece[i : end[stop]])) is not None:
-                    heapq.heappush(heap, (r, i, end[stop]))
-            if i and (r := ranks.get(piece[back[i] : stop])) is not None:
-                heapq.heappush(heap, (r, back[i], stop))
-        out, i = [], 0
-        while i < n:
-            out.append(ranks[piece[i : end[i]]])
-            i = end[i]
-        return out
+                if (r := get(piece[i : end[stop]])) is not None:
+                    heappush(heap, (r << bits | i) << bits | end[stop])
+            if i and (r := get(piece[back[i] : stop])) is not None:
+                heappush(heap, (r << bits | back[i]) << bits | stop)
+        return [self.ranks[piece[i:stop]] for i, stop in enumerate(end) if stop]
+
+
+def _packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    made = array("I", ids)
+    if sys.byteorder != "little":
+        made.byteswap()
+    return made.tobytes()
 
 
 class _Memo(dict):
-    """Packed ids of short pre-tokens already met."""
+    """Packed ids of short pre-tokens already met, in two halves.
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.bytes = vocabulary, 0
+    A full half becomes the older one and the older one is forgotten; what is met again moves to
+    the newer half, so frequent pre-tokens stay known however many rare ones pass.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, size: int):
+        self.vocabulary, self.half, self.bytes, self.older = vocabulary, size // 2, 0, {}
 
     def __missing__(self, token: str) -> bytes:
-        got = np.array(self.vocabulary.encode(token.encode()), "<u4").tobytes()
+        got = self.older.get(token)
+        if got is None:
+            got = _packed(self.vocabulary.encode(token.encode()))
         if len(token) <= MEMO_LONGEST:
-            self.bytes += _ENTRY + len(token) + len(got)
-            if self.bytes > MEMO_BYTES:
+            size = _ENTRY + len(token) + len(got)
+            if self.bytes + size > self.half:
+                self.older, self.bytes = self.copy(), 0
                 self.clear()
-                self.bytes = _ENTRY + len(token) + len(got)
+            self.bytes += size
             self[token] = got
         return got
 
 
+def _spelt(pieces: pa.Array, ids: list[bytes], rows: int = 32) -> list[bytes]:
+    """The bytes that each row's packed ids stand for: one lookup over some rows' ids, cut where the rows end."""
+    out = []
+    for lo in range(0, len(ids), rows):
+        some = ids[lo : lo + rows]
+        found = pieces.take(pa.array(np.frombuffer(b"".join(some), "<u4")))
+        at = np.frombuffer(found.buffers()[1], np.int64)[found.offset : found.offset + len(found) + 1] if len(found) else np.zeros(1, np.int64)
+        ends = at[np.cumsum([0, *(len(x) >> 2 for x in some)])].tolist()
+        data = memoryview(found.buffers()[2] or b"")
+        out += [bytes(data[a:b]) for a, b in zip(ends, ends[1:])]
+    return out
+
+
 def _extended(batch: pa.RecordBatch, columns: dict[str, list[bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.binary()) for c in columns.values())], names=[*batch.schema.names, *columns])
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text_col: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text_col: str = "text", out: str = "ids", decoded: str | None = None, memo_bytes: int = MEMO_BYTES) -> DataFrame:
     """``docs`` with the ids of each whole text as a binary column of little-endian 32-bit integers.
 
     Each match of ``pattern`` is encoded by itself, special tokens are ordinary text. Null and
     empty texts give no ids. All columns are kept; one that is named like ``out`` is replaced.
     Rows do not depend on each other: repeated rows give repeated results, an empty table none.
     With ``decoded``, a column of that name holds the bytes that the ids stand for; one worker
-    then does both, with one copy of the vocabulary.
+    then does both, with one copy of the vocabulary. ``memo_bytes`` bounds the pre-tokens that a
+    worker remembers.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     kept = docs.drop(out, *([decoded] if decoded else []))
@@ -180,13 +216,13 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text_col: str
         import regex
 
         find, vocab = regex.compile(pattern).findall, shared.value
-        memo, piece = _Memo(vocab), vocab.pieces.__getitem__
+        memo, pieces = _Memo(vocab, memo_bytes), pa.array(vocab.pieces, pa.large_binary())
         for batch in batches:
             for block in W.blocks(batch, text_col, BLOCK_BYTES):
                 ids = [b"".join(map(memo.__getitem__, find(t.as_py() or ""))) for t in block.column(text_col)]
                 made = {out: ids}
                 if decoded:
-                    made[decoded] = [b"".join(map(piece, np.frombuffer(x, "<u4").tolist())) for x in ids]
+                    made[decoded] = _spelt(pieces, ids)
                 yield _extended(block, made)
 
     return kept.mapInArrow(released(run), schema)
@@ -202,10 +238,10 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out: str
     schema = kept.select("*", F.lit(None).cast("binary").alias(out)).schema
 
     def run(batches):
-        piece = shared.value.pieces.__getitem__
+        pieces = pa.array(shared.value.pieces, pa.large_binary())
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 block = batch.slice(at, 256)
-                yield _extended(block, {out: [b"".join(map(piece, np.frombuffer(x.as_py() or b"", "<u4").tolist())) for x in block.column(ids_col)]})
+                yield _extended(block, {out: _spelt(pieces, [x.as_py() or b"" for x in block.column(ids_col)])})
 
     return kept.mapInArrow(released(run), schema)

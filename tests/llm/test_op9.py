@@ -7,6 +7,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from contrail.llm import op9_bpe
 from contrail.llm.op9_bpe import PerfectHash, decode, encode
 from contrail.llm.queries import op9_byte_bpe, vocabulary
 from tests.llm.helpers import no_docs, odd_docs
@@ -43,6 +44,24 @@ def test_texts_and_round_trip(spark, reference):
     assert encode(no_docs(spark), vocabulary(), public_tokenizers.PATTERN).count() == 0
 
 
+def test_frequent_words_stay_known_while_rare_ones_pass():
+    class Counting:
+        def __init__(self):
+            self.met = []
+
+        def encode(self, piece):
+            self.met.append(piece)
+            return [len(piece)]
+
+    words = Counting()
+    memo = op9_bpe._Memo(words, 100 * op9_bpe._ENTRY)
+    for i in range(1000):
+        assert memo["the"] == np.array([3], "<u4").tobytes()
+        assert memo[f"rare{i}"] == np.array([len(f"rare{i}")], "<u4").tobytes()
+        assert len(memo) + len(memo.older) <= 100
+    assert words.met.count(b"the") == 1 and len(words.met) == 1001
+
+
 def test_query(spark, reference):
     import hashlib
 
