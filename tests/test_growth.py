@@ -51,3 +51,16 @@ def test_zones_of_one_centre_meet_a_point_once(spark, monkeypatch):
     got = {(r.p, r.z) for r in within_join(points, "plat", "plon", zones, "zlat", "zlon", "r").collect()}
     assert got == {(p, z) for p in (1, 2) for z in range(12, 150)}
     assert met[0].count() <= 6  # two points, packs of at most 64 zones
+
+
+def test_a_task_reads_a_bounded_part_of_a_written_table(spark):
+    """Written tables have small row groups and scans are split finely, so that a task sorts a bounded number of rows."""
+    import pyarrow.parquet as pq
+
+    from contrail.session import ROW_GROUP_BYTES, configure, write_table
+    configure(spark)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
+    rows = spark.range(0, 2_000_000, 1, 1).select("id", F.rand(1).alias("a"), F.rand(2).alias("b"), F.rand(3).alias("c"), F.rand(4).alias("d"))
+    files = [f.removeprefix("file:") for f in write_table(rows, "groups").inputFiles()]
+    sizes = [m.row_group(i).total_byte_size for m in (pq.ParquetFile(f).metadata for f in files) for i in range(m.num_row_groups)]
+    assert len(sizes) > 1 and max(sizes) < 1.5 * ROW_GROUP_BYTES
