@@ -23,7 +23,7 @@ from contrail.llm.common import released
 
 #: Bytes of pre-tokens and ids that a worker remembers (beyond, it forgets the older half),
 #: characters of a pre-token that it remembers at most, and bytes of text that it takes at a time.
-MEMO_BYTES, MEMO_LONGEST, BLOCK_BYTES = 28 << 20, 64, 1 << 20
+MEMO_BYTES, MEMO_LONGEST, BLOCK_BYTES = 56 << 20, 64, 1 << 20
 #: What an entry of the memo takes besides its characters and ids: two objects (41 and 33 bytes, each
 #: rounded up to 16) and a place in the table (35 on average).
 _ENTRY = 130
@@ -113,6 +113,10 @@ class Vocabulary:
         self.pieces = [b""] * (max(ranks.values(), default=-1) + 1)
         for k, r in ranks.items():
             self.pieces[r] = k
+        # a merged part's rank is its id; so is a byte's (-1: none, such a byte must merge)
+        self.one = [ranks.get(bytes([a]), -1) for a in range(256)]
+        self.two = [ranks.get(bytes([a, b])) for a in range(256) for b in range(256)]
+        self.holes = -1 in self.one
 
     @classmethod
     def read(cls, path: str) -> Vocabulary:
@@ -125,28 +129,37 @@ class Vocabulary:
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token by merging neighbours, lowest rank and leftmost first."""
-        n, get = len(piece), self.ranks.get
-        end = [*range(1, n + 1), 0]  # end of the part that starts here; 0 once merged into its left
-        back = list(range(-1, n))
-        # rank, place and stop of a pair in one number, which compares faster than three
-        bits = (n + 1).bit_length()
+        n, get, two = len(piece), self.ranks.get, self.two
+        ids = [self.one[b] for b in piece]  # id of the part that starts here, None once merged into its left
+        ranks = [two[a << 8 | b] for a, b in zip(piece, piece[1:])]  # rank of that part with the next, if they merge
+        ranks.append(None)
+        end, back = list(range(1, n + 1)), list(range(-1, n))
+        # rank and place of a pair in one number, which compares faster than two
+        bits = n.bit_length()
         low = (1 << bits) - 1
-        heap = [(r << bits | i) << bits | i + 2 for i in range(n - 1) if (r := get(piece[i : i + 2])) is not None]
+        heap = [r << bits | i for i, r in enumerate(ranks) if r is not None]
         heapify(heap)
         while heap:
             pair = heappop(heap)
-            i, stop = pair >> bits & low, pair & low
-            mid = end[i]
-            if not mid or end[mid] != stop:
+            i, r = pair & low, pair >> bits
+            if ranks[i] != r:
                 continue  # a part of this pair has changed since
-            end[i], end[mid] = stop, 0
+            mid = end[i]
+            stop = end[i] = end[mid]
+            ids[i], ids[mid], ranks[mid], ranks[i] = r, None, None, None
             if stop < n:
                 back[stop] = i
-                if (r := get(piece[i : end[stop]])) is not None:
-                    heappush(heap, (r << bits | i) << bits | end[stop])
-            if i and (r := get(piece[back[i] : stop])) is not None:
-                heappush(heap, (r << bits | back[i]) << bits | stop)
-        return [self.ranks[piece[i:stop]] for i, stop in enumerate(end) if stop]
+                ranks[i] = r = get(piece[i : end[stop]])
+                if r is not None:
+                    heappush(heap, r << bits | i)
+            if i:
+                i = back[i]
+                ranks[i] = r = get(piece[i:stop])
+                if r is not None:
+                    heappush(heap, r << bits | i)
+        if self.holes and -1 in ids:
+            raise KeyError(piece)
+        return [x for x in ids if x is not None]
 
 
 def _packed(ids: list[int]) -> bytes:

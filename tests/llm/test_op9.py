@@ -62,6 +62,32 @@ def test_frequent_words_stay_known_while_rare_ones_pass():
     assert words.met.count(b"the") == 1 and len(words.met) == 1001
 
 
+def test_merge_looks_up_new_pairs_only():
+    class Counting(dict):
+        met = 0
+
+        def get(self, *key):
+            Counting.met += 1
+            return super().get(*key)
+
+    vocab = op9_bpe.Vocabulary(vocabulary().ranks)
+    vocab.ranks = Counting(vocab.ranks)
+    pieces = [w.encode() for w in (" enver\u00f6ch", " inthesnded", " ererkeitlich", "Queci\u00f3nmi", " \u00e9eauqueque")]
+    for piece in pieces:
+        got = vocab.merge(piece)
+        assert b"".join(vocab.pieces[i] for i in got) == piece
+        # two pairs at most change with a merge; the pairs of single bytes are in a table
+        assert Counting.met <= 2 * (len(piece) - len(got))
+        Counting.met = 0
+
+
+def test_bytes_without_an_id_may_merge_but_not_stay():
+    vocab = op9_bpe.Vocabulary({b"a": 0, b"ab": 1, b"aba": 2})
+    assert vocab.merge(b"abab") == [1, 1] and vocab.merge(b"aba") == [2]
+    with pytest.raises(KeyError):
+        vocab.merge(b"abb")
+
+
 def test_query(spark, reference):
     import hashlib
 
