@@ -25,13 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm import words as W
-from contrail.llm.common import hot_join, keep, key_filter, mix64
+from contrail.llm.common import hot_join, keep, key_filter, mix64, released
 
 MIN_DOCS, MIN_TOKENS, LEADING, GENERAL, PARTS = 3, 3, 2, 8, 4
 _FIELD = np.uint64(0x5A17F1E1D0000001)
 _AS_IS = np.uint64(0x5A17F1E1D0000002)
 _NO_ID = (1 << 63) - 1
 _FLUSH = 2_000_000
+#: Bytes of text that a task reads at a time: its arrays of a number a byte take many times that.
+BLOCK_BYTES = 2 << 20
 
 
 def _constant(constant: np.ndarray, leading: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -98,7 +100,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(c), pa.array(i)], names=["key", "n", "first"])
 
     for batch in batches:
-        for block in W.blocks(batch):
+        for block in W.blocks(batch, size=BLOCK_BYTES):
             row, _, key = template_keys(block.column("text"))
             if not len(key):
                 continue
@@ -119,7 +121,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _hits(recurring):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in W.blocks(batch):
+            for block in W.blocks(batch, size=BLOCK_BYTES):
                 row, line, key = template_keys(block.column("text"))
                 hit = recurring.value.hit(key.view(np.int64))
                 if hit.any():
@@ -156,10 +158,10 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     ident = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID))
     rows = docs.select(ident.alias("id"), key.alias("row_key"), F.col(text_col).alias("text"))
-    counts = rows.select("id", "text").mapInArrow(_count, "key long, n long, first long").groupBy("key").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
+    counts = rows.select("id", "text").mapInArrow(released(_count), "key long, n long, first long").groupBy("key").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
     recurring = keep(counts.where(F.col("n") >= min_docs), "templates")
     size = recurring.agg(F.count("*").alias("n"), F.sum("n").alias("lines")).first()
-    hits = rows.mapInArrow(_hits(spark.sparkContext.broadcast(key_filter(recurring, "key", size.n))), "id long, row_key long, line int, key long")
+    hits = rows.mapInArrow(released(_hits(spark.sparkContext.broadcast(key_filter(recurring, "key", size.n)))), "id long, row_key long, line int, key long")
     found = hot_join(keep(hits, "line-hits"), recurring, "key", "n", size.lines or 0)
     gone = keep(found.where("first <> id").groupBy("id", "row_key").agg(F.collect_set("line").alias("_gone")), "lines-gone")
     changed = spark.sparkContext.broadcast(key_filter(gone, "row_key", gone.count()))

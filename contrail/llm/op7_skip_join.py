@@ -40,6 +40,8 @@ RARE = 64
 SHARD_BYTES = 48 << 20
 BLOCK = 64
 SALT = 256
+#: Bytes of text that a task reads at a time: its arrays of words and shingles take many times that.
+BLOCK_BYTES = 2 << 20
 _NO_ID = (1 << 63) - 1
 _K = np.uint64(0x9E3779B97F4A7C15)
 _SEGMENT = 1 << 14
@@ -100,7 +102,7 @@ def _signatures(words: int, hashes: int):
         size = 1 << SKETCH_BITS
         counts = np.zeros(size, np.int64)
         for batch in batches:
-            for block in W.blocks(batch):
+            for block in W.blocks(batch, size=BLOCK_BYTES):
                 k = len(block)
                 row, h = _sets(block.column("text"), k, words)
                 counts += np.bincount((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
@@ -173,7 +175,7 @@ def _prefixes(words: int, percent: int, shards: int, ranks, wanted):
         for batch in batches:
             if len(batch):
                 batch = batch.filter(pa.array(wanted.value.hit(batch.column("id").to_numpy(zero_copy_only=False))))
-            for block in W.blocks(batch):
+            for block in W.blocks(batch, size=BLOCK_BYTES):
                 k = len(block)
                 row, h = _sets(block.column("text"), k, words)
                 n = np.bincount(row, minlength=k)

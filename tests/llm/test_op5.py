@@ -74,3 +74,23 @@ def test_rows_of_numbers_recur_only_as_they_stand(spark):
     assert by[81][1] == 0
     # unlike rows stay; the same row of numbers and the template of the log line go
     assert all(by[80 + i] == ("\n".join(r.format(i, i, i) for r in rows), 2) for i in (2, 3, 4))
+
+
+def test_counting_and_testing_lines_hold_a_bounded_part_of_the_text():
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+
+    line = " ".join(f"word{i} steady plain" for i in range(30)) + "\n"
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(160)), "row_key": pa.array(range(160)), "text": [line * 100] * 160})
+    assert batch.nbytes > 8 << 20
+    none = SimpleNamespace(value=SimpleNamespace(hit=lambda keys: np.zeros(len(keys), bool)))
+    for step in (T._count, T._hits(none)):
+        list(step([batch.slice(0, 2)]))  # tables that are made once
+        tracemalloc.start()
+        list(step([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 120 << 20
