@@ -1,15 +1,18 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from contrail.llm import op2_mix
-from contrail.llm.common import keep, without_ids
+from contrail.llm import words as W
+from contrail.llm.common import BATCH_BYTES, keep, small_batches, without_ids
 from contrail.llm.queries import vocabulary
 from tests.llm import test_op5, test_op7
 from tests.llm.helpers import odd_docs
@@ -82,3 +85,33 @@ def test_near_duplicates_at_five_words_and_four_fifths(spark):
     stay = near_brute(rows(docs), 5, 80)
     assert {i for i, _ in rows(P.near_duplicates(spark, docs, SF))} == stay
     assert stay < near_brute(rows(docs), 4, 85)  # pairs between the two limits
+
+
+def test_arrow_batches_of_text_are_bounded(spark):
+    small_batches(spark)
+    docs = spark.range(0, 6000, 1, 1).select("id", F.repeat(F.lit("word "), 400).alias("text"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows], "size": [b.nbytes]})
+
+    got = docs.mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r.n for r in got) == 6000
+    assert max(r.size for r in got) <= BATCH_BYTES * 1.1
+
+
+def test_splitting_a_block_takes_little_memory():
+    def split(texts):
+        words = W.split(pa.array(texts))
+        want = [w for t in texts for w in t.encode().split()]
+        assert [words.text(i) for i in range(len(words.start))] == want
+        ids = {}
+        assert all(ids.setdefault(w, h) == h for w, h in zip(want, words.hash.tolist())) and len(set(ids.values())) == len(ids)
+
+    W._powers.cache_clear()
+    tracemalloc.start()
+    W.split(pa.array(["several words of text " * 20_000] * 2))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20
+    split(["several words of text " * 20_000, "x" * 700_000 + " end of text"])
